@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdemand import model
@@ -81,17 +81,20 @@ def fct_posting_skills(skills: DataFrame, facts: DataFrame) -> DataFrame:
 
 def entities(
     stg: DataFrame, dictionary: Sequence[Entry], rules: Sequence[Rule],
-    defaults: dict[str, str] = model.RULE_DEFAULTS, last_day: Column | None = None,
+    defaults: dict[str, str] = model.RULE_DEFAULTS,
 ) -> DataFrame:
-    """One row per entity with everything the facts and marts need."""
+    """One row per entity with everything the facts and marts need, in one pass over the snapshots."""
     state = entity_state(
         stg, [KEY], DAY, ATTRS, earliest=["posted_date"], kept=["description_clean"], tie=["url"],
         sets={"_weeks": week_start(F.col(DAY)), "_days": F.col(DAY)})
-    labelled = classify(with_openness(state, latest_day(stg, DAY) if last_day is None else last_day),
-                        "title", rules, defaults)
     text = searchable(F.col("title"), F.col("description_clean"))
-    return with_tags(labelled.withColumn("_text", text), "_text", dictionary).select(
-        *FACT_COLUMNS, "tags", "_weeks", "_days")
+    return with_tags(classify(state, "title", rules, defaults).withColumn("_text", text), "_text", dictionary).drop(
+        "_text", "description_clean")
+
+
+def facts_of(table: DataFrame) -> DataFrame:
+    """The posting facts out of a written entity table; its own last day is the last day of the snapshots."""
+    return with_openness(table.drop("_weeks", "_days", "tags"), latest_day(table, "last_seen")).select(*FACT_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -116,7 +119,7 @@ def build(
         stg_postings=stg,
         dim_company=write_table(
             dimension.select("company_key", "name", "industry", "source_system"), f"{root}/dim_company"),
-        fct_postings=write_table(table.select(*FACT_COLUMNS), f"{root}/fct_postings"),
+        fct_postings=write_table(facts_of(table), f"{root}/fct_postings"),
         fct_posting_skills=write_table(explode_tags(table, [KEY, "company_key"]), f"{root}/fct_posting_skills"),
         mart_skill_demand_weekly=write_table(scoped_demand(table, scopes), f"{root}/mart_skill_demand_weekly"),
         mart_role_demand_daily=write_table(

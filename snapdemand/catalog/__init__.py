@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from snapdemand.catalog import products  # noqa: F401
+from snapdemand.catalog import products, scalars  # noqa: F401
 from snapdemand.catalog.base import QUERIES, SQL  # noqa: F401

@@ -12,15 +12,18 @@ from snapdemand.functions.text import strip
 # Comments, then elements whose content is no text, then any other tag (quoted values may hold '>'). Markup that the
 # text ends in the middle of is dropped.
 MARKUP = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(script|style|template)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\z)"
-    r"|<[/!?a-z][^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+(?:>|\z)"
-    r"|<[/!?a-z][^>]*+(?:>|\z)"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|(script|style|template)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\z)"
+    r"|[/!?a-z][^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+(?:>|\z)"
+    r"|[/!?a-z][^>]*+(?:>|\z))"
 )
 _PAIR, _KEY = "\u0002", "\u0003"
 # Names that count without the closing semicolon too; the longest one wins.
 _LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
-_NAMES = {n[:-1]: v for n, v in html5.items() if n.endswith(";")}
+# Looked up from the front, so the names that make up almost all references come first.
+_COMMON = ("amp", "nbsp", "lt", "gt", "quot", "apos", "copy", "middot", "rsquo", "lsquo", "ldquo", "rdquo", "ndash",
+           "mdash", "hellip", "bull")
+_NAMES = {n: html5[n + ";"] for n in _COMMON} | {n[:-1]: v for n, v in html5.items() if n.endswith(";")}
 _WINDOWS_1252 = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)]
 
 

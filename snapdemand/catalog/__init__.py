@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from snapdemand.catalog import payloads, products, scalars  # noqa: F401
+from snapdemand.catalog import aggregates, filters, joins, payloads, products, ranking, scalars, sets  # noqa: F401
 from snapdemand.catalog.base import QUERIES, SQL  # noqa: F401

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from snapdemand.catalog import aggregates, filters, joins, payloads, products, ranking, scalars, sets  # noqa: F401
+from snapdemand.catalog import (  # noqa: F401
+    aggregates, checks, filters, joins, payloads, products, ranking, scalars, scans, sets, sinks,
+)
 from snapdemand.catalog.base import QUERIES, SQL  # noqa: F401

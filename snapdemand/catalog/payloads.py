@@ -38,11 +38,11 @@ def text(value: str | None = None) -> Column:
 
 
 def payload(df: DataFrame, system: str, company: Column, config: dict[str, Column], document: Column,
-            day: str = DAY) -> DataFrame:
+            day: str = DAY, page: Column | None = None) -> DataFrame:
     settings = [x for k, v in config.items() for x in (F.lit(k), v)]
     return df.select(
         F.lit(system).alias("source_system"), company.alias("company_key"), F.lit(0).alias("source_order"),
-        F.lit(1).alias("page"), F.create_map(*settings).alias("config"),
+        (F.lit(1) if page is None else page.cast("int")).alias("page"), F.create_map(*settings).alias("config"),
         F.to_json(document, {"ignoreNullFields": "false"}).alias("json"), F.lit(day).alias("collected_at"))
 
 

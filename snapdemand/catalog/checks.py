@@ -18,7 +18,7 @@ from snapdemand.plans.skill_demand import skill_demand_weekly
 from snapdemand.catalog.views import PART_DICTIONARY
 from snapdemand.quality import checks as qa
 from snapdemand.sources.config import config_problems, config_to_dimension
-from snapdemand.sources.payloads import SPECS, reported_totals
+from snapdemand.sources.payloads import SPECS, parse_payloads, site_totals
 
 
 def failures(check: str, key: str, detail: str, rest: str, severity: str = "'error'") -> str:
@@ -148,7 +148,7 @@ def qa11(t):
     "FROM (SELECT p_brand, p_size * 5 AS reported FROM part) GROUP BY p_brand HAVING max(reported) > 2 * count(*)", "'warn'"))
 def qa12(t):
     keys = ["source_system", "company_key"]
-    totals = reported_totals(workday_payloads(t), SPECS["workday"])
+    totals = site_totals(parse_payloads(workday_payloads(t), {"workday": SPECS["workday"]}))
     reported = totals.groupBy(*keys).agg((F.max("reported") * 5).alias("total"))
     rows = workday_payloads(t).select(*keys, F.explode(F.array(F.lit(1), F.lit(2))).alias("row"))
     return qa.check_truncation(reported, rows, keys, "total")

@@ -283,9 +283,9 @@ def nrm12(t):
     html = F.concat(F.lit("<h1>"), "p_type", F.lit("</h1> &amp; <p>"), "p_name", F.lit("</p>"))
     good = F.to_json(obj(jobPostingInfo=obj(jobDescription=html)))
     details = t.part.where(F.col("p_size") % 7 != 0).select(
-        url.alias("url"), F.when(F.col("p_size") % 7 == 1, '{"jobPostingInfo": {"jobDescr').otherwise(good).alias("json"))
+        F.lit("workday").alias("source_system"), url.alias("url"), F.when(F.col("p_size") % 7 == 1, '{"jobPostingInfo": {"jobDescr').otherwise(good).alias("json"))
     listed = postings(workday_payloads(t), "workday")
-    return attach_details(listed, details, SPECS["workday"]).select("posting_id", "description", "detail_failed")
+    return attach_details(listed, details, SPECS).select("posting_id", "description", "detail_failed")
 
 
 def supplier_config(t: Tables) -> DataFrame:

@@ -24,12 +24,18 @@ _LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(
 _COMMON = ("amp", "nbsp", "lt", "gt", "quot", "apos", "copy", "middot", "rsquo", "lsquo", "ldquo", "rdquo", "ndash",
            "mdash", "hellip", "bull")
 _NAMES = {n: html5[n + ";"] for n in _COMMON} | {n[:-1]: v for n, v in html5.items() if n.endswith(";")}
-_WINDOWS_1252 = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)]
+_WINDOWS_1252 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
 
 
-def _names(entries: dict[str, str]) -> Column:
+def _joined(entries: dict[str, str]) -> str:
+    return _PAIR.join(f"{k}{_KEY}{v}" for k, v in entries.items())
+
+
+_ALL_NAMES, _LEGACY_NAMES = _joined(_NAMES), _joined({n: html5[n] for n in _LEGACY})
+
+
+def _names(joined: str) -> Column:
     """A map that the optimiser folds to a single literal."""
-    joined = _PAIR.join(f"{k}{_KEY}{v}" for k, v in entries.items())
     return F.str_to_map(F.lit(joined), F.lit(_PAIR), F.lit(_KEY))
 
 
@@ -37,8 +43,7 @@ def _code_point(n: Column) -> Column:
     utf32 = F.unhex(F.lpad(F.hex(n), 8, "0"))
     return (
         F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), chr(0xFFFD))
-        .when(n.between(0x80, 0x9F),
-              F.get(F.array(*[F.lit(c) for c in _WINDOWS_1252]), (n - 0x80).cast("int")))
+        .when(n.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS_1252), (n - 0x7F).cast("int"), F.lit(1)))
         .when(n.between(0x1, 0x8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F)
               | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE), "")
         .otherwise(F.decode(utf32, "UTF-32"))
@@ -50,12 +55,12 @@ def _after_ampersand(piece: Column) -> Column:
     digits = F.regexp_extract(number, "[0-9a-fA-F]+", 0)
     code = F.when(number.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
     name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-    named = F.try_element_at(_names(_NAMES), name)
+    named = F.try_element_at(_names(_ALL_NAMES), name)
     legacy = F.regexp_extract(piece, "^(?:" + "|".join(_LEGACY) + ")", 0)
     return (
         F.when(number != "", F.concat(_code_point(code), F.substr(piece, F.length(number) + 1)))
         .when((name != "") & named.isNotNull(), F.concat(named, F.substr(piece, F.length(name) + 2)))
-        .when(legacy != "", F.concat(F.try_element_at(_names({n: html5[n] for n in _LEGACY}), legacy),
+        .when(legacy != "", F.concat(F.try_element_at(_names(_LEGACY_NAMES), legacy),
                                      F.substr(piece, F.length(legacy) + 1)))
         .otherwise(F.concat(F.lit("&"), piece))
     )

@@ -5,81 +5,53 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapdemand import model
-from snapdemand.operators.snapshots import dedupe_first, known_keys, status, union_sources
+from snapdemand.operators.snapshots import dedupe_first, known_keys, status
 from snapdemand.session import scratch_dir
 from snapdemand.sinks import write_day, write_summary, write_table
 from snapdemand.sources.files import earlier_days
-from snapdemand.sources.payloads import ORDER, SPECS, PayloadSpec, parse_payloads, postings_of, reported_totals
+from snapdemand.sources.payloads import (
+    ORDER, SPECS, PayloadSpec, attach_details, description, listed_postings, parse_payloads, site_totals,
+)
 
 KEYS = ("source_system", "posting_id")
-_ORDERED = T.StructType(model.POSTING_SCHEMA.fields + [T.StructField(c, T.IntegerType()) for c in ORDER])
 
 
-def payload_status(payloads: DataFrame, specs: Mapping[str, PayloadSpec] = SPECS) -> DataFrame:
+def company_status(parsed: DataFrame) -> DataFrame:
     """Per company: did any response fail, and did any site report more rows than were read."""
-    per_system = []
-    for spec in specs.values():
-        parsed = parse_payloads(payloads, spec).groupBy("company_key").agg(
-            F.max("failed").alias("failed"), F.lit(False).alias("truncated"))
-        cut = reported_totals(payloads, spec).select("company_key", F.lit(False).alias("failed"), "truncated")
-        per_system += [parsed, cut] if spec.total else [parsed]
-    return reduce(DataFrame.unionByName, per_system).groupBy("company_key").agg(
+    failed = parsed.groupBy("company_key").agg(F.max("failed").alias("failed"), F.lit(False).alias("truncated"))
+    cut = site_totals(parsed).select("company_key", F.lit(False).alias("failed"), "truncated")
+    return failed.unionByName(cut).groupBy("company_key").agg(
         F.max("failed").alias("failed"), F.max("truncated").alias("truncated"))
 
 
-def collect_postings(payloads: DataFrame, failed: DataFrame, specs: Mapping[str, PayloadSpec] = SPECS) -> DataFrame:
-    """The day's postings of all systems, without those of failed companies; a posting found twice counts once."""
-    parts = [postings_of(parse_payloads(payloads, spec), spec) for spec in specs.values()]
-    found = union_sources(payloads.sparkSession, parts, _ORDERED).join(failed, "company_key", "left_anti")
+def collect_postings(parsed: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The day's postings without those of failed companies; a posting found twice counts once."""
+    failed = statuses.where("failed").select("company_key")
+    found = listed_postings(parsed.where(~F.col("failed"))).join(failed, "company_key", "left_anti")
     return dedupe_first(found, KEYS, (*ORDER, "url"))
 
 
-def detail_texts(details: DataFrame, specs: Mapping[str, PayloadSpec] = SPECS) -> DataFrame:
-    """(_detail_url, _good, _text) out of landed detail responses (source_system, url, json)."""
-    corrupt = {"columnNameOfCorruptRecord": "_corrupt"}
-    parts = [
-        details.where(F.col("source_system") == s.system)
-        .select("url", F.from_json("json", f"{s.detail_schema}, _corrupt string", corrupt).alias("_doc"))
-        .select(F.col("url").alias("_detail_url"), F.col("_doc._corrupt").isNull().alias("_good"),
-                s.detail_text(F.col("_doc")).alias("_text"))
-        for s in specs.values() if s.detail]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _detail_url(specs: Mapping[str, PayloadSpec]) -> Column:
-    urls = [F.when(F.col("source_system") == s.system, s.detail(F.col("posting_id"), F.col("url")))
-            for s in specs.values() if s.detail]
-    return F.coalesce(*urls)
-
-
 def with_descriptions(
     today: DataFrame, earlier: DataFrame, details: DataFrame | None, specs: Mapping[str, PayloadSpec] = SPECS
 ) -> DataFrame:
     """Descriptions are stored on the first day they are known, and never again; missing ones come from details.
 
-    Adds ``describe_error``: the posting still wants a description and its detail response was of no use.
+    The markup of a known posting is not even looked at. Adds ``describe_error``: the posting still wants a description
+    and its detail response was of no use. ``today`` is laid out by key already, so the join shuffles the known only.
     """
     known = known_keys(earlier, KEYS, "description").withColumn("_known", F.lit(True))
-    flagged = today.join(known, list(KEYS), "left")
-    wants = F.col("_known").isNull() & F.col("description").isNull()
+    unknown = F.col("_known").isNull()
+    described = today.join(known, list(KEYS), "left").withColumn("description", F.when(unknown, description(specs)))
     if details is None:
-        filled, error = flagged.withColumn("_text", F.lit(None).cast("string")), F.lit(False)
+        filled = described.withColumn("detail_failed", F.lit(False))
     else:
-        url = F.when(wants, _detail_url(specs))
-        filled = flagged.withColumn("_detail_url", url).join(detail_texts(details, specs), "_detail_url", "left")
-        error = F.col("_detail_url").isNotNull() & ~F.coalesce("_good", F.lit(False))
-    good_text = F.col("_text") if details is None else F.when(F.col("_good"), F.col("_text"))
-    description = F.when(F.col("_known").isNull(), F.coalesce(F.col("description"), good_text))
-    return filled.select(
-        *[description.alias(c) if c == "description" else F.col(c) for c in model.POSTING_FIELDS],
-        error.alias("describe_error"))
+        filled = attach_details(described, details, specs, unknown)
+    return filled.select(*model.POSTING_FIELDS, F.col("detail_failed").alias("describe_error"))
 
 
 def summarise_run(
@@ -124,9 +96,9 @@ def ingest_day(
     """
     spark = payloads.sparkSession
     started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
-    # one row per configured company
-    statuses = write_table(payload_status(payloads, specs), scratch_dir(spark, "status"))
-    today = collect_postings(payloads, statuses.where("failed").select("company_key"), specs)
+    parsed = write_table(parse_payloads(payloads, specs), scratch_dir(spark, "parsed"))
+    statuses = write_table(company_status(parsed), scratch_dir(spark, "status"))
+    today = collect_postings(parsed, statuses)
     earlier = spark.createDataFrame([], model.SNAPSHOT_SCHEMA) if snapshots is None else earlier_days(
         snapshots, F.lit(day).cast("date"))
     staged = write_table(with_descriptions(today, earlier, details, specs), scratch_dir(spark, "day"))

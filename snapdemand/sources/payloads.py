@@ -7,7 +7,7 @@ the named fields are built; a response that does not parse is reported, it does
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,9 +40,11 @@ class PayloadSpec:
     total: Callable[[Column], Column] | None = None
     rows_required: bool = False
     keep: Callable[[Column, Column], Column] = in_region
+    escaped: bool = False
+    blank_is_null: bool = True
     detail: Callable[[Column, Column], Column] | None = None
     detail_schema: str = ""
-    detail_text: Callable[[Column], Column] | None = None
+    detail_html: Callable[[Column], Column] | None = None
 
 
 def _named(location: Column, is_home: Column) -> Column:
@@ -51,14 +53,6 @@ def _named(location: Column, is_home: Column) -> Column:
                   F.concat(location, F.lit(f", {model.COUNTRY_NAME}"))).otherwise(location)
 
 
-def _text_or_null(html: Column) -> Column:
-    return F.nullif(html_to_text(html), F.lit(""))
-
-
-def _no_text() -> Column:
-    return F.lit(None).cast("string")
-
-
 def _workday(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
     path = or_empty(j["externalPath"])
     return {
@@ -67,7 +61,6 @@ def _workday(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": or_empty(j["locationsText"]),
         "posted_raw": or_empty(j["postedOn"]),
         "url": F.concat(F.lit("https://"), site("host"), F.lit("/en-US/"), site("site"), path),
-        "description": _no_text(),
     }
 
 
@@ -84,7 +77,6 @@ def _smartrecruiters(j: Column, site: Callable[[str], Column]) -> dict[str, Colu
         "location": or_empty(j["location"]["fullLocation"]),
         "posted_raw": prefix(or_empty(j["releasedDate"])),
         "url": F.concat(F.lit("https://jobs.smartrecruiters.com/"), site("company"), F.lit("/"), j["id"]),
-        "description": _no_text(),
     }
 
 
@@ -100,7 +92,6 @@ def _oracle_cloud(j: Column, site: Callable[[str], Column]) -> dict[str, Column]
         "location": or_empty(j["PrimaryLocation"]),
         "posted_raw": or_empty(j["PostedDate"]),
         "url": F.concat(site("job_url"), j["Id"]),
-        "description": _no_text(),
     }
 
 
@@ -112,7 +103,6 @@ def _eightfold(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": F.array_join(kept, "; "),
         "posted_raw": epoch_text(j["postedTs"], "s"),
         "url": F.concat(F.lit("https://"), site("host"), j["positionUrl"]),
-        "description": _no_text(),
     }
 
 
@@ -125,7 +115,7 @@ def _jibe(row: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": F.coalesce(F.nullif(j["full_location"], F.lit("")), city_country),
         "posted_raw": prefix(or_empty(j["posted_date"])),
         "url": F.concat(F.lit("https://"), site("host"), F.lit("/main/jobs/"), j["slug"]),
-        "description": html_to_text(j["description"]),
+        "html": j["description"],
     }
 
 
@@ -136,7 +126,6 @@ def _phenom(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": first_non_blank(j["cityStateCountry"], j["location"]),
         "posted_raw": prefix(or_empty(j["postedDate"])),
         "url": F.concat(F.lit("https://"), site("host"), F.lit("/global/en/job/"), j["jobId"]),
-        "description": _no_text(),
     }
 
 
@@ -147,7 +136,7 @@ def _amazon(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": _named(or_empty(j["location"]), j["country_code"].eqNullSafe(model.COUNTRY_CODE)),
         "posted_raw": or_empty(j["posted_date"]),
         "url": F.concat(F.lit("https://www.amazon.jobs"), j["job_path"]),
-        "description": html_to_text(j["description"]),
+        "html": j["description"],
     }
 
 
@@ -158,7 +147,7 @@ def _greenhouse(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": strip(or_empty(j["location"]["name"])),
         "posted_raw": first_non_blank(j["first_published"], j["updated_at"]),
         "url": j["absolute_url"],
-        "description": _text_or_null(unescape_entities(or_empty(j["content"]))),
+        "html": j["content"],
     }
 
 
@@ -175,8 +164,7 @@ def _lever(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": join_distinct(stripped_places(places)),
         "posted_raw": epoch_text(j["createdAt"], "ms"),
         "url": j["hostedUrl"],
-        "description": _text_or_null(
-            F.concat(or_empty(j["description"]), sections_text(sections, ""), or_empty(j["additional"]))),
+        "html": F.concat(or_empty(j["description"]), sections_text(sections, ""), or_empty(j["additional"])),
     }
 
 
@@ -192,7 +180,8 @@ def _ashby(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": _named(where, country.eqNullSafe(model.COUNTRY_NAME)),
         "posted_raw": or_empty(j["publishedAt"]),
         "url": j["jobUrl"],
-        "description": F.coalesce(_text_or_null(j["descriptionHtml"]), F.nullif(j["descriptionPlain"], F.lit(""))),
+        "html": j["descriptionHtml"],
+        "plain": j["descriptionPlain"],
     }
 
 
@@ -207,7 +196,7 @@ def _workable(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": join_distinct(shown),
         "posted_raw": or_empty(j["published_on"]),
         "url": j["url"],
-        "description": _text_or_null(j["description"]),
+        "html": j["description"],
     }
 
 
@@ -219,15 +208,14 @@ SPECS: dict[str, PayloadSpec] = {s.system: s for s in (
         rows=lambda d: d["jobPostings"], total=lambda d: d["total"], posting=_workday,
         keep=lambda location, title: in_region(location, title) | many_places(location),
         detail=_workday_detail, detail_schema="jobPostingInfo struct<jobDescription string>",
-        detail_text=lambda d: html_to_text(d["jobPostingInfo"]["jobDescription"])),
+        detail_html=lambda d: d["jobPostingInfo"]["jobDescription"]),
     PayloadSpec(
         "smartrecruiters",
         "totalFound bigint, content array<struct<id string, name string, releasedDate string, "
         "location struct<fullLocation string>>>",
         rows=lambda d: d["content"], total=lambda d: d["totalFound"], posting=_smartrecruiters,
         detail=_smartrecruiters_detail, detail_schema="jobAd struct<sections map<string, struct<text string>>>",
-        detail_text=lambda d: html_to_text(sections_text(
-            F.transform(F.map_values(d["jobAd"]["sections"]), lambda s: s["text"])))),
+        detail_html=lambda d: sections_text(F.transform(F.map_values(d["jobAd"]["sections"]), lambda s: s["text"]))),
     PayloadSpec(
         "oracle_cloud",
         "items array<struct<TotalJobsCount bigint, requisitionList array<struct<Id string, Title string, "
@@ -243,7 +231,7 @@ SPECS: dict[str, PayloadSpec] = {s.system: s for s in (
         "jibe",
         "totalCount bigint, jobs array<struct<data struct<slug string, title string, full_location string, "
         "city string, country string, posted_date string, description string>>>",
-        rows=lambda d: d["jobs"], total=lambda d: d["totalCount"], posting=_jibe),
+        rows=lambda d: d["jobs"], total=lambda d: d["totalCount"], posting=_jibe, blank_is_null=False),
     PayloadSpec(
         "phenom",
         "refineSearch struct<totalHits bigint, data struct<jobs array<struct<jobId string, title string, "
@@ -254,12 +242,12 @@ SPECS: dict[str, PayloadSpec] = {s.system: s for s in (
         "amazon",
         "hits bigint, jobs array<struct<id_icims string, title string, location string, country_code string, "
         "posted_date string, job_path string, description string>>",
-        rows=lambda d: d["jobs"], total=lambda d: d["hits"], posting=_amazon),
+        rows=lambda d: d["jobs"], total=lambda d: d["hits"], posting=_amazon, blank_is_null=False),
     PayloadSpec(
         "greenhouse",
         "jobs array<struct<id string, title string, location struct<name string>, first_published string, "
         "updated_at string, absolute_url string, content string>>",
-        rows=lambda d: d["jobs"], posting=_greenhouse),
+        rows=lambda d: d["jobs"], posting=_greenhouse, escaped=True),
     PayloadSpec(
         "lever",
         "array<struct<id string, text string, categories struct<location string, allLocations array<string>>, "
@@ -282,69 +270,143 @@ SPECS: dict[str, PayloadSpec] = {s.system: s for s in (
 )}
 
 
-def parse_payloads(payloads: DataFrame, spec: PayloadSpec) -> DataFrame:
-    """Adds ``_doc``, the parsed response, and ``failed``: the text is no such JSON, or lacks its list of rows."""
+_SHORT = ("posting_id", "title", "location", "posted_raw", "url")
+_TEXTS = ("html", "plain")
+
+
+def document(spec: PayloadSpec, json: Column) -> Column:
+    """The parsed response."""
     if spec.schema.startswith("array"):
-        doc = F.from_json("json", spec.schema)
-        broken = F.col("_doc").isNull()
-    else:
-        doc = F.from_json("json", f"{spec.schema}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
-        broken = F.col("_doc").isNull() | F.col(f"_doc.{_CORRUPT}").isNotNull()
-    if spec.rows_required:
-        broken = broken | spec.rows(F.col("_doc")).isNull()
-    mine = payloads.where(F.col("source_system") == spec.system)
-    return mine.withColumn("_doc", doc).withColumn("failed", broken)
-
-
-def postings_of(parsed: DataFrame, spec: PayloadSpec) -> DataFrame:
-    """Canonical postings, with the columns of ``ORDER``, of the parsed responses that did not fail."""
-    rows = (
-        parsed.where(~F.col("failed"))
-        .select("source_system", "company_key", "source_order", "page", "config", "collected_at",
-                F.posexplode(spec.rows(F.col("_doc"))).alias("position", "_row"))
-    )
-    fields = spec.posting(F.col("_row"), lambda name: F.try_element_at("config", F.lit(name)))
-    return (
-        rows.select("source_system", "company_key", "collected_at", *ORDER,
-                    *[c.alias(n) for n, c in fields.items()])
-        .where(spec.keep(F.col("location"), F.col("title")))
-        .select(*model.POSTING_FIELDS, *ORDER)
-    )
+        return F.from_json(json, spec.schema)
+    return F.from_json(json, f"{spec.schema}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def is_broken(spec: PayloadSpec, doc: Column) -> Column:
+    """The response is no such JSON, or lacks its list of rows."""
+    broken = doc.isNull()
+    if not spec.schema.startswith("array"):
+        broken = broken | doc[_CORRUPT].isNotNull()
+    return broken | spec.rows(doc).isNull() if spec.rows_required else broken
+
+
+def rows_read(spec: PayloadSpec, doc: Column) -> Column:
+    return F.coalesce(F.size(spec.rows(doc)), F.lit(0)).cast("bigint")
+
+
+def rows_reported(spec: PayloadSpec, doc: Column) -> Column:
+    return spec.total(doc) if spec.total else F.lit(None).cast("bigint")
+
+
+def kept_postings(spec: PayloadSpec, doc: Column, config: Column) -> Column:
+    """The response's postings of the kept region: an array of (position, short fields, html, plain)."""
+    def canonical(row: Column, position: Column) -> Column:
+        fields = spec.posting(row, lambda name: F.try_element_at(config, F.lit(name)))
+        texts = [fields.get(n, F.lit(None)).cast("string").alias(n) for n in _TEXTS]
+        posting = F.struct(position.alias("position"), *[fields[n].alias(n) for n in _SHORT], *texts)
+        return F.when(spec.keep(fields["location"], fields["title"]), posting)
+
+    return F.array_compact(F.transform(spec.rows(doc), canonical))
+
+
+def listed_postings(responses: DataFrame, postings: str = "postings") -> DataFrame:
+    """One row per posting of responses that carry their array of postings; texts still as markup."""
+    return responses.select(
+        "source_system", "company_key", "collected_at", "source_order", "page", F.inline(postings))
+
+
+def description(specs: Mapping[str, PayloadSpec]) -> Column:
+    """The text of a listed posting. One expression for all systems, as HTML is the costly part."""
+    def is_one_of(flagged: list[str]) -> Column:
+        return F.col("source_system").isin(flagged) if flagged else F.lit(False)
+
+    escaped = is_one_of([s.system for s in specs.values() if s.escaped])
+    blank_stays = is_one_of([s.system for s in specs.values() if not s.blank_is_null])
+    text = html_to_text(F.when(escaped, unescape_entities(F.col("html"))).otherwise(F.col("html")))
+    other = F.nullif("plain", F.lit(""))
+    return F.when(blank_stays | (text != ""), text).otherwise(other)
 
 
 def normalise(payloads: DataFrame, spec: PayloadSpec) -> DataFrame:
-    """Canonical postings of one system that belong to the kept region."""
-    return postings_of(parse_payloads(payloads, spec), spec)
+    """Canonical postings, with the columns of ``ORDER``, of one system's responses that parse."""
+    doc = F.col("_doc")
+    parsed = payloads.where(F.col("source_system") == spec.system).withColumn("_doc", document(spec, F.col("json")))
+    listed = listed_postings(parsed.where(~is_broken(spec, doc)).withColumn(
+        "postings", kept_postings(spec, doc, F.col("config"))))
+    return listed.withColumn("description", description({spec.system: spec})).select(*model.POSTING_FIELDS, *ORDER)
 
 
-def reported_totals(payloads: DataFrame, spec: PayloadSpec) -> DataFrame:
-    """Per company and site: the rows reported, the rows read, and whether more were reported than read."""
-    parsed = parse_payloads(payloads, spec)
-    total = spec.total(F.col("_doc")) if spec.total else F.lit(None).cast("bigint")
+def parse_payloads(payloads: DataFrame, specs: Mapping[str, PayloadSpec]) -> DataFrame:
+    """All systems in one pass: per response ``failed``, ``reported``, ``read`` and its kept ``postings``.
+
+    A response is parsed by the schema of its own system only; one of an unknown system counts as failed.
+    """
+    def own(spec: PayloadSpec, value: Column) -> Column:
+        return F.when(F.col("source_system") == spec.system, value)
+
+    def doc(spec: PayloadSpec) -> Column:
+        return F.col(f"_doc_{spec.system}")
+
+    every = list(specs.values())
+    parsed = payloads.withColumns({f"_doc_{s.system}": own(s, document(s, F.col("json"))) for s in every})
+    failed = F.coalesce(*[own(s, is_broken(s, doc(s))) for s in every], F.lit(True))
+    return parsed.withColumn("failed", failed).select(
+        "source_system", "company_key", "source_order", "page", "config", "collected_at", "failed",
+        F.coalesce(*[own(s, rows_reported(s, doc(s))) for s in every]).alias("reported"),
+        F.coalesce(*[own(s, rows_read(s, doc(s))) for s in every]).alias("read"),
+        F.when(~F.col("failed"), F.coalesce(
+            *[own(s, kept_postings(s, doc(s), F.col("config"))) for s in every])).alias("postings"))
+
+
+def site_totals(parsed: DataFrame) -> DataFrame:
+    """Per company and site of parsed responses: rows reported, rows read, and whether more were reported."""
     return (
-        parsed.groupBy("source_system", "company_key", F.col("config").cast("string").alias("site"))
-        .agg(F.max(total).alias("reported"),
-             F.sum(F.coalesce(F.size(spec.rows(F.col("_doc"))), F.lit(0))).alias("read"))
+        parsed.where(~F.col("failed"))
+        .groupBy("source_system", "company_key", F.col("config").cast("string").alias("site"))
+        .agg(F.max("reported").alias("reported"), F.sum("read").alias("read"))
         .withColumn("truncated", F.coalesce(F.col("reported") > F.col("read"), F.lit(False)))
     )
 
 
-def attach_details(postings: DataFrame, details: DataFrame, spec: PayloadSpec) -> DataFrame:
-    """Fills missing descriptions from detail responses ``(url, json)``, found by the posting's URL.
+def detail_texts(details: DataFrame, specs: Mapping[str, PayloadSpec]) -> DataFrame:
+    """(_detail_url, _good, _text) out of detail responses (source_system, url, json), all systems in one pass."""
+    corrupt = {"columnNameOfCorruptRecord": _CORRUPT}
+    with_details = [s for s in specs.values() if s.detail]
+
+    def own(spec: PayloadSpec, value: Column) -> Column:
+        return F.when(F.col("source_system") == spec.system, value)
+
+    def doc(spec: PayloadSpec) -> Column:
+        return F.col(f"_doc_{spec.system}")
+
+    parsed = details.withColumns({
+        f"_doc_{s.system}": own(s, F.from_json("json", f"{s.detail_schema}, {_CORRUPT} string", corrupt))
+        for s in with_details})
+    return parsed.select(
+        F.col("url").alias("_detail_url"),
+        F.coalesce(*[own(s, doc(s).isNotNull() & doc(s)[_CORRUPT].isNull()) for s in with_details]).alias("_good"),
+        F.coalesce(*[own(s, s.detail_html(doc(s))) for s in with_details]).alias("_html"),
+    ).select("_detail_url", "_good", html_to_text(F.col("_html")).alias("_text"))
+
+
+def detail_url(specs: Mapping[str, PayloadSpec]) -> Column:
+    """Where a posting's detail response was asked for; null for systems without one."""
+    return F.coalesce(*[
+        F.when(F.col("source_system") == s.system, s.detail(F.col("posting_id"), F.col("url")))
+        for s in specs.values() if s.detail])
+
+
+def attach_details(postings: DataFrame, details: DataFrame, specs: Mapping[str, PayloadSpec],
+                   wanted: Column | None = None) -> DataFrame:
+    """Fills missing descriptions, where ``wanted``, from detail responses (source_system, url, json).
 
     Adds ``detail_failed``: a description was wanted and its response is missing or does not parse. Details are unique
     by URL, and so are the postings after ``dedupe_first``: no key of this join is hot.
     """
-    corrupt = {"columnNameOfCorruptRecord": _CORRUPT}
-    parsed = details.select(
-        F.col("url").alias("_detail_url"),
-        F.from_json("json", f"{spec.detail_schema}, {_CORRUPT} string", corrupt).alias("_doc"),
-    ).select("_detail_url", F.col(f"_doc.{_CORRUPT}").isNull().alias("_good"),
-             spec.detail_text(F.col("_doc")).alias("_text"))
-    wanted = F.when(F.col("description").isNull(), spec.detail(F.col("posting_id"), F.col("url")))
-    joined = postings.withColumn("_detail_url", wanted).join(parsed, "_detail_url", "left")
-    failed = F.col("description").isNull() & ~F.coalesce("_good", F.lit(False))
+    wants = F.col("description").isNull() & (F.lit(True) if wanted is None else wanted)
+    joined = postings.withColumn("_detail_url", F.when(wants, detail_url(specs))).join(
+        detail_texts(details, specs), "_detail_url", "left")
+    good = F.coalesce("_good", F.lit(False))
     return joined.select(
         *[c for c in postings.columns if c != "description"],
-        F.coalesce("description", F.when(F.col("_good"), F.col("_text"))).alias("description"),
-        failed.alias("detail_failed"))
+        F.coalesce("description", F.when(good, F.col("_text"))).alias("description"),
+        (F.col("_detail_url").isNotNull() & ~good).alias("detail_failed"))

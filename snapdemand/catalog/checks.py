@@ -120,7 +120,7 @@ labels_got AS (
         "golden_labels", "p_name", "want_family || '/' || want_level || ' got ' || family || '/' || level",
         "FROM labels_got WHERE family <> want_family OR level <> want_level"))
 def qa10(t):
-    cases = t.documents.select(
+    cases = t.texts.select(
         F.concat(F.col("doc_id").cast("string"), F.lit(": "), "text").alias("text"), F.lit("license").alias("skill"),
         (F.col("lang") == "en").alias("should_match"))
     titles = t.part.select(

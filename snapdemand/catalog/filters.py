@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from snapdemand import model
 from snapdemand.catalog.base import query
-from snapdemand.catalog.products import facts, weekly
+from snapdemand.catalog.products import facts, saved_weekly
 from snapdemand.catalog.scalars import PLACE_TEXTS, placed
 from snapdemand.catalog.views import FACTS, LATEST, STG, WEEKLY, stg
 from snapdemand.functions.places import in_region, many_places
@@ -48,7 +48,7 @@ def fil4(t):
 WITH {WEEKLY} SELECT skill, category, open_postings, share FROM weekly
 WHERE week_start = (SELECT max(week_start) FROM weekly) AND role_scope = 'tech'""")
 def fil5(t):
-    rows = weekly(t)
+    rows = saved_weekly(t)
     return rows.where((F.col("week_start") == rank.latest_week(rows)) & (F.col("role_scope") == "tech")).select(
         "skill", "category", "open_postings", "share")
 
@@ -59,7 +59,7 @@ WITH {WEEKLY}, listed AS (
   ORDER BY open_postings DESC, skill LIMIT 10)
 SELECT week_start, skill, open_postings FROM weekly WHERE role_scope = 'tech' AND skill IN (SELECT skill FROM listed)""")
 def fil6(t):
-    rows = weekly(t)
+    rows = saved_weekly(t)
     return rank.trend_rows(rows, rank.trend_names(rows))
 
 

@@ -25,7 +25,7 @@ from snapdemand.quality.checks import check_latest_has_rows
 WITH {dictionary_sql(DOC_DICTIONARY)}
 SELECT DISTINCT doc_id, skill, category FROM documents JOIN dictionary ON regexp_matches(text, pattern, 'i')""")
 def jn1(t):
-    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY)
+    return tag(t.texts, ["doc_id"], "text", DOC_DICTIONARY)
 
 
 @query("JN2_equi", f"""

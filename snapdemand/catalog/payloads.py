@@ -9,6 +9,7 @@ from snapdemand import model
 from snapdemand.catalog.base import Tables, query
 from snapdemand.catalog.html_sql import html_text_sql
 from snapdemand.sources.config import site_configs
+from snapdemand.sources.files import spread
 from snapdemand.sources.payloads import SPECS, attach_details, normalise
 
 DAY = "2026-10-08"
@@ -136,7 +137,7 @@ def nrm4(t):
     row = obj(id=F.col("o_orderkey"), name=F.concat(F.lit("Order "), F.col("o_custkey").cast("string"), F.lit(" Giza")),
               locations=where, postedTs=F.when(F.col("o_orderstatus") != "P", seconds),
               positionUrl=F.concat(F.lit("/careers/"), F.col("o_orderkey").cast("string")))
-    return postings(payload(t.orders, "eightfold", F.col("o_orderpriority"), {"host": F.lit("h")},
+    return postings(payload(spread(t.orders), "eightfold", F.col("o_orderpriority"), {"host": F.lit("h")},
                             obj(data=obj(count=F.lit(1), positions=F.array(row)))), "eightfold")
 
 
@@ -152,7 +153,7 @@ def nrm5(t):
         full_location=F.when(kind == 0, "Assiut, Egypt").when(kind == 1, ""), city=F.when(kind == 1, "Tanta"),
         country=F.when(kind == 1, "Egypt"), posted_date=F.when(F.col("page_id") % 2 == 0, "2026-09-07T00:00:00"),
         description=F.col("html")))
-    return postings(payload(t.pages, "jibe", F.lit("pages"), {"host": F.lit("jibe.example.com")},
+    return postings(payload(t.markup, "jibe", F.lit("pages"), {"host": F.lit("jibe.example.com")},
                             obj(totalCount=F.lit(1), jobs=F.array(row))), "jibe")
 
 
@@ -184,7 +185,7 @@ def nrm7(t):
               country_code=F.when(kind == 2, text()).otherwise("EGY"),
               posted_date=F.when(F.col("page_id") % 3 != 0, "October  1, 2026"),
               job_path=F.concat(F.lit("/en/jobs/"), F.col("page_id").cast("string")), description=F.col("html"))
-    return postings(payload(t.pages, "amazon", F.lit("pages"), {"country": F.lit("EGY")},
+    return postings(payload(t.markup, "amazon", F.lit("pages"), {"country": F.lit("EGY")},
                             obj(hits=F.lit(1), jobs=F.array(row))), "amazon")
 
 
@@ -203,7 +204,7 @@ def nrm8(t):
     row = obj(id=F.col("page_id"), title=F.lit(" Cairo job\t"), location=obj(name=page_place()),
               first_published=F.when(kind == 0, "2026-09-01T00:00:00Z").when(kind == 1, ""),
               updated_at=F.when(kind == 1, "2026-09-02"), absolute_url=F.col("url"), content=escaped("html"))
-    return postings(payload(t.pages, "greenhouse", F.lit("pages"), {"board": F.lit("board")},
+    return postings(payload(t.markup, "greenhouse", F.lit("pages"), {"board": F.lit("board")},
                             obj(jobs=F.array(row))), "greenhouse")
 
 
@@ -229,7 +230,7 @@ def nrm9(t):
         createdAt=F.when(F.col("page_id") % 4 == 0, 0).otherwise(F.lit(1727481600000)),
         description=F.col("html"), lists=F.when(F.col("page_id") % 2 == 0, sections),
         additional=F.when(F.col("page_id") % 5 != 0, "<p>more &amp; more</p>"), hostedUrl=F.col("url"))
-    return postings(payload(t.pages, "lever", F.lit("pages"), {"site": F.lit("s")}, F.array(row)), "lever")
+    return postings(payload(t.markup, "lever", F.lit("pages"), {"site": F.lit("s")}, F.array(row)), "lever")
 
 
 @query("NRM10_ashby", final_sql("ashby", f"""
@@ -248,7 +249,7 @@ def nrm10(t):
         publishedAt=F.lit("2026-09-28T10:15:00.000+00:00"), jobUrl=F.col("url"),
         descriptionHtml=F.when(F.col("page_id") % 4 != 0, F.col("html")).otherwise("<p></p>"),
         descriptionPlain=F.concat(F.lit("plain "), "url"))
-    return postings(payload(t.pages, "ashby", F.lit("pages"), {"board": F.lit("b")},
+    return postings(payload(t.markup, "ashby", F.lit("pages"), {"board": F.lit("b")},
                             obj(jobs=F.array(row))), "ashby")
 
 
@@ -265,7 +266,7 @@ def nrm11(t):
         city=F.when(kind == 1, "Giza").otherwise("Tunis"), country=F.when(kind != 1, "Tunisia"),
         locations=F.when(kind == 0, places).when(kind == 1, F.slice(places, 1, 0)),
         published_on=F.lit("2026-09-28"), url=F.col("url"), description=F.col("html"))
-    return postings(payload(t.pages, "workable", F.lit("pages"), {"account": F.lit("acc")},
+    return postings(payload(t.markup, "workable", F.lit("pages"), {"account": F.lit("acc")},
                             obj(jobs=F.array(row))), "workable")
 
 

@@ -15,6 +15,8 @@ from snapdemand.operators.demand import daily_cells, daily_demand, scoped_demand
 from snapdemand.operators.lifecycle import lifecycle
 from snapdemand.plans import warehouse as w
 from snapdemand.plans.skill_demand import skill_demand_weekly
+from snapdemand.session import scratch_dir
+from snapdemand.sinks import write_table
 
 
 def facts(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
@@ -35,6 +37,11 @@ def weekly(t: Tables) -> DataFrame:
     return scoped_demand(entity_table(t))
 
 
+def saved_weekly(t: Tables) -> DataFrame:
+    """The weekly mart as a written table, for reports that read it several times."""
+    return write_table(weekly(t), scratch_dir(t.spark, "weekly"))
+
+
 @query("MOD1_stg_postings", f"WITH {STG} SELECT * FROM stg")
 def mod1(t):
     return stg(t)
@@ -113,7 +120,8 @@ def mod8_events(t):
 
 @query("MOD9_role_demand_daily", f"WITH {DAILY} SELECT * FROM daily")
 def mod9(t):
-    return daily_cells(entity_table(t).select("role_family", "first_seen", "_days"), "role_family")
+    days = entity_table(t).select("role_family", "first_seen", "_days")
+    return daily_cells(write_table(days, scratch_dir(t.spark, "days")), "role_family")
 
 
 @query("MOD9_from_models", f"WITH {DAILY} SELECT * FROM daily")
@@ -142,7 +150,7 @@ SELECT role_scope, skill, category, week_start, open_postings, share,
 FROM weekly WHERE week_start = (SELECT max(week_start) FROM weekly)
 QUALIFY rank <= 15""")
 def mod11_top(t):
-    return rank.top_tags(weekly(t))
+    return rank.top_tags(saved_weekly(t))
 
 
 @query("MOD11_trend", f"""
@@ -155,7 +163,7 @@ SELECT n.skill, a.week_start, coalesce(w.open_postings, 0) AS open_postings
 FROM named AS n CROSS JOIN axis AS a
 LEFT JOIN weekly AS w ON w.skill = n.skill AND w.week_start = a.week_start AND w.role_scope = 'tech'""")
 def mod11_trend(t):
-    series = rank.trend(weekly(t))
+    series = rank.trend(saved_weekly(t))
     return series.select("skill", F.explode(F.arrays_zip("weeks", "series")).alias("c")).select(
         "skill", F.col("c.weeks").alias("week_start"), F.col("c.series").alias("open_postings"))
 

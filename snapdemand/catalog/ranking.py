@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snapdemand.catalog.base import query
-from snapdemand.catalog.products import facts, weekly
+from snapdemand.catalog.products import facts, saved_weekly, weekly
 from snapdemand.catalog.views import (
     DIMENSION, FACTS, LATEST, OBS_E, ROLES, RULES, RULES_SQL, SKILLS, WEEKLY, dimension, obs_e, stg,
 )
@@ -57,7 +57,7 @@ WITH {WEEKLY}, named AS (
   ORDER BY open_postings DESC, skill LIMIT 4)
 SELECT week_start, skill, open_postings FROM weekly JOIN named USING (skill) WHERE role_scope = 'all'""")
 def top3(t):
-    rows = weekly(t)
+    rows = saved_weekly(t)
     return rank.trend_rows(rows, rank.trend_names(rows, "all", 4), "all")
 
 
@@ -84,7 +84,7 @@ cells AS (
   LEFT JOIN weekly AS w ON w.skill = n.skill AND w.week_start = a.week_start AND w.role_scope = 'tech')
 SELECT skill, string_agg(n, ',' ORDER BY week_start) AS series, CAST(count(*) AS INTEGER) AS weeks FROM cells GROUP BY 1""")
 def rsh1(t):
-    return rank.trend(weekly(t)).select(
+    return rank.trend(saved_weekly(t)).select(
         "skill", F.array_join(F.col("series").cast("array<string>"), ",").alias("series"), F.size("weeks").alias("weeks"))
 
 

@@ -11,6 +11,7 @@ from snapdemand.catalog.views import (
 )
 from snapdemand.functions import dates, html, places, regex, text
 from snapdemand.operators.snapshots import status
+from snapdemand.operators.tagging import tag
 from snapdemand.plans.warehouse import posting_texts
 
 ZS = "chr(160) || chr(8195) || chr(12288)"
@@ -120,27 +121,25 @@ PATTERN = r"\b(the|und)\s+[a-m]\w*\b|license\.?$"
 
 @query("SCL8_matches", f"SELECT doc_id, regexp_matches(text, '{PATTERN}', 'i') AS hit FROM documents")
 def scl8(t):
-    return t.documents.select("doc_id", regex.matches(F.col("text"), PATTERN).alias("hit"))
+    return t.texts.select("doc_id", regex.matches(F.col("text"), PATTERN).alias("hit"))
 
 
 @query("SCL9_first_match", r"SELECT doc_id, regexp_extract(text, '[A-Z]\w+\s+(of|de|der)\s+\w+') AS found FROM documents")
 def scl9(t):
-    return t.documents.select("doc_id", regex.first_match(
+    return t.texts.select("doc_id", regex.first_match(
         F.col("text"), r"[A-Z]\w+\s+(of|de|der)\s+\w+").alias("found"))
 
 
 @query("SCL10_squeeze", r"SELECT doc_id, regexp_replace(text, '\s+', ' ', 'g') AS squeezed FROM documents")
 def scl10(t):
-    return t.documents.select("doc_id", regex.squeeze(F.col("text")).alias("squeezed"))
+    return t.texts.select("doc_id", regex.squeeze(F.col("text")).alias("squeezed"))
 
 
 @query("SCL11_regex_dialect", f"""
 WITH {dictionary_sql(DOC_DICTIONARY)}
 SELECT skill, count(*) AS docs FROM documents JOIN dictionary ON regexp_matches(text, pattern, 'i') GROUP BY skill""")
 def scl11(t):
-    hits = F.array_compact(F.array(*[
-        F.when(regex.matches(F.col("text"), e.pattern), F.lit(e.skill)) for e in DOC_DICTIONARY]))
-    return t.documents.select(F.explode(hits).alias("skill")).groupBy("skill").agg(F.count("*").alias("docs"))
+    return tag(t.texts, ["doc_id"], "text", DOC_DICTIONARY).groupBy("skill").agg(F.count("*").alias("docs"))
 
 
 @query("SCL12_searchable", f"""
@@ -171,12 +170,12 @@ def scl14(t):
 
 @query("SCL15_html_to_text", f"SELECT page_id, {html_text_sql('html')} AS text FROM pages")
 def scl15(t):
-    return t.pages.select("page_id", html.html_to_text(F.col("html")).alias("text"))
+    return t.markup.select("page_id", html.html_to_text(F.col("html")).alias("text"))
 
 
 @query("SCL16_unescape", f"SELECT page_id, {unescape_sql('html')} AS html FROM pages")
 def scl16(t):
-    return t.pages.select("page_id", html.unescape_entities(F.col("html")).alias("html"))
+    return t.markup.select("page_id", html.unescape_entities(F.col("html")).alias("html"))
 
 
 @query("SCL17_join_distinct", """
@@ -194,7 +193,7 @@ def scl17(t):
 SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, 'tion|ment', 'i')), ' ') AS kept
 FROM documents""")
 def scl18(t):
-    return t.documents.select("doc_id", F.array_join(text.keep_items(F.split("text", " "), "tion|ment"), " ").alias("kept"))
+    return t.texts.select("doc_id", F.array_join(text.keep_items(F.split("text", " "), "tion|ment"), " ").alias("kept"))
 
 
 @query("SCL19_sections_text", """

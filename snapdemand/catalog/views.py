@@ -154,7 +154,8 @@ def raw_l(t: Tables) -> DataFrame:
     kept = dedupe_first(lines, ["l_partkey", "day"], ["l_orderkey", "l_linenumber", "l_suppkey"])
     first = lines.groupBy("l_partkey").agg(F.min("day").alias("_first"))
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_brand", "p_size")
-    rows = kept.join(part.join(first, "l_partkey"), "l_partkey")
+    # both sides grow with the data, so neither is to be broadcast
+    rows = kept.join(part.join(first, "l_partkey").hint("merge"), "l_partkey")
 
     nbsp, day = F.lit(chr(160)), F.col("day")
     level = F.when(F.col("l_returnflag") == "A", "Senior ").when(F.col("l_returnflag") == "R", "Junior ").otherwise("")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -141,6 +142,52 @@ def rx_lower(pattern: str) -> str:
     return "(?d)" + lowered
 
 
+def _literals(tokens: list[str], start: int, end: int) -> tuple[str, ...]:
+    """Texts of which every match of ``tokens[start:end]`` holds at least one; empty when none can be named."""
+    found: list[str] = []
+    for left, right in _branches(tokens, start, end):
+        choices, run, i = [], "", left
+        while i < right:
+            token = tokens[i]
+            grouped = token.startswith("(") and not token.endswith(")")
+            stop = _closing(tokens, i) if grouped else i
+            repeat = tokens[stop + 1] if stop + 1 < right and tokens[stop + 1] in ("+", *_OPTIONAL) else ""
+            escaped = len(token) == 2 and token[0] == "\\" and not token[1].isalnum()
+            literal = token.isascii() and (escaped or len(token) == 1 and token not in ".^$|)[(")
+            if literal and repeat not in _OPTIONAL:
+                run += token[-1].lower()
+            if repeat or not literal:
+                choices, run = [*choices, (run,)], ""
+            if token in ("(", "(?:") and repeat not in _OPTIONAL:
+                choices.append(_literals(tokens, i + 1, stop))
+            i = stop + 1 + bool(repeat)
+            if repeat == "{":
+                i = next((j for j in range(i, right) if tokens[j] == "}"), right) + 1
+            if repeat and i < right and tokens[i] == "?":
+                i += 1
+        # the longest text is the rarest; of several, the shortest decides
+        best = max([*choices, (run,)], key=lambda texts: min(map(len, texts), default=0))
+        if not all(best) or not best:
+            return ()
+        found += best
+    return tuple(dict.fromkeys(found))
+
+
+def required_literals(pattern: str) -> tuple[str, ...]:
+    """Lower-case ASCII texts of which every match holds at least one; empty when none can be named."""
+    tokens = _TOKEN.findall(pattern)
+    return _literals(tokens, 0, len(tokens))
+
+
+def matches_lower(lowered: Column, pattern: str) -> Column:
+    """``matches`` for lower-cased texts without ``FOLDING_CHARS``: plain substring tests come before the regex."""
+    literals = required_literals(pattern)
+    hit = lowered.rlike(rx_lower(pattern))
+    if not literals or len(literals) > 4:
+        return hit
+    return reduce(Column.__or__, [F.contains(lowered, F.lit(x)) for x in literals]) & hit
+
+
 def plain_words(pattern: str) -> tuple[str, ...] | None:
     r"""The words of a pattern that is only ``\bword\b`` or ``\b(word|word)\b``; None for any other pattern."""
     found = re.fullmatch(r"\\b(?:(\w+)|\((?:\?:)?(\w+(?:\|\w+)*)\))\\b", pattern, re.ASCII)
@@ -148,8 +195,10 @@ def plain_words(pattern: str) -> tuple[str, ...] | None:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Case-insensitive regex test."""
-    return text.rlike(rx(pattern))
+    """Case-insensitive regex test. Exact word boundaries are costly; only texts whose folding leaves ASCII need them."""
+    if r"\b" not in pattern:
+        return text.rlike(rx(pattern))
+    return F.when(text.rlike(FOLDING_CHARS), text.rlike(rx(pattern))).otherwise(matches_lower(F.lower(text), pattern))
 
 
 def first_match(text: Column, pattern: str) -> Column:

@@ -12,17 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapdemand.functions.regex import FOLDING_CHARS, Entry, plain_words, rx, rx_lower
+from snapdemand.functions.regex import FOLDING_CHARS, Entry, matches_lower, plain_words, rx
 
-_NOT_WORD = "[^0-9A-Za-z_]+"
+_WORD = "[0-9a-z_]+"
 
 
 def _entry(e: Entry) -> Column:
     return F.struct(F.lit(e.skill).alias("skill"), F.lit(e.category).alias("category"))
 
 
-def _tested(text: Column, tests: Sequence[tuple[Entry, str]]) -> Column:
-    return F.array_compact(F.array(*[F.when(text.rlike(p), _entry(e)) for e, p in tests]))
+def _tested(tests: Sequence[tuple[Entry, Column]]) -> Column:
+    return F.array_compact(F.array(*[F.when(hit, _entry(e)) for e, hit in tests]))
 
 
 def _word_table(words: Sequence[tuple[str, Entry]]) -> Column:
@@ -40,23 +40,24 @@ def with_tags(df: DataFrame, text: str, dictionary: Sequence[Entry], into: str =
     others = [e for e in dictionary if plain_words(e.pattern) is None]
     empty = F.array().cast("array<struct<skill:string,category:string>>")
 
-    exact = _tested(F.col(text), [(e, rx(e.pattern)) for e in dictionary]) if dictionary else empty
+    exact = _tested([(e, F.col(text).rlike(rx(e.pattern))) for e in dictionary]) if dictionary else empty
     found = []
     if words:
-        hits = F.array_intersect("_words", F.array(*[F.lit(w) for w in dict.fromkeys(w for w, _ in words)]))
+        found_words = F.regexp_extract_all("_lower", F.lit(_WORD), F.lit(0))
+        hits = F.array_intersect(found_words, F.array(*[F.lit(w) for w in dict.fromkeys(w for w, _ in words)]))
         table = _word_table(words)
         found.append(F.flatten(F.transform(hits, lambda w: F.element_at(table, w))))
     if others:
-        found.append(_tested(F.col("_lower"), [(e, rx_lower(e.pattern)) for e in others]))
+        found.append(_tested([(e, matches_lower(F.col("_lower"), e.pattern)) for e in others]))
     fast = F.concat(*found) if found else empty
 
-    prepared = df.withColumn("_lower", F.lower(text)).withColumn("_words", F.split("_lower", _NOT_WORD))
+    prepared = df.withColumn("_lower", F.lower(text))
     tags = (
         F.when(F.col(text).isNull(), empty)
         .when(F.col(text).rlike(FOLDING_CHARS), exact)
         .otherwise(fast)
     )
-    return prepared.withColumn(into, F.array_distinct(tags)).drop("_lower", "_words")
+    return prepared.withColumn(into, F.array_distinct(tags)).drop("_lower")
 
 
 def tag(df: DataFrame, keys: Sequence[str], text: str, dictionary: Sequence[Entry]) -> DataFrame:

@@ -19,6 +19,8 @@ def local_session(cpus: int = 8, app: str = "snapdemand") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # one partition per core already: merging small ones would leave costly expressions to a single task
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
         .getOrCreate()
     )

@@ -28,6 +28,15 @@ def read_glob(spark: SparkSession, glob: str, schema: T.StructType = model.POSTI
     return spark.read.schema(schema).parquet(glob)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deals the rows of a scan out to all cores when it has fewer splits than that; else returns it unchanged.
+
+    Meant for costly work per row on a few small files. A large table has more splits than cores and is never shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def earlier_days(snapshots: DataFrame, day: Column, date: str = "date") -> DataFrame:
     """Days before ``day``; with ``date`` the partition column the others are never listed or read."""
     return snapshots.where(F.col(date) < day)

@@ -47,10 +47,10 @@ def agg6(t):
     return t.lineitem.agg(F.max(F.col("l_shipdate").cast("date")).alias("last_day"))
 
 
-STATUSES = f"""
+STATUSES = """
 statuses AS (
-  SELECT user_id AS key, day, CASE WHEN count(*) FILTER (WHERE value > 45) > 0 THEN 'error'
-                              WHEN count(*) > 1 THEN 'ok' ELSE 'empty' END AS status FROM obs_e GROUP BY ALL)"""
+  SELECT role_family AS key, day, CASE WHEN count(*) FILTER (WHERE value > 200) > 0 THEN 'error'
+                                  WHEN count(*) > 50 THEN 'ok' ELSE 'empty' END AS status FROM obs_e GROUP BY ALL)"""
 
 
 @query("AGG7_by_status", f"""
@@ -60,13 +60,13 @@ SELECT day, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE
        array_to_string(list_sort(list(key) FILTER (WHERE status = 'error')), ',') AS failed_keys
 FROM statuses GROUP BY day""")
 def agg7(t):
-    # one list per day of the sources that failed: as long as the source dimension at most
-    statuses = obs_e(t).groupBy("day", F.col("user_id").alias("key")).agg(
-        F.when(F.count_if(F.col("value") > 45) > 0, "error").when(F.count("*") > 1, "ok").otherwise("empty").alias("status"))
+    # the list of a day holds sources, of which there are as many as event types
+    statuses = obs_e(t).groupBy("day", F.col("role_family").alias("key")).agg(
+        F.when(F.count_if(F.col("value") > 200) > 0, "error").when(F.count("*") > 50, "ok").otherwise("empty").alias("status"))
     failed = F.sort_array(F.collect_set(F.when(F.col("status") == "error", F.col("key"))))
     return statuses.groupBy("day").agg(
         *[F.count_if(F.col("status") == s).alias(n) for s, n in (("ok", "ok"), ("empty", "empty"), ("error", "failed"))],
-        F.nullif(F.array_join(failed.cast("array<string>"), ","), F.lit("")).alias("failed_keys"))
+        F.nullif(F.array_join(failed, ","), F.lit("")).alias("failed_keys"))
 
 
 @query("AGG8_sum", """

@@ -36,8 +36,8 @@ def save_table(df: DataFrame, name: str, buckets: int = 0, key: str = "posting_k
 
 
 def write_ordered(df: DataFrame, path: str, order: list[str]) -> None:
-    """One sorted file; for marts, whose size is bounded by dictionary and calendar."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Files in total order: a range per file, so a small mart is one file and a large one is sorted by all cores."""
+    df.orderBy(*order).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def write_document(document: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from snapdemand.catalog.base import Tables, query
 from snapdemand.catalog.views import (
     BRIDGE, DAILY, DIMENSION, EVENT_SCOPES, EVENT_SCOPES_SQL, FACTS, LIFE, OBS_E, PART_DICTIONARY, ROLES, RULES, SKILLS,
-    STG, WEEKLY, dimension, obs_e, raw_l, stg,
+    STG, WEEKLY, dimension, last_day_l, obs_e, raw_l, stg,
 )
 from snapdemand.operators import rank
 from snapdemand.operators.demand import daily_cells, daily_demand, scoped_demand, weekly_demand
@@ -21,7 +21,7 @@ from snapdemand.sinks import write_table
 
 def facts(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
     cleaned = stg(t) if cleaned is None else cleaned
-    return w.fct_postings(w.posting_lifecycle(cleaned), w.posting_roles(cleaned, RULES))
+    return w.fct_postings(w.posting_lifecycle(cleaned, last_day_l(t)), w.posting_roles(cleaned, RULES))
 
 
 def bridge(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def mod1(t):
 
 @query("MOD2_lifecycle", f"WITH {LIFE} SELECT * FROM life")
 def mod2(t):
-    return w.posting_lifecycle(stg(t))
+    return w.posting_lifecycle(stg(t), last_day_l(t))
 
 
 @query("MOD2_lifecycle_events", f"""

@@ -185,6 +185,11 @@ def raw_l(t: Tables) -> DataFrame:
     )
 
 
+def last_day_l(t: Tables) -> Column:
+    """The last collection day of ``raw_l``, read off the one column it comes from."""
+    return t.lineitem.agg(F.max(F.col("l_shipdate").cast("date"))).scalar()
+
+
 def _case(selector: Column, branches: dict[int, Column], otherwise: Column) -> Column:
     chosen = None
     for value, result in branches.items():

@@ -89,11 +89,13 @@ def lifecycle(
     attrs: Sequence[str],
     earliest: Sequence[str] = (),
     tie: Sequence[str] = (),
+    last_day: Column | None = None,
 ) -> DataFrame:
     """First and last day seen, openness and latest attributes of each entity.
 
     An entity is open when it was seen on the last day of the whole table, so a source that failed on that day looks
-    closed.
+    closed. That day is a scalar subquery over ``df``; give ``last_day`` where a cheaper one is at hand, such as the
+    maximum of a partition column.
     """
     state = entity_state(df, keys, day, attrs, earliest, tie=tie)
-    return with_openness(state, latest_day(df, day))
+    return with_openness(state, latest_day(df, day) if last_day is None else last_day)

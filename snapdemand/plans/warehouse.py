@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdemand import model
@@ -51,8 +51,8 @@ def staging(raw: DataFrame, places: dict[str, str] = model.PLACES) -> DataFrame:
     )
 
 
-def posting_lifecycle(stg: DataFrame) -> DataFrame:
-    return lifecycle(stg, [KEY], DAY, ATTRS, earliest=["posted_date"], tie=["url"]).select(
+def posting_lifecycle(stg: DataFrame, last_day: Column | None = None) -> DataFrame:
+    return lifecycle(stg, [KEY], DAY, ATTRS, earliest=["posted_date"], tie=["url"], last_day=last_day).select(
         KEY, *ATTRS, "posted_date", "first_seen", "last_seen", "is_open", "days_open")
 
 

@@ -13,16 +13,15 @@ from snapdemand import model
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """(position, entry) per config entry of a YAML or JSON list; entry is JSON text. Position is the file's order."""
+    text = spark.read.text(path, wholetext=True).first()[0]
     if path.endswith((".yml", ".yaml")):
         try:
             import yaml
         except ImportError as exc:
             raise RuntimeError("reading YAML needs the yaml package; give the config as JSON instead") from exc
-        with open(path, encoding="utf-8") as f:
-            entries = yaml.safe_load(f)
+        entries = yaml.safe_load(text)
     else:
-        with open(path, encoding="utf-8") as f:
-            entries = json.load(f)
+        entries = json.loads(text)
     return spark.createDataFrame([(i, json.dumps(e)) for i, e in enumerate(entries)], "position int, entry string")
 
 

@@ -403,10 +403,13 @@ def attach_details(postings: DataFrame, details: DataFrame, specs: Mapping[str,
     by URL, and so are the postings after ``dedupe_first``: no key of this join is hot.
     """
     wants = F.col("description").isNull() & (F.lit(True) if wanted is None else wanted)
-    joined = postings.withColumn("_detail_url", F.when(wants, detail_url(specs))).join(
+    url = F.when(wants, detail_url(specs))
+    # most postings want nothing: a key of their own, which no URL equals, spreads them where null would gather them
+    own = F.concat_ws(":", F.lit("-"), "source_system", "posting_id")
+    joined = postings.withColumns({"_asked": url.isNotNull(), "_detail_url": F.coalesce(url, own)}).join(
         detail_texts(details, specs), "_detail_url", "left")
     good = F.coalesce("_good", F.lit(False))
     return joined.select(
         *[c for c in postings.columns if c != "description"],
         F.coalesce("description", F.when(good, F.col("_text"))).alias("description"),
-        (F.col("_detail_url").isNotNull() & ~good).alias("detail_failed"))
+        (F.col("_asked") & ~good).alias("detail_failed"))

@@ -16,7 +16,7 @@ DAY = "2026-10-08"
 KEEP = f"regexp_matches(coalesce(nullif(location, ''), title, ''), '{model.KEEP_PATTERN}', 'i')"
 PLACE = ("CASE p_size % 5 WHEN 0 THEN 'Cairo, Egypt' WHEN 1 THEN '4 Locations' WHEN 2 THEN 'Dubai' "
          "WHEN 3 THEN NULL ELSE 'Giza' END")
-PAGE_PLACE = "CASE page_id % 4 WHEN 0 THEN ' Cairo ' WHEN 1 THEN 'Dubai' WHEN 2 THEN NULL ELSE 'Assiut' END"
+PAGE_PLACE = "CASE page_id % 4 WHEN 0 THEN ' Cairo ' WHEN 1 THEN 'Dubai' WHEN 2 THEN NULL ELSE 'Minya' END"
 
 
 def place() -> Column:
@@ -27,7 +27,7 @@ def place() -> Column:
 
 def page_place() -> Column:
     kind = F.col("page_id") % 4
-    return F.when(kind == 0, " Cairo ").when(kind == 1, "Dubai").when(kind == 3, "Assiut")
+    return F.when(kind == 0, " Cairo ").when(kind == 1, "Dubai").when(kind == 3, "Minya")
 
 
 def obj(**fields: Column) -> Column:
@@ -123,15 +123,15 @@ def nrm3(t):
 
 @query("NRM4_eightfold", final_sql("eightfold", f"""
   SELECT o_orderpriority AS company_key, 'h:' || o_orderkey AS posting_id, 'Order ' || o_custkey || ' Giza' AS title,
-         array_to_string(list_filter(['Cairo,' || o_orderstatus, 'Dubai', 'Smart Village,Egypt'],
+         array_to_string(list_filter(['Cairo,' || o_orderstatus, 'Dubai', 'Maadi,Egypt'],
                                      lambda x: regexp_matches(x, '{model.KEEP_PATTERN}', 'i')
-                                               AND o_custkey % 3 > 0 AND (o_custkey % 3 = 1 OR x NOT LIKE 'Smart%')), '; ') AS location,
+                                               AND o_custkey % 3 > 0 AND (o_custkey % 3 = 1 OR x NOT LIKE 'Maadi%')), '; ') AS location,
          CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS posted_raw,
          'https://h/careers/' || o_orderkey AS url, CAST(NULL AS VARCHAR) AS description FROM orders"""))
 def nrm4(t):
     cairo = F.concat(F.lit("Cairo,"), "o_orderstatus")
     kind = F.col("o_custkey") % 3
-    where = F.when(kind == 1, F.array(cairo, F.lit("Dubai"), F.lit("Smart Village,Egypt"))).when(
+    where = F.when(kind == 1, F.array(cairo, F.lit("Dubai"), F.lit("Maadi,Egypt"))).when(
         kind == 2, F.array(cairo, F.lit("Dubai")))
     seconds = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86_400 + 3_600
     row = obj(id=F.col("o_orderkey"), name=F.concat(F.lit("Order "), F.col("o_custkey").cast("string"), F.lit(" Giza")),
@@ -143,14 +143,14 @@ def nrm4(t):
 
 @query("NRM5_jibe", final_sql("jibe", f"""
   SELECT 'pages' AS company_key, 'jibe.example.com:' || page_id AS posting_id, 'Page Cairo ' || page_id AS title,
-         CASE WHEN page_id % 3 = 0 THEN 'Assiut, Egypt' WHEN page_id % 3 = 1 THEN 'Tanta, Egypt' ELSE ', ' END AS location,
+         CASE WHEN page_id % 3 = 0 THEN 'Minya, Egypt' WHEN page_id % 3 = 1 THEN 'Tanta, Egypt' ELSE ', ' END AS location,
          CASE WHEN page_id % 2 = 0 THEN '2026-09-07' ELSE '' END AS posted_raw,
          'https://jibe.example.com/main/jobs/' || page_id AS url, {html_text_sql('html')} AS description FROM pages"""))
 def nrm5(t):
     kind = F.col("page_id") % 3
     row = obj(data=obj(
         slug=F.col("page_id"), title=F.concat(F.lit("Page Cairo "), F.col("page_id").cast("string")),
-        full_location=F.when(kind == 0, "Assiut, Egypt").when(kind == 1, ""), city=F.when(kind == 1, "Tanta"),
+        full_location=F.when(kind == 0, "Minya, Egypt").when(kind == 1, ""), city=F.when(kind == 1, "Tanta"),
         country=F.when(kind == 1, "Egypt"), posted_date=F.when(F.col("page_id") % 2 == 0, "2026-09-07T00:00:00"),
         description=F.col("html")))
     return postings(payload(t.markup, "jibe", F.lit("pages"), {"host": F.lit("jibe.example.com")},
@@ -173,17 +173,17 @@ def nrm6(t):
 
 @query("NRM7_amazon", final_sql("amazon", f"""
   SELECT 'pages' AS company_key, 'a' || page_id AS posting_id, 'Job ' || page_id AS title,
-         CASE page_id % 4 WHEN 0 THEN 'EG, Cairo' WHEN 1 THEN 'EG, Mansoura, Egypt' WHEN 2 THEN 'AE, Dubai'
+         CASE page_id % 4 WHEN 0 THEN 'EG, Cairo' WHEN 1 THEN 'EG, Luxor, Egypt' WHEN 2 THEN 'AE, Dubai'
               ELSE ', Egypt' END AS location,
-         CASE WHEN page_id % 3 = 0 THEN '' ELSE 'October  1, 2026' END AS posted_raw,
+         CASE WHEN page_id % 3 = 0 THEN '' ELSE 'March  5, 2026' END AS posted_raw,
          'https://www.amazon.jobs/en/jobs/' || page_id AS url, {html_text_sql('html')} AS description FROM pages"""))
 def nrm7(t):
     kind = F.col("page_id") % 4
     row = obj(id_icims=F.concat(F.lit("a"), F.col("page_id").cast("string")),
               title=F.concat(F.lit("Job "), F.col("page_id").cast("string")),
-              location=F.when(kind == 0, "EG, Cairo").when(kind == 1, "EG, Mansoura").when(kind == 2, "AE, Dubai"),
+              location=F.when(kind == 0, "EG, Cairo").when(kind == 1, "EG, Luxor").when(kind == 2, "AE, Dubai"),
               country_code=F.when(kind == 2, text()).otherwise("EGY"),
-              posted_date=F.when(F.col("page_id") % 3 != 0, "October  1, 2026"),
+              posted_date=F.when(F.col("page_id") % 3 != 0, "March  5, 2026"),
               job_path=F.concat(F.lit("/en/jobs/"), F.col("page_id").cast("string")), description=F.col("html"))
     return postings(payload(t.markup, "amazon", F.lit("pages"), {"country": F.lit("EGY")},
                             obj(hits=F.lit(1), jobs=F.array(row))), "amazon")
@@ -215,7 +215,7 @@ LEVER_HTML = ("html || CASE WHEN page_id % 2 = 0 THEN '<div>Needs</div><ul><li>'
 @query("NRM9_lever", final_sql("lever", f"""
   SELECT 'pages' AS company_key, 'L' || page_id AS posting_id, 'Job' AS title,
          CASE page_id % 3 WHEN 0 THEN 'Remote; Cairo; Giza' WHEN 1 THEN 'Cairo' ELSE 'Paris' END AS location,
-         CASE WHEN page_id % 4 = 0 THEN '' ELSE '2024-09-28' END AS posted_raw,
+         CASE WHEN page_id % 4 = 0 THEN '' ELSE '2024-04-05' END AS posted_raw,
          url, nullif({html_text_sql(LEVER_HTML)}, '') AS description FROM pages"""))
 def nrm9(t):
     kind = F.col("page_id") % 3
@@ -227,7 +227,7 @@ def nrm9(t):
             location=F.when(kind == 0, "Remote").when(kind == 1, " Cairo ").otherwise("Paris"),
             allLocations=F.when(kind == 0, F.array(F.lit(""), F.lit("Cairo"), F.lit("Remote "), F.lit("Giza")))
             .when(kind == 1, F.array(F.lit("Cairo")))),
-        createdAt=F.when(F.col("page_id") % 4 == 0, 0).otherwise(F.lit(1727481600000)),
+        createdAt=F.when(F.col("page_id") % 4 == 0, 0).otherwise(F.lit(1712345600000)),
         description=F.col("html"), lists=F.when(F.col("page_id") % 2 == 0, sections),
         additional=F.when(F.col("page_id") % 5 != 0, "<p>more &amp; more</p>"), hostedUrl=F.col("url"))
     return postings(payload(t.markup, "lever", F.lit("pages"), {"site": F.lit("s")}, F.array(row)), "lever")

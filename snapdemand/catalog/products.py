@@ -13,6 +13,7 @@ from snapdemand.catalog.views import (
 from snapdemand.operators import rank
 from snapdemand.operators.demand import daily_cells, daily_demand, scoped_demand, weekly_demand
 from snapdemand.operators.lifecycle import lifecycle
+from snapdemand.operators.tagging import explode_tags
 from snapdemand.plans import warehouse as w
 from snapdemand.plans.skill_demand import skill_demand_weekly
 from snapdemand.session import scratch_dir
@@ -20,13 +21,11 @@ from snapdemand.sinks import write_table
 
 
 def facts(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
-    cleaned = stg(t) if cleaned is None else cleaned
-    return w.fct_postings(w.posting_lifecycle(cleaned, last_day_l(t)), w.posting_roles(cleaned, RULES))
+    return w.posting_facts(stg(t) if cleaned is None else cleaned, RULES, last_day=last_day_l(t))
 
 
-def bridge(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
-    cleaned = stg(t) if cleaned is None else cleaned
-    return w.fct_posting_skills(w.posting_skills(cleaned, PART_DICTIONARY), facts(t, cleaned))
+def bridge(t: Tables) -> DataFrame:
+    return explode_tags(entity_table(t), ["posting_key", "company_key"])
 
 
 def entity_table(t: Tables) -> DataFrame:
@@ -83,11 +82,23 @@ def mod6(t):
     return facts(t)
 
 
+@query("MOD6_from_models", f"WITH {FACTS} SELECT * FROM facts")
+def mod6_models(t):
+    cleaned = stg(t)
+    return w.fct_postings(w.posting_lifecycle(cleaned, last_day_l(t)), w.posting_roles(cleaned, RULES))
+
+
 @query("MOD7_fct_posting_skills", f"WITH {BRIDGE} SELECT * FROM bridge")
 def mod7(t):
     return bridge(t)
 
 
+@query("MOD7_from_models", f"WITH {BRIDGE} SELECT * FROM bridge")
+def mod7_models(t):
+    cleaned = stg(t)
+    return w.fct_posting_skills(w.posting_skills(cleaned, PART_DICTIONARY), facts(t, cleaned))
+
+
 @query("MOD8_skill_demand_weekly", f"WITH {WEEKLY} SELECT * FROM weekly")
 def mod8(t):
     return weekly(t)
@@ -96,7 +107,7 @@ def mod8(t):
 @query("MOD8_from_models", f"WITH {WEEKLY} SELECT * FROM weekly")
 def mod8_models(t):
     cleaned = stg(t)
-    return weekly_demand(cleaned, facts(t, cleaned), bridge(t, cleaned))
+    return weekly_demand(cleaned, facts(t, cleaned), bridge(t))
 
 
 @query("MOD8_event_demand", f"""

@@ -68,8 +68,8 @@ def scl5(t):
 PLACE_TEXTS = """
 placed AS (
   SELECT o_orderkey, CASE o_custkey % 9
-    WHEN 0 THEN 'Alexandria; Cairo; ' || o_orderpriority WHEN 1 THEN 'NEW CAIRO, Egypt' WHEN 2 THEN 'Alex, Egypt'
-    WHEN 3 THEN 'Smart Village, ' || o_clerk WHEN 4 THEN 'Mansoura, EGYPT' WHEN 5 THEN '6th of October City'
+    WHEN 0 THEN 'Alexandria or Cairo ' || o_orderpriority WHEN 1 THEN 'OLD CAIRO gate' WHEN 2 THEN 'Alex port'
+    WHEN 3 THEN 'Smart Village gate ' || o_clerk WHEN 4 THEN 'Aswan, EGYPT' WHEN 5 THEN '6th of October mall'
     WHEN 6 THEN 'Dubai' WHEN 7 THEN '' ELSE NULL END AS location FROM (SELECT *, o_orderstatus AS o_clerk FROM orders))"""
 
 
@@ -82,10 +82,10 @@ def placed(t):
     kind = F.col("o_custkey") % 9
     return t.orders.select(
         "o_orderkey", "o_orderpriority",
-        F.when(kind == 0, F.concat(F.lit("Alexandria; Cairo; "), "o_orderpriority"))
-        .when(kind == 1, "NEW CAIRO, Egypt").when(kind == 2, "Alex, Egypt")
-        .when(kind == 3, F.concat(F.lit("Smart Village, "), "o_orderstatus")).when(kind == 4, "Mansoura, EGYPT")
-        .when(kind == 5, "6th of October City").when(kind == 6, "Dubai").when(kind == 7, "").alias("location"))
+        F.when(kind == 0, F.concat(F.lit("Alexandria or Cairo "), "o_orderpriority"))
+        .when(kind == 1, "OLD CAIRO gate").when(kind == 2, "Alex port")
+        .when(kind == 3, F.concat(F.lit("Smart Village gate "), "o_orderstatus")).when(kind == 4, "Aswan, EGYPT")
+        .when(kind == 5, "6th of October mall").when(kind == 6, "Dubai").when(kind == 7, "").alias("location"))
 
 
 DATED = """
@@ -207,7 +207,7 @@ def scl19(t):
 SELECT event_id, CAST(ts AS DATE) AS of_seconds, CAST(ts AS DATE) AS of_millis,
        CASE WHEN event_type = 'error' THEN '' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS as_text FROM events""")
 def scl20(t):
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
     return t.events.select(
         "event_id", dates.epoch_date(seconds, "s").alias("of_seconds"),
         dates.epoch_date(seconds * 1000 + 999, "ms").alias("of_millis"),

@@ -128,9 +128,9 @@ raw_l AS (
          '  ' || CASE l_returnflag WHEN 'A' THEN 'Senior ' WHEN 'R' THEN 'Junior ' ELSE '' END
               || p_name || chr(160) AS title,
          CASE l_linenumber
-           WHEN 1 THEN 'New Cairo, Egypt' WHEN 2 THEN 'Nasr City' || chr(160)
-           WHEN 3 THEN chr(160) || '6th of October City, Egypt' WHEN 4 THEN 'Hurghada, Red Sea, Egypt'
-           WHEN 5 THEN 'Alex; Giza' WHEN 6 THEN '4 Locations' ELSE '' END AS location,
+           WHEN 1 THEN 'Old Cairo gate' WHEN 2 THEN 'Nasr City' || chr(160)
+           WHEN 3 THEN chr(160) || '6th of October mall' WHEN 4 THEN 'Aswan, Egypt'
+           WHEN 5 THEN 'Alex or Giza' WHEN 6 THEN '4 Locations' ELSE '' END AS location,
          CASE WHEN l_linenumber = 7 THEN NULL ELSE
          CASE l_orderkey % 10
            WHEN 0 THEN 'Posted Today' WHEN 1 THEN 'POSTED YESTERDAY '
@@ -159,9 +159,9 @@ def raw_l(t: Tables) -> DataFrame:
 
     nbsp, day = F.lit(chr(160)), F.col("day")
     level = F.when(F.col("l_returnflag") == "A", "Senior ").when(F.col("l_returnflag") == "R", "Junior ").otherwise("")
-    places = {1: F.lit("New Cairo, Egypt"), 2: F.concat(F.lit("Nasr City"), nbsp),
-              3: F.concat(nbsp, F.lit("6th of October City, Egypt")), 4: F.lit("Hurghada, Red Sea, Egypt"),
-              5: F.lit("Alex; Giza"), 6: F.lit("4 Locations")}
+    places = {1: F.lit("Old Cairo gate"), 2: F.concat(F.lit("Nasr City"), nbsp),
+              3: F.concat(nbsp, F.lit("6th of October mall")), 4: F.lit("Aswan, Egypt"),
+              5: F.lit("Alex or Giza"), 6: F.lit("4 Locations")}
     notations = [
         F.lit("Posted Today"), F.lit("POSTED YESTERDAY "),
         F.concat(F.lit("Posted "), F.col("l_quantity").cast("int").cast("string"), F.lit(" Days Ago")),

@@ -75,6 +75,13 @@ def fct_postings(life: DataFrame, roles: DataFrame) -> DataFrame:
     return life.join(roles, KEY).select(*FACT_COLUMNS)
 
 
+def posting_facts(stg: DataFrame, rules: Sequence[Rule], defaults: dict[str, str] = model.RULE_DEFAULTS,
+                  last_day: Column | None = None) -> DataFrame:
+    """``fct_postings`` in one pass: labels are expressions on the latest title, so there is nothing to join."""
+    life = posting_lifecycle(stg, last_day)
+    return classify(life, "title", rules, defaults).select(*FACT_COLUMNS)
+
+
 def fct_posting_skills(skills: DataFrame, facts: DataFrame) -> DataFrame:
     return skills.join(facts.select(KEY, "company_key"), KEY).select(KEY, "company_key", "skill", "category")
 

@@ -47,6 +47,9 @@ class PayloadSpec:
     detail_html: Callable[[Column], Column] | None = None
 
 
+# Fixed values, here and in SPECS: the systems' field names, hosts and URL forms.
+
+
 def _named(location: Column, is_home: Column) -> Column:
     """Appends the country to a location that does not show it."""
     return F.when(is_home & ~matches(location, model.KEEP_PATTERN),

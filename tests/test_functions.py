@@ -18,11 +18,11 @@ def one(spark, value, fn, kind="string"):
 
 @pytest.mark.parametrize("raw, day", [
     ("Posted Today", "2026-10-02"), (f"{NBSP}posted yesterday ", "2026-10-01"), ("Posted 3 Days Ago", "2026-09-29"),
-    ("Posted 30+ Days Ago", "2026-09-02"), ("posted 1 day ago", "2026-10-01"), (" Posted 3 Days Ago", None),
-    ("Posted 3 Days Ago\n", None), ("Posted 99999999999 Days Ago", None), ("2026-09-28", "2026-09-28"),
-    ("2026-09-28T23:15:00+03:00", "2026-09-28"), ("2026-09-28T10:15:00.000Z", "2026-09-28"), ("2026-02-30", None),
-    ("1727481600000", "2024-09-28"), ("172748160000", "1975-06-23"), ("17274816000", None),
-    ("October  1, 2026", "2026-10-01"), ("october 01, 2026", "2026-10-01"), ("Oct 1, 2026", None),
+    ("Posted 45+ Days Ago", "2026-08-18"), ("posted 1 day ago", "2026-10-01"), (" Posted 3 Days Ago", None),
+    ("Posted 3 Days Ago\n", None), ("Posted 99999999999 Days Ago", None), ("2026-08-11", "2026-08-11"),
+    ("2026-08-11T23:45:00+02:00", "2026-08-11"), ("2026-08-11T07:30:00.000Z", "2026-08-11"), ("2026-02-30", None),
+    ("1712345600000", "2024-04-05"), ("171234560000", "1975-06-05"), ("17123456000", None),
+    ("March  5, 2026", "2026-03-05"), ("march 05, 2026", "2026-03-05"), ("Mar 5, 2026", None),
     ("February 30, 2026", None), ("", None), ("junk", None), (None, None),
 ])
 def test_parse_when(spark, raw, day):
@@ -31,8 +31,8 @@ def test_parse_when(spark, raw, day):
 
 
 @pytest.mark.parametrize("where, city", [
-    ("Alexandria; Cairo; Dubai", "Alexandria"), ("New Cairo, Egypt", "Cairo"), ("Nasr City, Egypt", "Cairo"),
-    ("6th of October City", "Giza"), ("Luxor, EGYPT", "Egypt (other)"), ("4 Locations", None), ("Alex, Egypt", "Alexandria"),
+    ("Alexandria or Cairo", "Alexandria"), ("Old Cairo gate", "Cairo"), ("Nasr City branch", "Cairo"),
+    ("6th of October mall", "Giza"), ("Aswan, EGYPT", "Egypt (other)"), ("4 Locations", None), ("Alex port", "Alexandria"),
     ("", None), (None, None),
 ])
 def test_canonical_place(spark, where, city):
@@ -69,7 +69,7 @@ def test_ordered_distinct_join(spark):
 
 
 @pytest.mark.parametrize("markup, plain", [
-    ("<li>SQL &amp; Python</li><p>مهندس</p>", "SQL & Python مهندس"), (None, None), ("", ""),
+    ("<li>Tea &amp; Milk</li><p>قهوة</p>", "Tea & Milk قهوة"), (None, None), ("", ""),
     ("a<b>b</b>c", "a b c"), ("<script>var t='</p>';</script>x<style>p{}</style>y<!-- c > d -->z", "x y z"),
     ("<a title='x>y'>t</a>", "t"), ("a < b", "a < b"), ("<p>x<br/>y</p ><p", "x y"),
     ("<!DOCTYPE html>  hi \n there  <template><p>no</p></template>", "hi \n there"), ("<scripty>keep</scripty>", "keep"),
@@ -104,5 +104,5 @@ def test_week_and_span(spark):
 
 
 def test_epoch_text(spark):
-    df = spark.createDataFrame([(1727481600000,), (0,), (None,)], "x bigint")
-    assert [r[0] for r in df.select(dates.epoch_text(F.col("x"), "ms")).collect()] == ["2024-09-28", "", ""]
+    df = spark.createDataFrame([(1712345600000,), (0,), (None,)], "x bigint")
+    assert [r[0] for r in df.select(dates.epoch_text(F.col("x"), "ms")).collect()] == ["2024-04-05", "", ""]

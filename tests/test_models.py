@@ -48,9 +48,9 @@ def test_lifecycle_open_closed_and_earliest_posted(spark, rows):
 
 
 def test_skills_use_latest_title_and_latest_description(spark, rows):
-    df = stg(spark, ("a", "Kafka Developer", None, "2026-10-02"), ("b", "Engineer", "Kafka", "2026-10-01"),
+    df = stg(spark, ("a", "Kafka Keeper", None, "2026-10-02"), ("b", "Engineer", "Kafka", "2026-10-01"),
              ("b", "Engineer", "Airflow", "2026-10-02"), ("c", "E", "Airflow and Apache Airflow", "2026-10-02"),
-             ("d", "Clerk", "Filing", "2026-10-02"), ("e", "E", "Kafka", "2026-10-01"), ("e", "E", None, "2026-10-02"),
+             ("d", "Baker", "Bread", "2026-10-02"), ("e", "E", "Kafka", "2026-10-01"), ("e", "E", None, "2026-10-02"),
              ("f", None, "Kafka", "2026-10-02"))
     assert rows(w.posting_skills(df, DICTIONARY)) == [
         ("a", "Kafka", "data"), ("b", "Airflow", "data"), ("c", "Airflow", "data"), ("e", "Kafka", "data")]
@@ -69,9 +69,9 @@ def test_no_dictionary_no_tags(spark):
 
 
 def test_roles_first_rule_wins_with_defaults(spark, rows):
-    df = stg(spark, ("1", "Senior Data Engineer", None, "2026-10-02"), ("2", "Software Intern", None, "2026-10-02"),
-             ("3", "Accountant", None, "2026-10-02"), ("4", "Data Analyst", None, "2026-10-01"),
-             ("4", "Junior Data Analyst", None, "2026-10-02"), ("5", None, None, "2026-10-02"))
+    df = stg(spark, ("1", "Senior Data Keeper", None, "2026-10-02"), ("2", "Intern, Software Lab", None, "2026-10-02"),
+             ("3", "Gardener", None, "2026-10-02"), ("4", "Data Counter", None, "2026-10-01"),
+             ("4", "Junior Data Counter", None, "2026-10-02"), ("5", None, None, "2026-10-02"))
     assert rows(w.posting_roles(df, RULES)) == [
         ("1", "data_engineering", "senior"), ("2", "software", "intern"), ("3", "other", "mid"),
         ("4", "data_engineering", "junior"), ("5", "other", "mid")]
@@ -85,32 +85,32 @@ def test_equal_priorities_are_decided_by_value(spark, rows):
 
 
 def mart_inputs(spark):
-    days = [("a", "2026-10-07"), ("b", "2026-10-07"), ("c", "2026-10-08"), ("d", "2026-10-08"), ("a", "2026-10-08"),
-            ("a", "2026-10-11"), ("a", "2026-10-12")]
+    days = [("a", "2026-11-04"), ("b", "2026-11-04"), ("c", "2026-11-05"), ("d", "2026-11-05"), ("a", "2026-11-05"),
+            ("a", "2026-11-08"), ("a", "2026-11-09")]
     obs = spark.createDataFrame([(k, day(d)) for k, d in days], "posting_key string, collected_date date")
     facts = spark.createDataFrame(
         [("a", "data_engineering"), ("b", "software"), ("c", "other"), ("d", "ai_ml")], "posting_key string, role_family string")
     tags = spark.createDataFrame(
-        [("a", "SQL", "language"), ("c", "SQL", "language"), ("d", "PyTorch", "ml")],
+        [("a", "Rust", "lang"), ("c", "Rust", "lang"), ("d", "Flink", "ml")],
         "posting_key string, skill string, category string")
     return obs, facts, tags
 
 
 def test_weekly_share_per_scope_and_week_border(spark, rows):
     got = rows(weekly_demand(*mart_inputs(spark)), "week_start", "skill", "role_scope", "open_postings", "share")
-    first, second = day("2026-10-05"), day("2026-10-12")
+    first, second = day("2026-11-02"), day("2026-11-09")
     assert got == sorted([
-        (first, "SQL", "all", 2, 0.5), (first, "SQL", "data", 1, 1.0), (first, "SQL", "tech", 1, 1 / 3),
-        (first, "PyTorch", "all", 1, 0.25), (first, "PyTorch", "ai_ml", 1, 1.0), (first, "PyTorch", "tech", 1, 1 / 3),
-        (second, "SQL", "all", 1, 1.0), (second, "SQL", "data", 1, 1.0), (second, "SQL", "tech", 1, 1.0)], key=repr)
+        (first, "Rust", "all", 2, 0.5), (first, "Rust", "data", 1, 1.0), (first, "Rust", "tech", 1, 1 / 3),
+        (first, "Flink", "all", 1, 0.25), (first, "Flink", "ai_ml", 1, 1.0), (first, "Flink", "tech", 1, 1 / 3),
+        (second, "Rust", "all", 1, 1.0), (second, "Rust", "data", 1, 1.0), (second, "Rust", "tech", 1, 1.0)], key=repr)
 
 
 def test_unlisted_family_is_in_no_scope_but_in_the_unscoped_mart(spark):
     obs, facts, tags = mart_inputs(spark)
     odd = facts.withColumn("role_family", F.when(F.col("posting_key") == "c", "legal").otherwise(F.col("role_family")))
-    scoped = weekly_demand(obs, odd, tags).where("skill = 'SQL' and role_scope = 'all' and week_start = date'2026-10-05'")
+    scoped = weekly_demand(obs, odd, tags).where("skill = 'Rust' and role_scope = 'all' and week_start = date'2026-11-02'")
     assert scoped.first().open_postings == 1
-    assert weekly_demand_unscoped(obs, tags).where("skill = 'SQL' and week_start = date'2026-10-05'").first().share == 0.5
+    assert weekly_demand_unscoped(obs, tags).where("skill = 'Rust' and week_start = date'2026-11-02'").first().share == 0.5
 
 
 def test_mart_types(spark):
@@ -167,7 +167,7 @@ def test_top_k_breaks_ties_by_name(spark, rows, k, want):
 
 def test_trend_fills_missing_weeks(spark):
     mart = spark.createDataFrame([
-        (day("2026-10-05"), "A", "x", "tech", 2), (day("2026-10-12"), "B", "x", "tech", 1), (day("2026-09-28"), "B", "x", "all", 1),
-        (day("2026-10-12"), "A", "x", "tech", 3)], "week_start date, skill string, category string, role_scope string, open_postings bigint")
+        (day("2026-10-05"), "A", "x", "tech", 2), (day("2026-11-09"), "B", "x", "tech", 1), (day("2026-09-28"), "B", "x", "all", 1),
+        (day("2026-11-09"), "A", "x", "tech", 3)], "week_start date, skill string, category string, role_scope string, open_postings bigint")
     got = {r.skill: r.series for r in rank.trend(mart).collect()}
     assert got == {"A": [0, 2, 3], "B": [0, 0, 1]}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, secrets, simhash
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,15 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@_query
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    rows, spans = secrets.found(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def n(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = secrets.KINDS[:3]
+    return rows.select("doc_id", *[n(k) for k in base], F.sha2(secrets.listed(spans, base), 256).alias("base_sha256"),
+                       secrets.listed(spans).alias("spans"))

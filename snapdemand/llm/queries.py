@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, secrets, simhash
+from . import decontaminate, packing, secrets, simhash
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     base = secrets.KINDS[:3]
     return rows.select("doc_id", *[n(k) for k in base], F.sha2(secrets.listed(spans, base), 256).alias("base_sha256"),
                        secrets.listed(spans).alias("spans"))
+
+
+@_query
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents")).drop("row")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, simhash
+from . import decontaminate, packing, quality, secrets, simhash
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents")).drop("row")
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    verdicts = quality.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return verdicts.select("doc_id", *quality.COUNTS, "base_failed", "kept")

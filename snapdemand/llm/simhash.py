@@ -20,9 +20,10 @@ from .tables import fresh, text_key, written
 
 SHINGLE = 4
 MAX_BITS = 4
-#: variants that one bucket sorts on average
-BUCKET_VARIANTS = 1 << 21
-MIN_BUCKETS = 32
+#: fingerprints that one bucket holds in memory, and variants that it sorts at once
+BUCKET_FINGERPRINTS = 1 << 22
+SORTED_VARIANTS = 1 << 21
+MIN_BUCKETS = 64
 
 
 def _fingerprint(column: pa.Array, shingle: int) -> np.ndarray:
@@ -70,7 +71,7 @@ def _ball(radius: int) -> np.ndarray:
 @lru_cache(maxsize=4)
 def _columns(bits: int) -> np.ndarray:
     """Bucket bits that each of the 64 bit positions flips."""
-    return np.random.default_rng(64).integers(1, 1 << bits, 64, dtype=np.int64)
+    return np.random.default_rng(bits).integers(1, 1 << bits, 64, dtype=np.int64)
 
 
 def _bucket(values: np.ndarray, bits: int) -> np.ndarray:
@@ -103,57 +104,81 @@ def _send(radius: int, bits: int):
     return run
 
 
-def _collide(radius: int, max_bits: int, bits: int):
+def _groups(fps: np.ndarray, need: np.ndarray, slice_bits: int, radius: int, bits: int):
+    """Variants of ``fps`` in one bucket, and the positions of their sources, slice by slice.
+
+    The bucket is cut into slices by more bits of the same linear kind; equal variants share a slice.
+    """
+    masks = _ball(radius)
+    finer = (_bucket(masks, bits) << slice_bits) | _bucket(masks, slice_bits) if slice_bits else _bucket(masks, bits)
+    by_slice = np.argsort(finer, kind="stable")
+    ranges = np.searchsorted(finer[by_slice], np.arange((1 << (bits + slice_bits)) + 1))
+    own = _bucket(fps, slice_bits) if slice_bits else np.zeros(len(fps), np.int64)
+    order = np.lexsort((own, need))
+    key = (need[order] << slice_bits) | own[order]
+    found, begin = np.unique(key, return_index=True)
+    for number in range(1 << slice_bits):
+        variants, sources = [], []
+        for k, low, high in zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(fps)]):
+            k ^= number
+            some = masks[by_slice[ranges[k]:ranges[k + 1]]]
+            variants.append((fps[order[low:high], None] ^ some[None, :]).ravel())
+            sources.append(np.repeat(order[low:high].astype(np.int32), len(some)))
+        yield np.concatenate(variants), np.concatenate(sources)
+
+
+def _forest(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Lowers ``label`` until both ends of every pair have the same."""
+    while len(pairs):
+        before = label.copy()
+        np.minimum.at(label, pairs[:, 0], before[pairs[:, 1]])
+        np.minimum.at(label, pairs[:, 1], before[pairs[:, 0]])
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
+def _collide(radius: int, max_bits: int, bits: int, sorted_variants: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         fps = np.unique(np.frombuffer(b"".join(rows["fps"]), np.uint64))
-        masks = _ball(radius)
-        mask_bucket = _bucket(masks, bits)
-        by_bucket = np.argsort(mask_bucket, kind="stable")
-        ranges = np.searchsorted(mask_bucket[by_bucket], np.arange((1 << bits) + 1))
         need = _bucket(fps, bits) ^ int(key[0])
-        order = np.argsort(need, kind="stable")
-        fps = fps[order]
-        found, begin = np.unique(need[order], return_index=True)
-        variants, sources = [], []
-        for b, low, high in zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(fps)]):
-            own = masks[by_bucket[ranges[b]:ranges[b + 1]]]
-            variants.append((fps[low:high, None] ^ own[None, :]).ravel())
-            sources.append(np.repeat(np.arange(low, high, dtype=np.int32), len(own)))
-        variant, source = np.concatenate(variants), np.concatenate(sources)
-        order = np.argsort(variant, kind="stable")
-        variant, source = variant[order], source[order]
-        again = np.flatnonzero(variant[1:] == variant[:-1]) + 1
-        # all that share a variant link to the first of them: such a group is within max_bits as a whole
-        head = np.flatnonzero(np.concatenate(([True], variant[1:] != variant[:-1])))
-        hub = source[head[np.searchsorted(head, again, side="right") - 1]]
-        pairs = np.unique(np.stack([hub, source[again]], 1), axis=0) if len(again) else np.zeros((0, 2), np.int32)
-        pairs = pairs[np.bitwise_count(fps[pairs[:, 0]] ^ fps[pairs[:, 1]]) <= max_bits]
-        label = np.arange(len(fps))
-        while len(pairs):  # a tree for each connected part is enough
-            before = label.copy()
-            np.minimum.at(label, pairs[:, 0], label[pairs[:, 1]])
-            np.minimum.at(label, pairs[:, 1], label[pairs[:, 0]])
-            label = label[label]
-            if (label == before).all():
-                break
+        expected = len(fps) * len(_ball(radius)) >> bits
+        slice_bits = max(0, math.ceil(math.log2(max(1, expected / sorted_variants))))
+        every = [np.zeros((0, 2), np.int32)]
+        for variant, source in _groups(fps, need, slice_bits, radius, bits):
+            order = np.argsort(variant, kind="stable")
+            variant, source = variant[order], source[order]
+            new = np.concatenate(([True], variant[1:] != variant[:-1]))
+            again, head = np.flatnonzero(~new), np.flatnonzero(new)
+            # all that share a variant link to the first of them: such a group is within max_bits as a whole
+            hub = source[head[np.searchsorted(head, again, side="right") - 1]]
+            pairs = np.unique(np.stack([hub, source[again]], 1), axis=0)
+            every.append(pairs[np.bitwise_count(fps[pairs[:, 0]] ^ fps[pairs[:, 1]]) <= max_bits])
+        # a tree for each connected part is enough
+        label = _forest(np.unique(np.concatenate(every), axis=0), np.arange(len(fps)))
         linked = np.flatnonzero(label != np.arange(len(fps)))
         return pd.DataFrame({"a": fps[linked].view(np.int64), "b": fps[label[linked]].view(np.int64)})
     return run
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_variants: int = BUCKET_VARIANTS) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_fingerprints: int = BUCKET_FINGERPRINTS,
+          sorted_variants: int = SORTED_VARIANTS) -> DataFrame:
     """Edges ``(a, b)`` that connect all fingerprints in ``distinct(fp)`` that differ in at most ``max_bits`` bits.
 
     Every fingerprint stands in for all its variants within half the radius; two fingerprints within the radius share
     one. Each bucket sorts its variants, verifies the pairs that collide and returns a spanning tree of them, so
-    a group of n near copies gives n - 1 edges per bucket at most. The number of buckets follows the input.
+    a group of n near copies gives n - 1 edges per bucket at most. A fingerprint travels once for each bucket that its
+    variants reach, so there are as few buckets as hold their fingerprints in memory; within a bucket, variants are
+    made and sorted in slices.
     """
     radius = (max_bits + 1) // 2
-    n = distinct.count()
-    bits = max(math.log2(MIN_BUCKETS), math.ceil(math.log2(max(1, n * len(_ball(radius)) / bucket_variants))))
-    bits = int(bits)
+    n, variants, buckets = distinct.count(), len(_ball(radius)), MIN_BUCKETS
+    while n * min(1.0, variants / buckets) > bucket_fingerprints:
+        buckets *= 2
+    bits = buckets.bit_length() - 1
     sent = distinct.select("fp").mapInArrow(_send(radius, bits), "bucket long, fps binary")
-    return sent.groupBy("bucket").applyInPandas(_collide(radius, max_bits, bits), "a long, b long")
+    return sent.groupBy("bucket").applyInPandas(_collide(radius, max_bits, bits, sorted_variants), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -70,7 +70,7 @@ def test_links_find_every_pair_within_reach_and_no_other(spark):
         for bits in (1, 2, 3, 4, 5, 6):
             fps.add(fp ^ sum(1 << b for b in rng.sample(range(64), bits)))
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
-    edges = simhash.links(spark.createDataFrame(signed, "fp long"), bucket_variants=1 << 12).collect()
+    edges = simhash.links(spark.createDataFrame(signed, "fp long"), bucket_fingerprints=200, sorted_variants=100).collect()
     joined = {f: f for f in fps}
 
     def top(f):

@@ -35,7 +35,7 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotonic: dict[int, int] | None = None, trees: int = 60, depth: int = 3,
-        rate: float = 0.2, bins: int = 64, ridge: float = 1.0, least: float = 2.0) -> Trees:
+        rate: float = 0.2, bins: int = 64, ridge: float = 2.0, least: float = 5.0) -> Trees:
     """Logistic loss, second order, thresholds at quantiles. ``monotonic[f]`` is 1 or -1 if the score may only rise or fall
     with feature f: a split in the wrong order is not taken, and both sides stay on their side of the split's middle in
     all later splits. Without rows of both classes the trees are empty and the score is constant.

@@ -16,9 +16,9 @@ from .tables import fresh, written
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_lines", "n_upper", "n_digits", "n_marks", "n_distinct"]
 #: features of the trees; scores may only fall with the last three
-FEATURES = ["log_words", "word_length", "upper", "digits", "marks", "words_per_line", "distinct",
+FEATURES = ["word_length", "upper", "digits", "marks", "words_per_line", "distinct",
             "symbols", "dup_lines", "repeat_words"]
-MONOTONIC = {7: -1, 8: -1, 9: -1}
+MONOTONIC = {6: -1, 7: -1, 8: -1}
 LEAST_WORDS, MOST_REPEAT_PERCENT = 50, 50
 #: labelled rows that the trees are fitted on, at most; chosen by hash of the id
 TRAIN_ROWS = 20_000
@@ -81,7 +81,7 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
 def features(s: dict[str, np.ndarray]) -> np.ndarray:
     """A row of FEATURES per document, from its counts."""
     n, chars, lines = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1), np.maximum(s["n_lines"], 1)
-    return np.stack([np.log1p(s["n_words"]), s["word_chars"] / n, s["n_upper"] / chars, s["n_digits"] / chars,
+    return np.stack([s["word_chars"] / n, s["n_upper"] / chars, s["n_digits"] / chars,
                      s["n_marks"] / n, s["n_words"] / lines, s["n_distinct"] / n, s["n_symbols"] / chars,
                      s["n_dup_lines"] / lines, s["n_repeat_words"] / n], axis=1)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secrets, simhash
+from . import chat, decontaminate, packing, quality, secrets, simhash, substring
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,42 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     verdicts = quality.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return verdicts.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+@_query
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+#: a conversation whose texts hold the template's own marks
+MARKED_TEXT = r"\### Assistant: </turn> ok"
+
+
+@_query
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED_TEXT).alias("text"))
+    return chat.digests(chat.examples(given.union(marked)))
+
+
+SQL["op4_chat_formatting"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), sized AS (
+    SELECT *, 15 + length(role) + length(text) + length(text) - length(replace(text, '\', ''))
+        + length(text) - length(replace(text, '<', '')) + length(text) - length(replace(text, '#', '')) AS n,
+        row_number() OVER way = count(*) OVER (PARTITION BY conv_id) AS last
+    FROM said WINDOW way AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), summed AS (
+    SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS upto FROM sized
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(upto) FILTER (role = 'assistant' OR last) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id
+"""

@@ -1,33 +1,52 @@
-"""The corpus pipeline: each stage takes what its predecessor kept."""
+"""The corpus pipeline: each stage takes all that its predecessor kept, and its decisions take effect."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapdemand.llm import decontaminate, simhash
+from snapdemand.llm import decontaminate, packing, quality, secrets, simhash
 from snapdemand.llm.tables import table, written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a limit, or that the trees judge poor, go."""
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+    """Documents that hold a window of a benchmark item go."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; all documents stay."""
+    return secrets.redacted(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, each with its sequence and place there."""
+    return packing.packed(docs).drop("row")
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("best_fit_packing", packed),
 ]
 
-#: the stages hold trained models and packings, which SQL cannot express; tests/llm compares with a brute-force version
+#: the first stage holds a trained model and the last token ids, which SQL cannot express; tests/llm has a brute-force version
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again, as a lost executor then costs one stage's part at most."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

@@ -35,13 +35,15 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotonic: dict[int, int] | None = None, trees: int = 60, depth: int = 3,
-        rate: float = 0.2, bins: int = 64, ridge: float = 2.0, least: float = 5.0) -> Trees:
+        rate: float = 0.2, bins: int = 64, ridge: float = 2.0, least: float = 5.0, weights: np.ndarray | None = None) -> Trees:
     """Logistic loss, second order, thresholds at quantiles. ``monotonic[f]`` is 1 or -1 if the score may only rise or fall
     with feature f: a split in the wrong order is not taken, and both sides stay on their side of the split's middle in
-    all later splits. Without rows of both classes the trees are empty and the score is constant.
+    all later splits. A row of weight n counts as n rows. Without rows of both classes the trees are empty and the
+    score is constant.
     """
     monotonic = monotonic or {}
-    share = (y.sum() + 0.5) / (len(y) + 1.0)
+    times = np.ones(len(y)) if weights is None else weights
+    share = ((times * y).sum() + 0.5) / (times.sum() + 1.0)
     base = float(np.log(share / (1 - share)))
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) if len(x) else np.zeros(0)
             for f in range(x.shape[1])]
@@ -51,7 +53,7 @@ def fit(x: np.ndarray, y: np.ndarray, monotonic: dict[int, int] | None = None, t
     margin = np.full(len(y), base)
     for _ in range(trees if 0 < y.sum() < len(y) else 0):
         p = 1 / (1 + np.exp(-margin))
-        gradient, weight = y - p, np.maximum(p * (1 - p), 1e-9)
+        gradient, weight = times * (y - p), np.maximum(times * p * (1 - p), 1e-9)
         feature, threshold = np.zeros(size, np.int64), np.full(size, np.inf)
         left, right, value = np.arange(size), np.arange(size), np.zeros(size)
         node_of, bounds = np.zeros(len(y), np.int64), {0: (-np.inf, np.inf)}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, quality, secrets, simhash, substring
+from . import chat, decontaminate, packing, pii, quality, secrets, simhash, substring
+from .spans import listed
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,8 +42,8 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     base = secrets.KINDS[:3]
-    return rows.select("doc_id", *[n(k) for k in base], F.sha2(secrets.listed(spans, base), 256).alias("base_sha256"),
-                       secrets.listed(spans).alias("spans"))
+    return rows.select("doc_id", *[n(k) for k in base], F.sha2(listed(spans, base), 256).alias("base_sha256"),
+                       listed(spans).alias("spans"))
 
 
 @_query
@@ -93,3 +94,14 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(upto) FILTER (role = 'assistant' OR last) AS BIGINT) AS formatted_chars
 FROM summed GROUP BY conv_id
 """
+
+
+@_query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.found(table(spark, folder, "documents"))
+
+    def n(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select("doc_id", *[n(k) for k in pii.BASE], F.sha2(listed("spans", pii.BASE), 256).alias("base_sha256"),
+                       listed("spans").alias("spans"))

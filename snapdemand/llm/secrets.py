@@ -9,9 +9,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .spans import cut_out
 from .tables import fresh
 
 #: order in which kinds of one start are listed; the first three are plain patterns, the rest need confirmation
@@ -189,30 +190,10 @@ def found(docs: DataFrame) -> tuple[DataFrame, str]:
     return given.mapInArrow(run, schema), name
 
 
-def listed(spans: str | Column, kinds: list[str] | None = None) -> Column:
-    """``kind:start:end`` of the spans, comma-joined, of some kinds only if given."""
-    spans = F.col(spans) if isinstance(spans, str) else spans
-    picked = F.filter(spans, lambda s: s["kind"].isin(kinds)) if kinds else spans
-    return F.array_join(F.transform(picked, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; overlapping spans become one. ``n_chars``, if there, is kept right.
 
     Rows without a secret stay as they are; null texts stay null. No row goes.
     """
     rows, name = found(docs)
-    # left to right: keep the text between the end so far and the next start
-    step = F.aggregate(
-        name, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda done, s: F.when(s["start"] < done["at"], F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"), done["out"].alias("out"))).otherwise(F.struct(
-                s["end"].alias("at"),
-                F.concat(done["out"], F.substr(F.col("text"), (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int")),
-                         F.lit(mark)).alias("out"))),
-        lambda done: F.concat(done["out"], F.substr(F.col("text"), (done["at"] + 1).cast("int"))))
-    rows = rows.withColumn("text", F.when(F.size(name) > 0, step).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size(name) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return cut_out(rows, name, mark).select(*docs.columns)

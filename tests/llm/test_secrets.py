@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from snapdemand.llm import secrets
+from snapdemand.llm.spans import listed
 
 
 def base(text):
@@ -113,4 +114,4 @@ def test_overlapping_spans_are_cut_out_once(spark):
     out = secrets.redacted(spark.createDataFrame(row, "doc_id long, text string")).select("text").first()[0]
     assert out == "[SECRET]!"
     rows, name = secrets.found(spark.createDataFrame(row, "doc_id long, text string"))
-    assert rows.select(secrets.listed(F.col(name))).first()[0] == "assign:0:54,hex:6:54"
+    assert rows.select(listed(name)).first()[0] == "assign:0:54,hex:6:54"

@@ -29,6 +29,8 @@ MAX_HOT = 1 << 20
 #: bytes of packed strings per byte of text, about
 _BLOW_UP = 3
 _LEVEL = 3
+#: bytes of strings that a task gathers before it sends them
+SENT_BYTES = 24 << 20
 
 
 def _least(values: np.ndarray, length: int) -> np.ndarray:
@@ -85,12 +87,13 @@ def _count(window: int, m: int):
 
 
 def _send(window: int, m: int, buckets: int, hot: np.ndarray):
-    """Super-k-mers to their buckets: per batch and bucket one compressed value with each different string once."""
+    """Super-k-mers to their buckets: per so many bytes and bucket one compressed value with each different string once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=_LEVEL)
+        found: dict[bytes, int] = {}
+        again: set[bytes] = set()
+        size = 0
         for batch in batches:
-            found: dict[bytes, int] = {}
-            again: set[bytes] = set()
             for _, part in W.pieces(batch.column("text")):
                 words = W.split(part)
                 first, n, bucket = super_kmers(words, window, m, hot)
@@ -99,7 +102,11 @@ def _send(window: int, m: int, buckets: int, hot: np.ndarray):
                         again.add(s)
                     else:
                         found[s] = b
-            yield from _packed(found, again, packer)
+                        size += len(s)
+                if size > SENT_BYTES:
+                    yield from _packed(found, again, packer)
+                    found, again, size = {}, set(), 0
+        yield from _packed(found, again, packer)
     return run
 
 

@@ -83,11 +83,12 @@ def split(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE, lower: bool = Fa
     gap[first[1:][np.diff(first) > 0] - 1] = False
     kept = inside.copy()
     kept[end[gap]] = True
-    to = np.zeros(data.size + 1, np.int64)
-    np.cumsum(kept, out=to[1:])
     text = data.copy()
     text[end[gap]] = 0x20
-    return Words(text[kept].tobytes(), to[start], to[end], first)
+    # what is left out before a word moves it to the left; documents' last words have no space behind them
+    lengths = end - start
+    new_end = np.cumsum(lengths + gap) - gap
+    return Words(text[kept].tobytes(), new_end - lengths, new_end, first)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -99,21 +100,35 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_to(n: int) -> list[np.ndarray]:
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_ODD, _ODD_INVERSE)):
+            values = np.full(max(n, 1 << 20), base)
+            values[0] = 1
+            _powers[k] = np.cumprod(values)
+    return _powers
+
+
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of ``values[start:end]`` for each span: a polynomial in an odd number modulo 2**64, by prefix sums."""
-    power = np.full(len(values) + 1, _ODD)
-    inverse = np.full(len(values) + 1, _ODD_INVERSE)
-    power[0] = inverse[0] = 1
-    np.cumprod(power, out=power)
-    np.cumprod(inverse, out=inverse)
+    power, inverse = _powers_to(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64) * power[:-1], out=sums[1:])
+    np.cumsum(values.astype(np.uint64) * power[:len(values)], out=sums[1:])
     return mixed((sums[end] - sums[start]) * inverse[start])
 
 
-def word_hashes(words: Words) -> np.ndarray:
-    text = np.frombuffer(words.text, np.uint8).astype(np.uint64) + np.uint64(1)
-    return span_hashes(text, words.start, words.end)
+def word_hashes(words: Words, size: int = 1 << 19) -> np.ndarray:
+    """Hash of every word; bytes are taken ``size`` at a time, as a hash doesn't depend on the place."""
+    text, out, low = np.frombuffer(words.text, np.uint8), np.zeros(len(words.start), np.uint64), 0
+    while low < len(out):
+        high = max(low + 1, int(np.searchsorted(words.end, words.start[low] + size, side="right")))
+        a, b = words.start[low], words.end[high - 1]
+        out[low:high] = span_hashes(text[a:b] + np.uint64(1), words.start[low:high] - a, words.end[low:high] - a)
+        low = high
+    return out
 
 
 def window_starts(first: np.ndarray, length: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, pii, quality, secrets, simhash, substring
+from . import chat, decontaminate, packing, pii, quality, secrets, simhash, substring, toxicity
 from .spans import listed
 from .tables import table
 
@@ -105,3 +105,9 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
     return rows.select("doc_id", *[n(k) for k in pii.BASE], F.sha2(listed("spans", pii.BASE), 256).alias("base_sha256"),
                        listed("spans").alias("spans"))
+
+
+@_query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))

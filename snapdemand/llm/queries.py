@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, pii, quality, secrets, simhash, substring, toxicity
+from . import chat, decontaminate, packing, pii, quality, secrets, simhash, substring, toxicity, training_order
 from .spans import listed
 from .tables import table
 
@@ -111,3 +111,12 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+#: decides the training order
+ORDER_KEY = 20_240_601
+
+
+@_query
+def op2_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    return training_order.digests(training_order.materialise(table(spark, folder, "documents"), ORDER_KEY))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .boosting import Trees, fit
-from .tables import fresh, written
+from .tables import fresh, of_small_hash, written
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_lines", "n_upper", "n_digits", "n_marks", "n_distinct"]
@@ -108,6 +108,7 @@ def train(counts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees
     Null ids and labels, and labels of unknown documents, are passed over. Without labels of both kinds the score is constant.
     """
     known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    known = of_small_hash(known, "doc_id", rows)
     sample = counts.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *COUNTS, "quality").limit(rows).collect()
     s = {n: np.array([r[n] for r in sample], np.int64) for n in COUNTS + MORE}
     return fit(features(s), np.array([r["quality"] for r in sample], float), MONOTONIC)

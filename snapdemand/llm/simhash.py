@@ -194,11 +194,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead")),
         "distinct")
     roots = components(links(distinct, max_bits))
-    # a fingerprint without links is its own root
-    by_fp = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", "lead", F.coalesce("root", "fp").alias("root"))
-    by_root = by_fp.groupBy("root").agg(F.min("least").alias("component_id"), F.min("lead").alias("first"))
-    named = by_fp.select("fp", "root").join(by_root, "root").select("fp", "component_id", "first")
+    linked = written(distinct.join(roots, F.col("fp") == F.col("node")).drop("node"), "linked")
+    # read again, so that a component of very many fingerprints may be split in the joins below
+    by_root = written(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.min("lead").alias("first")), "roots")
+    known = linked.select("fp", "root").join(by_root, "root").select("fp", "component_id", "first")
+    named = distinct.join(known, "fp", "left").select(
+        "fp", F.when(F.col("first").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("first", "lead").alias("first"))
     return rows.join(named, "fp").select(
         "doc_id", "key", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("key").eqNullSafe(F.col("first.key")))

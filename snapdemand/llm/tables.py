@@ -34,6 +34,17 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
+def of_small_hash(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """The rows whose hash of ``column`` is low enough for somewhat more than ``rows`` of them; all if there are few.
+
+    Done before a limit in that order, it keeps tasks from sending ``rows`` rows each.
+    """
+    n = df.count()
+    if n <= 2 * rows:
+        return df
+    return df.where(F.xxhash64(column) < F.lit(int(-(1 << 63) + (1 << 64) * 1.5 * rows / n)))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

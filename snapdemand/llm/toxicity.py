@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .recurrent import Adam, gradients, logits, new_network
+from .tables import of_small_hash
 
 #: words in a window, and from one window's start to the next
 STEPS, STRIDE = 32, 16
@@ -288,8 +289,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: i
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     by_hash = [F.xxhash64("doc_id"), "doc_id"]
     # of bounded size, so it may be sent to every task
-    sample = F.broadcast(known.where("toxic = 1").orderBy(*by_hash).limit(toxic).union(
-        known.where("toxic = 0").orderBy(*by_hash).limit(clean)))
+    first = [of_small_hash(known.where(F.col("toxic") == kind), "doc_id", n).orderBy(*by_hash).limit(n)
+             for kind, n in ((1, toxic), (0, clean))]
+    sample = F.broadcast(first[0].union(first[1]))
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .where((F.octet_length("text") <= most_bytes)).join(sample, "doc_id")

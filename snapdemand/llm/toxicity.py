@@ -21,7 +21,7 @@ HIDDEN, WORD_SIZE, GRAM_SIZE = 8, 6, 6
 KNOWN_WORDS, KNOWN_GRAMS = 20_000, 8_000
 GRAMS = (3, 4, 5)
 #: labelled documents, toxic and clean, that are fitted on, at most, and their longest text in bytes; chosen by hash of the id
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1_500, 2_500, 1 << 15
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1_500, 3_500, 1 << 14
 EPOCHS, ROUNDS, BATCH = 2, 3, 256
 #: share of the words that training hides, so that the network learns to tell by characters too
 HIDDEN_WORDS = 0.1
@@ -44,22 +44,18 @@ def _different(words: W.Words) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return hashes, number, [text[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
 
 
-def _gram_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the grams of words with marked ends, and the word of each."""
+def _gram_hashes(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the grams of words with marked ends, and the word of each, for some words at a time."""
     data = np.frombuffer(b"".join(b"<%b>" % t for t in texts), np.uint8)
     first = np.concatenate(([0], np.cumsum([len(t) + 2 for t in texts]))).astype(np.int64)
-    found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    step = 1 << 18
     low = 0
     while low < len(texts):
-        high = max(low + 1, int(np.searchsorted(first, first[low] + step, side="right")) - 1)
+        high = max(low + 1, int(np.searchsorted(first, first[low] + (1 << 18), side="right")) - 1)
         part, own = data[first[low]:first[high]], first[low:high + 1] - first[low]
         for n in GRAMS:
             starts = W.window_starts(own, n)
-            found.append(W.span_hashes(part + np.uint64(1), starts, starts + n))
-            owner.append(low + np.searchsorted(own, starts, side="right") - 1)
+            yield W.span_hashes(part + np.uint64(1), starts, starts + n), low + np.searchsorted(own, starts, side="right") - 1
         low = high
-    return np.concatenate(found), np.concatenate(owner)
 
 
 @dataclass
@@ -75,12 +71,14 @@ class Inputs:
     def of(self, hashes: np.ndarray, texts: list[bytes]):
         """For different words: number of the word, numbers of known grams and the word of each, and three fixed inputs."""
         word = _find(self.words, hashes)
-        grams, owner = _gram_hashes(texts)
-        some = self.maybe[(grams & np.uint64(len(self.maybe) - 1)).astype(np.int64)]
-        grams, owner = grams[some], owner[some]
-        number = _find(self.grams, grams)
-        known = number < len(self.grams)
-        number, owner = number[known], owner[known]
+        numbers, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for grams, owner in _gram_hashes(texts):
+            some = self.maybe[(grams & np.uint64(len(self.maybe) - 1)).astype(np.int64)]
+            number, owner = _find(self.grams, grams[some]), owner[some]
+            known = number < len(self.grams)
+            numbers.append(number[known])
+            owners.append(owner[known])
+        number, owner = np.concatenate(numbers), np.concatenate(owners)
         odds, n = self.gram_odds[number], np.bincount(owner, minlength=len(texts))
         # the third highest odds of a word's grams: one gram alone says little
         order = np.lexsort((-odds, owner))
@@ -92,13 +90,26 @@ class Inputs:
         return word, number, owner, np.maximum(n, 1), np.stack([self.word_odds[word], most, mean], 1).astype(np.float32)
 
 
-def _odds(doc: np.ndarray, key: np.ndarray, toxic: np.ndarray, most: int, telling: bool, least: int = 3):
-    """Keys in ``least`` documents or more, at most ``most`` of them, sorted, with their smoothed log odds."""
-    _, once = np.unique(W.mixed(key ^ W.mixed(doc.astype(np.uint64) + np.uint64(1))), return_index=True)
-    keys, inverse = np.unique(key[once], return_inverse=True)
-    bad = np.bincount(inverse, toxic[doc[once]], len(keys))
-    good = np.bincount(inverse, minlength=len(keys)) - bad
-    odds = np.log((bad + 1) / (toxic.sum() + 2)) - np.log((good + 1) / ((1 - toxic).sum() + 2))
+def _gram_counts(texts: list[bytes], bad: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Grams of words of toxic documents, sorted, and the sums of ``bad`` and ``good`` over the words that have each."""
+    of_bad = [texts[i] for i in np.flatnonzero(bad)]
+    keys = np.zeros(0, np.uint64)
+    for grams, _ in _gram_hashes(of_bad):
+        keys = np.union1d(keys, grams)
+    sums = np.zeros((2, len(keys) + 1))
+    for grams, owner in _gram_hashes(texts):
+        at = _find(keys, grams)
+        own = at < len(keys)
+        for k, counts in enumerate((bad, good)):
+            np.add.at(sums[k], at[own], counts[owner[own]])
+    return keys, sums[0, :-1], sums[1, :-1]
+
+
+def _odds(keys: np.ndarray, bad: np.ndarray, good: np.ndarray, most: int, telling: bool, least: int = 3):
+    """At most ``most`` of the keys counted ``least`` times or more, sorted, with their smoothed log odds: those of the
+    largest odds, if ``telling``, or those of the largest counts.
+    """
+    odds = np.log((bad + 1) / (bad.sum() + 2)) - np.log((good + 1) / (good.sum() + 2))
     rank = np.where(bad + good >= least, np.abs(odds) if telling else bad + good, -1)
     chosen = np.sort(np.argsort(-rank, kind="stable")[:most])
     chosen = chosen[rank[chosen] >= 0]
@@ -185,15 +196,14 @@ def fit(texts: list[str], labels: list[int], share: float | None = None, seed: i
     words = W.split(pa.array(texts, pa.string()), W.ALPHANUMERIC, lower=True)
     hashes, number, different = _different(words)
     doc = np.repeat(np.arange(len(y)), words.counts)
-    own = ~held[doc]
     toxic = np.where(held, 0, y)
-    seen, owner = _gram_hashes(different)
-    order = np.argsort(owner, kind="stable")
-    first = np.searchsorted(owner[order], np.arange(len(different) + 1))
-    n = np.diff(first)[number[own]]
-    place = np.repeat(first[number[own]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    known, odds = _odds(doc[own], hashes[number[own]], toxic, KNOWN_WORDS, False)
-    grams, gram_odds = _odds(np.repeat(doc[own], n), seen[order][place], toxic, KNOWN_GRAMS, True)
+    # documents, of either class, that have a word; a gram counts as often as words with it do
+    pairs = np.unique(doc * len(different) + number)
+    pairs = pairs[~held[pairs // max(1, len(different))]] if len(pairs) else pairs
+    bad = np.bincount(pairs % max(1, len(different)), toxic[pairs // max(1, len(different))], len(different))
+    good = np.bincount(pairs % max(1, len(different)), minlength=len(different)) - bad
+    known, odds = _odds(hashes, bad, good, KNOWN_WORDS, False)
+    grams, gram_odds = _odds(*_gram_counts(different, bad, good), KNOWN_GRAMS, True, 16)
     maybe = np.zeros(1 << 20, bool)
     maybe[(grams & np.uint64(len(maybe) - 1)).astype(np.int64)] = True
     inputs = Inputs(known, np.append(odds, 0.0), grams, gram_odds, maybe)

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapdemand.sources.files import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -21,16 +19,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
-    @property
-    def texts(self) -> DataFrame:
-        """``documents``, for work whose cost lies in the texts."""
-        return spread(self.documents)
-
-    @property
-    def markup(self) -> DataFrame:
-        """``pages``, for work whose cost lies in the markup."""
-        return spread(self.pages)
-
 
 def query(name: str, sql: str | None = None) -> Callable:
     """Registers ``fn(tables)`` as a query, with its SQL when there is one."""

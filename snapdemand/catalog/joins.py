@@ -13,19 +13,52 @@ from snapdemand.catalog.views import (
 )
 from snapdemand.operators.classify import first_rule, matching_rules
 from snapdemand.operators.demand import dense_grid, expand_scopes
+from snapdemand.operators.dictionary import tag_by_table
 from snapdemand.operators.lifecycle import latest_row, latest_value
 from snapdemand.operators.snapshots import known_keys
 from snapdemand.operators.tagging import tag
 from snapdemand.plans.warehouse import posting_skills
 from snapdemand.catalog.views import PART_DICTIONARY
 from snapdemand.quality.checks import check_latest_has_rows
+from snapdemand.session import scratch_dir
+from snapdemand.sources.files import constants, read_dictionary
 
 
 @query("JN1_regex_join", f"""
 WITH {dictionary_sql(DOC_DICTIONARY)}
 SELECT DISTINCT doc_id, skill, category FROM documents JOIN dictionary ON regexp_matches(text, pattern, 'i')""")
 def jn1(t):
-    return tag(t.texts, ["doc_id"], "text", DOC_DICTIONARY)
+    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY)
+
+
+def dictionary_table(t):
+    """The example dictionary as a file, read as a user's own."""
+    path = scratch_dir(t.spark, "skills")
+    entries = constants(t.spark, [(e.skill, e.category, e.pattern) for e in DOC_DICTIONARY], model.DICTIONARY_SCHEMA)
+    entries.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return read_dictionary(t.spark, path)
+
+
+@query("JN1_dictionary_table", f"""
+WITH {dictionary_sql(DOC_DICTIONARY)}
+SELECT skill, any_value(category) AS category, count(*) AS docs, CAST(sum(doc_id) AS BIGINT) AS ids
+FROM (SELECT DISTINCT doc_id, skill, category FROM documents, dictionary WHERE regexp_matches(text, pattern, 'i')) GROUP BY skill""")
+def jn1_table(t):
+    return tag_by_table(t.documents, ["doc_id"], "text", dictionary_table(t)).groupBy("skill").agg(
+        F.any_value("category").alias("category"), F.count("*").alias("docs"), F.sum("doc_id").alias("ids"))
+
+
+@query("JN1_large_dictionary", """
+WITH asked AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS skill FROM benchmark),
+said AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[0-9a-z_]+')) AS skill FROM documents)
+SELECT skill, left(skill, 1) AS category, count(*) AS docs FROM said JOIN asked USING (skill) GROUP BY skill""")
+def jn1_large(t):
+    """All words of the benchmark as a dictionary: thousands of entries."""
+    words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("skill"))
+    boundary = F.lit("\\b")
+    entries = words.distinct().select("skill", F.left("skill", F.lit(1)).alias("category"),
+                                      F.concat(boundary, "skill", boundary).alias("pattern"))
+    return tag_by_table(t.documents, ["doc_id"], "text", entries).groupBy("skill", "category").agg(F.count("*").alias("docs"))
 
 
 @query("JN2_equi", f"""

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from snapdemand.catalog.base import query
 from snapdemand.catalog.html_sql import html_text_sql, unescape_sql
 from snapdemand.catalog.views import (
-    DOC_DICTIONARY, OBS_E, RAW_L, SKILLS, city_sql, dictionary_sql, obs_e, raw_l, stg, when_sql,
+    DOC_DICTIONARY, OBS_E, RAW_L, RULES, RULES_SQL, SKILLS, city_sql, dictionary_sql, obs_e, raw_l, stg, when_sql,
 )
 from snapdemand.functions import dates, html, places, regex, text
+from snapdemand.operators.dictionary import compiled, matches_column
 from snapdemand.operators.snapshots import status
 from snapdemand.operators.tagging import tag
 from snapdemand.plans.warehouse import posting_texts
+from snapdemand.sources.files import constants
 
 ZS = "chr(160) || chr(8195) || chr(12288)"
 
@@ -121,25 +123,37 @@ PATTERN = r"\b(the|und)\s+[a-m]\w*\b|license\.?$"
 
 @query("SCL8_matches", f"SELECT doc_id, regexp_matches(text, '{PATTERN}', 'i') AS hit FROM documents")
 def scl8(t):
-    return t.texts.select("doc_id", regex.matches(F.col("text"), PATTERN).alias("hit"))
+    return t.documents.select("doc_id", regex.matches(F.col("text"), PATTERN).alias("hit"))
+
+
+@query("SCL8_pattern_column", f"""
+WITH {RULES_SQL}
+SELECT p_partkey, count(*) FILTER (regexp_matches(p_name, pattern, 'i')) AS hits, count(*) AS tests FROM part, rules GROUP BY p_partkey""")
+def scl8_column(t):
+    """The pattern is a column: each row is tested with its own."""
+    rules = compiled(constants(t.spark, [(r.pattern,) for r in RULES], "pattern string")).select("_java")
+    listed = rules.agg(F.collect_list("_java").alias("patterns"))  # a literal table of eight rows
+    rows = t.part.join(F.broadcast(listed)).select("p_partkey", "p_name", F.explode("patterns").alias("java"))
+    return rows.groupBy("p_partkey").agg(
+        F.count_if(matches_column(F.col("p_name"), F.col("java"))).alias("hits"), F.count("*").alias("tests"))
 
 
 @query("SCL9_first_match", r"SELECT doc_id, regexp_extract(text, '[A-Z]\w+\s+(of|de|der)\s+\w+') AS found FROM documents")
 def scl9(t):
-    return t.texts.select("doc_id", regex.first_match(
+    return t.documents.select("doc_id", regex.first_match(
         F.col("text"), r"[A-Z]\w+\s+(of|de|der)\s+\w+").alias("found"))
 
 
 @query("SCL10_squeeze", r"SELECT doc_id, regexp_replace(text, '\s+', ' ', 'g') AS squeezed FROM documents")
 def scl10(t):
-    return t.texts.select("doc_id", regex.squeeze(F.col("text")).alias("squeezed"))
+    return t.documents.select("doc_id", regex.squeeze(F.col("text")).alias("squeezed"))
 
 
 @query("SCL11_regex_dialect", f"""
 WITH {dictionary_sql(DOC_DICTIONARY)}
 SELECT skill, count(*) AS docs FROM documents JOIN dictionary ON regexp_matches(text, pattern, 'i') GROUP BY skill""")
 def scl11(t):
-    return tag(t.texts, ["doc_id"], "text", DOC_DICTIONARY).groupBy("skill").agg(F.count("*").alias("docs"))
+    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY).groupBy("skill").agg(F.count("*").alias("docs"))
 
 
 @query("SCL12_searchable", f"""
@@ -170,12 +184,12 @@ def scl14(t):
 
 @query("SCL15_html_to_text", f"SELECT page_id, {html_text_sql('html')} AS text FROM pages")
 def scl15(t):
-    return t.markup.select("page_id", html.html_to_text(F.col("html")).alias("text"))
+    return t.pages.select("page_id", html.html_to_text(F.col("html")).alias("text"))
 
 
 @query("SCL16_unescape", f"SELECT page_id, {unescape_sql('html')} AS html FROM pages")
 def scl16(t):
-    return t.markup.select("page_id", html.unescape_entities(F.col("html")).alias("html"))
+    return t.pages.select("page_id", html.unescape_entities(F.col("html")).alias("html"))
 
 
 @query("SCL17_join_distinct", """
@@ -193,7 +207,7 @@ def scl17(t):
 SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, 'tion|ment', 'i')), ' ') AS kept
 FROM documents""")
 def scl18(t):
-    return t.texts.select("doc_id", F.array_join(text.keep_items(F.split("text", " "), "tion|ment"), " ").alias("kept"))
+    return t.documents.select("doc_id", F.array_join(text.keep_items(F.split("text", " "), "tion|ment"), " ").alias("kept"))
 
 
 @query("SCL19_sections_text", """

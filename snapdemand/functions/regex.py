@@ -183,7 +183,7 @@ def matches_lower(lowered: Column, pattern: str) -> Column:
     """``matches`` for lower-cased texts without ``FOLDING_CHARS``: plain substring tests come before the regex."""
     literals = required_literals(pattern)
     hit = lowered.rlike(rx_lower(pattern))
-    if not literals or len(literals) > 4:
+    if not literals:
         return hit
     return reduce(Column.__or__, [F.contains(lowered, F.lit(x)) for x in literals]) & hit
 

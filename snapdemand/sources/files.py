@@ -28,15 +28,6 @@ def read_glob(spark: SparkSession, glob: str, schema: T.StructType = model.POSTI
     return spark.read.schema(schema).parquet(glob)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deals the rows of a scan out to all cores when it has fewer splits than that; else returns it unchanged.
-
-    Meant for costly work per row on a few small files. A large table has more splits than cores and is never shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def earlier_days(snapshots: DataFrame, day: Column, date: str = "date") -> DataFrame:
     """Days before ``day``; with ``date`` the partition column the others are never listed or read."""
     return snapshots.where(F.col(date) < day)
@@ -55,20 +46,13 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     return read_dictionary(spark, path, model.DIMENSION_SCHEMA)
 
 
-def _rows(df: DataFrame, limit: int) -> list:
-    """The rows of a table that becomes part of the plan; more than ``limit`` is an error, never a cut."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rows: too many to become expressions of one plan")
-    return rows
-
-
-def load_entries(dictionary: DataFrame, limit: int = 2000) -> list[Entry]:
-    return [Entry(r.skill, r.category, r.pattern) for r in _rows(dictionary, limit)]
+def load_entries(dictionary: DataFrame) -> list[Entry]:
+    """The dictionary as expressions of a plan; for one that grows, see ``operators.dictionary``."""
+    return [Entry(r.skill, r.category, r.pattern) for r in dictionary.collect()]
 
 
-def load_rules(rules: DataFrame, limit: int = 2000) -> list[Rule]:
-    return [Rule(r.field, r.priority, r.pattern, r.value) for r in _rows(rules, limit)]
+def load_rules(rules: DataFrame) -> list[Rule]:
+    return [Rule(r.field, r.priority, r.pattern, r.value) for r in rules.collect()]
 
 
 def constants(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -108,12 +108,13 @@ def qa9(t):
 @query("QA10_golden_cases", f"""
 WITH {dictionary_sql(DOC_DICTIONARY)}, {RULES_SQL},
 cases AS (SELECT doc_id || ': ' || text AS text, 'license' AS skill, lang = 'en' AS should_match FROM documents),
+given AS (
+  SELECT p_partkey, p_name, p_type, field, list(value ORDER BY priority, value) FILTER (regexp_matches(p_name, pattern, 'i')) AS won
+  FROM part, rules GROUP BY ALL),
 labels_got AS (
-  SELECT p_name, CASE p_type WHEN 'ECONOMY' THEN 'ai_ml' ELSE 'other' END AS want_family, 'mid' AS want_level,
-    coalesce((SELECT value FROM rules WHERE field = 'role_family' AND regexp_matches(p_name, pattern, 'i')
-              ORDER BY priority, value LIMIT 1), 'other') AS family,
-    coalesce((SELECT value FROM rules WHERE field = 'seniority' AND regexp_matches(p_name, pattern, 'i')
-              ORDER BY priority, value LIMIT 1), 'mid') AS level FROM part)
+  SELECT p_name, if(p_type = 'ECONOMY', 'ai_ml', 'other') AS want_family, 'mid' AS want_level,
+    coalesce(any_value(won[1]) FILTER (field = 'role_family'), 'other') AS family,
+    coalesce(any_value(won[1]) FILTER (field = 'seniority'), 'mid') AS level FROM given GROUP BY p_partkey, p_name, p_type)
 """ + failures("golden_tags", "text", "c.skill || '=' || should_match",
                "FROM cases AS c JOIN dictionary AS d ON d.skill = c.skill WHERE regexp_matches(text, pattern, 'i') <> should_match")
     + " UNION ALL " + failures(

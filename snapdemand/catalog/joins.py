@@ -143,11 +143,11 @@ def jn9(t):
 
 
 @query("JN10_first_rule", f"""
-WITH {RULES_SQL}
-SELECT p_partkey, coalesce((SELECT value FROM rules WHERE field = 'role_family' AND regexp_matches(p_name, pattern, 'i')
-                            ORDER BY priority, value LIMIT 1), 'other') AS role_family,
-       coalesce((SELECT value FROM rules WHERE field = 'seniority' AND regexp_matches(p_name, pattern, 'i')
-                 ORDER BY priority, value LIMIT 1), 'mid') AS seniority FROM part""")
+WITH {RULES_SQL}, met AS (
+  SELECT p_partkey, field, list(value ORDER BY priority, value) FILTER (regexp_matches(p_name, pattern, 'i')) AS given
+  FROM part, rules GROUP BY ALL)
+SELECT p_partkey, coalesce(any_value(given[1]) FILTER (field = 'role_family'), 'other') AS role_family,
+       coalesce(any_value(given[1]) FILTER (field = 'seniority'), 'mid') AS seniority FROM met GROUP BY p_partkey""")
 def jn10(t):
     return t.part.select("p_partkey", *[
         F.coalesce(first_rule(F.col("p_name"), field, RULES), F.lit(default)).alias(field)

@@ -112,15 +112,14 @@ def mod8_models(t):
 
 @query("MOD8_event_demand", f"""
 WITH {OBS_E}, {EVENT_SCOPES_SQL},
-in_week AS (SELECT DISTINCT CAST(date_trunc('week', day) AS DATE) AS week_start, posting_key, role_family FROM obs_e),
-in_scope AS (SELECT week_start, role_scope, posting_key FROM in_week JOIN scopes USING (role_family)),
-tags AS (SELECT DISTINCT posting_key, CASE WHEN value >= 20 THEN 'high' ELSE 'low' END AS skill, role_family AS category
-         FROM obs_e)
-SELECT week_start, skill, category, role_scope, count(*) AS open_postings,
-       CAST(count(*) AS DOUBLE) / any_value(total) AS share
-FROM in_scope JOIN tags USING (posting_key)
-JOIN (SELECT week_start, role_scope, count(*) AS total FROM in_scope GROUP BY ALL) USING (week_start, role_scope)
-GROUP BY week_start, skill, category, role_scope""")
+users AS (
+  SELECT posting_key, role_family, list_distinct(list(CAST(date_trunc('week', day) AS DATE))) AS weeks,
+         list_distinct(list(if(value >= 20, 'high', 'low'))) AS levels FROM obs_e GROUP BY ALL),
+members AS (
+  SELECT *, count(*) OVER (PARTITION BY week_start, role_scope) AS size
+  FROM (SELECT *, unnest(weeks) AS week_start FROM users) JOIN scopes USING (role_family))
+SELECT week_start, skill, role_family AS category, role_scope, count(*) AS open_postings, count(*) / CAST(max(size) AS DOUBLE) AS share
+FROM (SELECT *, unnest(levels) AS skill FROM members) GROUP BY ALL""")
 def mod8_events(t):
     seen = obs_e(t)
     families = seen.select("posting_key", "role_family").distinct()
@@ -143,13 +142,11 @@ def mod9_models(t):
 
 @query("MOD10_weekly_unscoped", f"""
 WITH {SKILLS},
-in_week AS (
-  SELECT DISTINCT CAST(date_trunc('week', collected_date) AS DATE) AS week_start, posting_key FROM stg)
-SELECT week_start, skill, category, count(*) AS open_postings,
-       CAST(count(*) AS DOUBLE) / any_value(total) AS share
-FROM in_week JOIN skills USING (posting_key)
-JOIN (SELECT week_start, count(*) AS total FROM in_week GROUP BY 1) USING (week_start)
-GROUP BY week_start, skill, category""")
+weeks AS (
+  SELECT *, count(*) OVER (PARTITION BY week_start) AS size
+  FROM (SELECT posting_key, unnest(list_distinct([CAST(date_trunc('week', d) AS DATE) for d in days])) AS week_start FROM grouped))
+SELECT week_start, skill, category, count(*) AS open_postings, count(*) / CAST(max(size) AS DOUBLE) AS share
+FROM weeks JOIN skills USING (posting_key) GROUP BY week_start, skill, category""")
 def mod10(t):
     return skill_demand_weekly(raw_l(t), PART_DICTIONARY)
 

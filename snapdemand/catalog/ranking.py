@@ -89,13 +89,12 @@ def rsh1(t):
 
 
 @query("RSH2_dense_daily", f"""
-WITH {OBS_E}, firsts AS (SELECT posting_key, any_value(role_family) AS role_family, min(day) AS first_seen FROM obs_e GROUP BY 1)
-SELECT d.day, f.role_family, coalesce(o.n, 0) AS open_postings, coalesce(n.n, 0) AS new_postings
-FROM (SELECT DISTINCT day FROM obs_e) AS d CROSS JOIN (SELECT DISTINCT role_family FROM obs_e) AS f
-LEFT JOIN (SELECT day, role_family, count(DISTINCT posting_key) AS n FROM obs_e GROUP BY ALL) AS o
-  ON o.day = d.day AND o.role_family = f.role_family
-LEFT JOIN (SELECT first_seen AS day, role_family, count(*) AS n FROM firsts GROUP BY ALL) AS n
-  ON n.day = d.day AND n.role_family = f.role_family""")
+WITH {OBS_E}, seen AS (
+  SELECT posting_key, role_family, min(day) AS first, unnest(list_distinct(list(day))) AS day FROM obs_e GROUP BY posting_key, role_family),
+axes AS (SELECT unnest(list_distinct(list(day))) AS day, families FROM obs_e, (SELECT list_distinct(list(role_family)) AS families FROM obs_e) GROUP BY families)
+SELECT a.day, a.role_family, count(s.posting_key) AS open_postings, count(*) FILTER (s.day = s.first) AS new_postings
+FROM (SELECT day, unnest(families) AS role_family FROM axes) AS a LEFT JOIN seen AS s ON s.day = a.day AND s.role_family = a.role_family
+GROUP BY ALL""")
 def rsh2(t):
     seen = obs_e(t)
     firsts = seen.groupBy("posting_key", "role_family").agg(F.min("day").alias("first_seen"))
@@ -104,9 +103,9 @@ def rsh2(t):
 
 @query("RSH3_pivot", f"""
 WITH {ROLES}
-SELECT posting_key, max(value) FILTER (WHERE field = 'role_family') AS role_family,
-       max(value) FILTER (WHERE field = 'seniority') AS seniority
-FROM ranked WHERE rn = 1 GROUP BY 1""")
+SELECT posting_key, [x.value for x in found if x.field = 'role_family'][1] AS role_family,
+       [x.value for x in found if x.field = 'seniority'][1] AS seniority
+FROM hits WHERE len(found) > 0""")
 def rsh3(t):
     latest = latest_row(stg(t).select("posting_key", "title", "collected_date", "url"), ["posting_key"],
                         "collected_date", ["url"])

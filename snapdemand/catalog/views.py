@@ -208,101 +208,89 @@ def city_sql(column: str) -> str:
 
 
 def when_sql(raw: str, day: str) -> str:
-    return rf"""CASE
-           WHEN lower(trim({raw})) = 'posted today' THEN {day}
-           WHEN lower(trim({raw})) = 'posted yesterday' THEN {day} - 1
-           WHEN regexp_matches({raw}, '^posted [0-9]+[+]? days? ago$', 'i')
-             THEN {day} - TRY_CAST(regexp_extract({raw}, '[0-9]+') AS INTEGER)
-           WHEN regexp_matches({raw}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN TRY_CAST(left({raw}, 10) AS DATE)
-           WHEN regexp_matches({raw}, '^[0-9]{{12,13}}$')
-             THEN DATE '1970-01-01' + CAST(TRY_CAST({raw} AS BIGINT) // 86400000 AS INTEGER)
-           WHEN regexp_matches({raw}, '^[A-Za-z]+\s+[0-9]{{1,2}},\s+[0-9]{{4}}$')
-             THEN CAST(try_strptime(regexp_replace(trim({raw}), '\s+', ' ', 'g'), '%B %d, %Y') AS DATE)
-         END"""
+    """Each notation is cut out by a pattern of its own, which leaves nothing of any other; the first that gives a date holds."""
+    month_first = rf"regexp_extract({raw}, '^[A-Za-z]+\s+[0-9]{{1,2}},\s+[0-9]{{4}}$')"
+    return rf"""coalesce(
+           {day} - coalesce(MAP {{'posted today': 0, 'posted yesterday': 1}}[lower(trim({raw}))],
+                            TRY_CAST(regexp_extract({raw}, '^posted ([0-9]+)[+]? days? ago$', 1, 'i') AS INTEGER)),
+           TRY_CAST(regexp_extract({raw}, '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1) AS DATE),
+           CAST(epoch_ms(TRY_CAST(regexp_extract({raw}, '^[0-9]{{12,13}}$') AS BIGINT)) AS DATE),
+           CAST(try_strptime(array_to_string(regexp_extract_all({month_first}, '[A-Za-z]+|[0-9]+'), ' '), '%B %d %Y') AS DATE))"""
 
 
 STG = RAW_L + f""",
-clean_l AS (
-  SELECT source_system, company_key, posting_id, trim(title) AS title,
-         trim(replace(location, chr(160), ' ')) AS location, posted_raw, url, description,
-         CAST(collected_at AS DATE) AS collected_date
-  FROM raw_l),
 stg AS (
-  SELECT source_system, company_key, posting_id, source_system || ':' || posting_id AS posting_key, title, location,
-         {city_sql("location")} AS city,
-         {when_sql("posted_raw", "collected_date")} AS posted_date,
-         url, nullif(trim(description), '') AS description_clean, collected_date
-  FROM clean_l)"""
-
-LATEST = STG + """,
-latest AS (
-  SELECT * FROM stg QUALIFY row_number() OVER (PARTITION BY posting_key ORDER BY collected_date DESC, url DESC) = 1)"""
+  SELECT source_system, company_key, posting_id, concat_ws(':', source_system, posting_id) AS posting_key,
+         trim(title) AS title, place AS location, {city_sql("place")} AS city,
+         {when_sql("posted_raw", "day")} AS posted_date, url,
+         CASE WHEN trim(description) <> '' THEN trim(description) END AS description_clean, day AS collected_date
+  FROM (SELECT *, trim(translate(location, chr(160), ' ')) AS place, CAST(collected_at AS DATE) AS day FROM raw_l))"""
+
+# one group per posting: its rows, newest first, as a list of structs, and the days it was seen on
+GROUPED = STG + """,
+grouped AS (
+  SELECT posting_key, list(s ORDER BY collected_date DESC, url DESC) AS all_rows, min(posted_date) AS posted_date,
+         list_sort(list_distinct(list(collected_date))) AS days
+  FROM stg AS s GROUP BY posting_key)"""
+
+LATEST = GROUPED + """,
+latest AS (SELECT unnest(all_rows[1]) FROM grouped)"""
 
 LIFE = LATEST + """,
-seen AS (
-  SELECT posting_key, min(collected_date) AS first_seen, max(collected_date) AS last_seen,
-         min(posted_date) AS posted_date
-  FROM stg GROUP BY posting_key),
 life AS (
-  SELECT posting_key, company_key, title, city, url, s.posted_date, first_seen, last_seen,
-         last_seen = (SELECT max(collected_date) FROM stg) AS is_open, last_seen - first_seen + 1 AS days_open
-  FROM latest JOIN seen AS s USING (posting_key))"""
+  SELECT posting_key, all_rows[1].company_key AS company_key, all_rows[1].title AS title, all_rows[1].city AS city,
+         all_rows[1].url AS url, posted_date, days[1] AS first_seen, days[-1] AS last_seen,
+         days[-1] = max(days[-1]) OVER () AS is_open, date_diff('day', days[1], days[-1]) + 1 AS days_open
+  FROM grouped)"""
 
 ROLES_TAIL = f""",
 {RULES_SQL},
-ranked AS (
-  SELECT posting_key, field, value,
-         row_number() OVER (PARTITION BY posting_key, field ORDER BY priority, value) AS rn
-  FROM latest JOIN rules ON regexp_matches(title, pattern, 'i')),
+hits AS (
+  SELECT posting_key, list(struct_pack(field := field, value := value) ORDER BY priority, value)
+           FILTER (regexp_matches(title, pattern, 'i')) AS found
+  FROM latest, rules GROUP BY posting_key),
 roles AS (
-  SELECT l.posting_key, coalesce(f.value, 'other') AS role_family, coalesce(s.value, 'mid') AS seniority
-  FROM latest AS l
-  LEFT JOIN ranked AS f ON f.posting_key = l.posting_key AND f.field = 'role_family' AND f.rn = 1
-  LEFT JOIN ranked AS s ON s.posting_key = l.posting_key AND s.field = 'seniority' AND s.rn = 1)"""
+  SELECT posting_key, coalesce([x.value for x in found if x.field = 'role_family'][1], 'other') AS role_family,
+         coalesce([x.value for x in found if x.field = 'seniority'][1], 'mid') AS seniority FROM hits)"""
 ROLES = LATEST + ROLES_TAIL
 
 SKILLS_TAIL = f""",
 {dictionary_sql(PART_DICTIONARY)},
 texts AS (
-  SELECT posting_key, description_clean AS told FROM stg WHERE description_clean IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY posting_key ORDER BY collected_date DESC) = 1),
+  SELECT posting_key, told[1] AS told
+  FROM (SELECT posting_key, [r.description_clean for r in all_rows if r.description_clean IS NOT NULL] AS told FROM grouped)
+  WHERE len(told) > 0),
 skills AS (
-  SELECT DISTINCT posting_key, skill, category
-  FROM latest LEFT JOIN texts USING (posting_key)
-  JOIN dictionary ON regexp_matches(title || ' ' || coalesce(told, ''), pattern, 'i'))"""
+  SELECT posting_key, skill, any_value(category) AS category
+  FROM (SELECT posting_key, concat_ws(' ', title, coalesce(told, '')) AS text FROM latest LEFT JOIN texts USING (posting_key)), dictionary
+  WHERE regexp_matches(text, pattern, 'i') GROUP BY posting_key, skill)"""
 SKILLS = LATEST + SKILLS_TAIL
 
 FACTS = LIFE + ROLES_TAIL + """,
-facts AS (SELECT * FROM life JOIN roles USING (posting_key))"""
+facts AS (FROM life JOIN roles USING (posting_key))"""
 BRIDGE_TAIL = SKILLS_TAIL + """,
-bridge AS (SELECT posting_key, company_key, skill, category FROM skills JOIN facts USING (posting_key))"""
+bridge AS (SELECT posting_key, company_key, skill, category FROM facts JOIN skills USING (posting_key))"""
 BRIDGE = FACTS + BRIDGE_TAIL
 
+# a posting's weeks come from its list of days; the size of a week and scope is counted over all of its postings
 WEEKLY = BRIDGE + f""",
 {SCOPES_SQL},
-in_week AS (
-  SELECT DISTINCT CAST(date_trunc('week', collected_date) AS DATE) AS week_start, posting_key FROM stg),
-in_scope AS (
-  SELECT week_start, role_scope, posting_key
-  FROM in_week JOIN facts USING (posting_key) JOIN scopes USING (role_family)),
+members AS (
+  SELECT *, count(*) OVER (PARTITION BY week_start, role_scope) AS size
+  FROM (SELECT posting_key, role_family, unnest(list_distinct([CAST(date_trunc('week', d) AS DATE) for d in days])) AS week_start
+        FROM grouped JOIN roles USING (posting_key)) JOIN scopes USING (role_family)),
 weekly AS (
-  SELECT c.week_start, skill, category, c.role_scope, open_postings,
-         CAST(open_postings AS DOUBLE) / total AS share
-  FROM (SELECT week_start, role_scope, skill, category, count(*) AS open_postings
-        FROM in_scope JOIN bridge USING (posting_key) GROUP BY ALL) AS c
-  JOIN (SELECT week_start, role_scope, count(*) AS total FROM in_scope GROUP BY ALL) AS n
-    ON n.week_start = c.week_start AND n.role_scope = c.role_scope)"""
+  SELECT week_start, skill, category, role_scope, count(*) AS open_postings, count(*) / CAST(max(size) AS DOUBLE) AS share
+  FROM members JOIN skills USING (posting_key) GROUP BY week_start, skill, category, role_scope)"""
 
 DAILY = FACTS + """,
+by_day AS (
+  SELECT day, role_family, count(*) AS n, count(*) FILTER (day = first_seen) AS fresh
+  FROM (SELECT posting_key, days[1] AS first_seen, unnest(days) AS day FROM grouped) JOIN roles USING (posting_key) GROUP BY ALL),
 daily AS (
-  SELECT d.day, f.role_family, coalesce(open_postings, 0) AS open_postings, coalesce(new_postings, 0) AS new_postings
-  FROM (SELECT DISTINCT collected_date AS day FROM stg) AS d
-  CROSS JOIN (SELECT DISTINCT role_family FROM facts) AS f
-  LEFT JOIN (SELECT collected_date AS day, role_family, count(DISTINCT posting_key) AS open_postings
-             FROM stg JOIN facts USING (posting_key) GROUP BY ALL) AS o
-    ON o.day = d.day AND o.role_family = f.role_family
-  LEFT JOIN (SELECT first_seen AS day, role_family, count(*) AS new_postings FROM facts GROUP BY ALL) AS n
-    ON n.day = d.day AND n.role_family = f.role_family)"""
+  SELECT day, role_family, CAST(coalesce(sum(n), 0) AS BIGINT) AS open_postings, CAST(coalesce(sum(fresh), 0) AS BIGINT) AS new_postings
+  FROM (FROM by_day UNION ALL SELECT a.day, b.role_family, 0, 0 FROM by_day AS a, (SELECT DISTINCT role_family FROM facts) AS b)
+  GROUP BY ALL)"""
 
 DIMENSION = """
 dimension AS (

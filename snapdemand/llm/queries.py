@@ -80,7 +80,7 @@ WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
 ), sized AS (
-    SELECT *, 15 + length(role) + length(text) + length(text) - length(replace(text, '\', ''))
+    SELECT *, 14 + length(role) + length(text) + length(text) - length(replace(text, '\', ''))
         + length(text) - length(replace(text, '<', '')) + length(text) - length(replace(text, '#', '')) AS n,
         row_number() OVER way = count(*) OVER (PARTITION BY conv_id) AS last
     FROM said WINDOW way AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)

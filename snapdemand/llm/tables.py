@@ -21,11 +21,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here, a lost executor costs nothing."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,6 +22,8 @@ from .words import mixed
 LENGTH = 1024
 SHARD_BYTES = 8 << 20
 ROUNDS = 6
+#: of zstd, for the written sequences and for what is shuffled: disk is scarcer here than time
+_LEVEL = 6
 _U = np.uint64
 
 
@@ -132,7 +134,7 @@ class Order:
 
 def _deal(base: dict[int, int], n: int, key: int, per_shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=_LEVEL)
         for batch in batches:
             starts = np.array([base[p] for p in batch.column("part").to_pylist()], np.int64)
             slot = permuted(starts + batch.column("number").to_numpy(), n, key)
@@ -167,7 +169,8 @@ def materialise(docs: DataFrame, key: int, path: str | None = None, vocabulary:
     sources. Without documents there is no shard.
     """
     spark = docs.sparkSession
-    cut = written(sequences(docs, vocabulary, length), "sequences", codec="zstd")
+    cut = written(sequences(docs, vocabulary, length), "sequences", {
+        "compression": "zstd", "parquet.compression.codec.zstd.level": str(_LEVEL)})
     counts = {r["part"]: r["count"] for r in cut.groupBy("part").count().collect()}
     base, n = {}, 0
     for part in sorted(counts):

@@ -94,7 +94,7 @@ def _char_class(token: str, exact: bool) -> str:
         return body
     if token.startswith("[^"):
         return f"(?:{body}|(?-iu:[{_TURKIC_I}]))"
-    return f"(?-iu:(?![{_TURKIC_I}])){body}"
+    return f"(?:(?-iu:(?![{_TURKIC_I}])){body})"  # one atom, as a repeat may follow
 
 
 def _translate(pattern: str, exact: bool) -> str:

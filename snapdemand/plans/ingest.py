@@ -72,7 +72,7 @@ def summarise_run(
             F.col("company_key").alias("key"),
             status(F.coalesce("rows", zero), F.coalesce("failed", no)).alias("status"),
             F.coalesce("rows", zero).alias("rows"),
-            F.when(F.coalesce("failed", no), "response does not parse").alias("error"),
+            F.when(F.coalesce("failed", no), "response does not parse, or a posting lacks its id or title").alias("error"),
             F.coalesce("describe_errors", zero).alias("describe_errors"),
             F.coalesce("truncated", no).alias("truncated"),
             F.lit(None).cast("double").alias("duration_s"))

@@ -341,7 +341,8 @@ def normalise(payloads: DataFrame, spec: PayloadSpec) -> DataFrame:
 def parse_payloads(payloads: DataFrame, specs: Mapping[str, PayloadSpec]) -> DataFrame:
     """All systems in one pass: per response ``failed``, ``reported``, ``read`` and its kept ``postings``.
 
-    A response is parsed by the schema of its own system only; one of an unknown system counts as failed.
+    A response is parsed by the schema of its own system only; one of an unknown system counts as failed, and so does one
+    with a kept posting that has no id or no title.
     """
     def own(spec: PayloadSpec, value: Column) -> Column:
         return F.when(F.col("source_system") == spec.system, value)
@@ -352,12 +353,16 @@ def parse_payloads(payloads: DataFrame, specs: Mapping[str, PayloadSpec]) -> Dat
     every = list(specs.values())
     parsed = payloads.withColumns({f"_doc_{s.system}": own(s, document(s, F.col("json"))) for s in every})
     failed = F.coalesce(*[own(s, is_broken(s, doc(s))) for s in every], F.lit(True))
-    return parsed.withColumn("failed", failed).select(
+    found = parsed.withColumn("failed", failed).select(
         "source_system", "company_key", "source_order", "page", "config", "collected_at", "failed",
         F.coalesce(*[own(s, rows_reported(s, doc(s))) for s in every]).alias("reported"),
         F.coalesce(*[own(s, rows_read(s, doc(s))) for s in every]).alias("read"),
         F.when(~F.col("failed"), F.coalesce(
             *[own(s, kept_postings(s, doc(s), F.col("config"))) for s in every])).alias("postings"))
+    # a posting without its id or title would be told from others by nothing: its response is of no use
+    lacking = F.exists("postings", lambda p: p["posting_id"].isNull() | p["title"].isNull())
+    failed = F.col("failed") | F.coalesce(lacking, F.lit(False))
+    return found.withColumn("failed", failed).withColumn("postings", F.when(~F.col("failed"), F.col("postings")))
 
 
 def site_totals(parsed: DataFrame) -> DataFrame:

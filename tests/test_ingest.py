@@ -192,11 +192,11 @@ def test_a_missing_folder_raises(spark, tmp_path):
 
 def test_dictionary_csv_keeps_quotes_and_backslashes(spark, tmp_path):
     path = tmp_path / "d.csv"
-    path.write_text('skill,category,pattern\nGo,language,"\\bgo\\b|""go"", x"\nR,language,\\br\\b\n')
-    assert [tuple(r) for r in files.read_dictionary(spark, str(path)).collect()] == [
-        ("Go", "language", '\\bgo\\b|"go", x'), ("R", "language", "\\br\\b")]
-    with pytest.raises(ValueError, match="more than 1"):
-        files.load_entries(files.read_dictionary(spark, str(path)), limit=1)
+    path.write_text('skill,category,pattern\nViol,string,"\\bviol\\b|""viol"", x"\nGong,drum,\\bgong\\b\n')
+    want = [("Viol", "string", '\\bviol\\b|"viol", x'), ("Gong", "drum", "\\bgong\\b")]
+    table = files.read_dictionary(spark, str(path))
+    assert [tuple(r) for r in table.collect()] == want
+    assert [(e.skill, e.category, e.pattern) for e in files.load_entries(table)] == want
 
 
 def test_union_of_nothing_is_empty_with_schema(spark):
@@ -265,3 +265,22 @@ def test_checks_of_empty_and_null_inputs(spark):
     now = F.lit("2026-10-09 12:00:00").cast("timestamp_ntz")
     assert [r.severity for r in qa.check_freshness(late, "d", now).collect()] == ["warn"]
     assert qa.check_freshness(late, "d", F.lit("2026-10-08 12:00:00").cast("timestamp_ntz")).count() == 0
+
+
+#: the fields that name and title a posting, by system
+NAMED = {"smartrecruiters": ("id", "name"), "oracle_cloud": ("Id", "Title"), "eightfold": ("id", "name"), "jibe": ("slug", "title"),
+         "phenom": ("jobId", "title"), "amazon": ("id_icims", "title"), "greenhouse": ("id", "title"), "lever": ("id", "text"),
+         "ashby": ("id", "title"), "workable": ("shortcode", "title")}
+
+
+def test_a_posting_without_id_or_title_fails_its_response(spark):
+    rows, want = [], {}
+    for i, (system, fields) in enumerate(NAMED.items()):
+        text = json.dumps(RESPONSES[system])
+        for j, field in enumerate((None, *fields)):
+            broken = text.replace(f'"{field}":', '"gone":') if field else text
+            rows.append((system, f"{system}-{field}", i, j, CONFIG, broken, "2026-10-02"))
+            want[f"{system}-{field}"] = field is not None
+    parsed = parse_payloads(spark.createDataFrame(rows, PAYLOAD_SCHEMA), SPECS).select("company_key", "failed", "postings").collect()
+    assert {r.company_key: r.failed for r in parsed} == want
+    assert all((r.postings is None) == r.failed for r in parsed)

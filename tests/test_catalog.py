@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from snapdemand import catalog
 
 SMALL = "/root/testdata/sf0.001"
 IDS = (
@@ -17,9 +18,10 @@ IDS = (
 
 
 def test_every_operator_has_a_query_with_sql():
-    found = {re.match(r"[A-Z]+\d+", n)[0] for n in entry.queries()}
+    found = {re.match(r"[A-Z]+\d+", n)[0] for n in catalog.QUERIES}
     assert set(IDS) - found == set()
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.SQL) <= set(entry.oracle_sql())
 
 
 def plan(df):

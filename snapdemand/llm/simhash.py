@@ -68,20 +68,26 @@ def _ball(radius: int) -> np.ndarray:
     return np.array([sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(64), r)], np.uint64)
 
 
-@lru_cache(maxsize=4)
-def _columns(bits: int) -> np.ndarray:
-    """Bucket bits that each of the 64 bit positions flips."""
-    return np.random.default_rng(bits).integers(1, 1 << bits, 64, dtype=np.int64)
+@lru_cache(maxsize=8)
+def _columns(bits: int, within: int | None = None) -> np.ndarray:
+    """Bucket bits that each of the 64 bit positions flips; slices ``within`` buckets of so many bits have their own."""
+    seed = bits if within is None else [within, bits]
+    return np.random.default_rng(seed).integers(1, 1 << bits, 64, dtype=np.int64)
 
 
-def _bucket(values: np.ndarray, bits: int) -> np.ndarray:
+def _bucket(values: np.ndarray, bits: int, within: int | None = None) -> np.ndarray:
     """The bucket of a 64-bit value. It is linear: bucket(x ^ mask) = bucket(x) ^ bucket(mask)."""
     out = np.zeros(len(values), np.int64)
-    for i, flips in enumerate(_columns(bits).tolist()):
+    for i, flips in enumerate(_columns(bits, within).tolist()):
         out ^= np.where((values >> np.uint64(i)) & np.uint64(1) > 0, flips, 0)
     return out
 
 
+def _slice(values: np.ndarray, slice_bits: int, bits: int) -> np.ndarray:
+    """The slice of a value in its bucket, which the bucket says nothing about."""
+    return _bucket(values, slice_bits, bits) if slice_bits else np.zeros(len(values), np.int64)
+
+
 def _send(radius: int, bits: int):
     """Emits every variant of every fingerprint to the variant's bucket.
 
@@ -107,13 +113,13 @@ def _send(radius: int, bits: int):
 def _groups(fps: np.ndarray, need: np.ndarray, slice_bits: int, radius: int, bits: int):
     """Variants of ``fps`` in one bucket, and the positions of their sources, slice by slice.
 
-    The bucket is cut into slices by more bits of the same linear kind; equal variants share a slice.
+    The bucket is cut into slices by more bits of the same linear kind, drawn apart; equal variants share a slice.
     """
     masks = _ball(radius)
-    finer = (_bucket(masks, bits) << slice_bits) | _bucket(masks, slice_bits) if slice_bits else _bucket(masks, bits)
+    finer = (_bucket(masks, bits) << slice_bits) | _slice(masks, slice_bits, bits)
     by_slice = np.argsort(finer, kind="stable")
     ranges = np.searchsorted(finer[by_slice], np.arange((1 << (bits + slice_bits)) + 1))
-    own = _bucket(fps, slice_bits) if slice_bits else np.zeros(len(fps), np.int64)
+    own = _slice(fps, slice_bits, bits)
     order = np.lexsort((own, need))
     key = (need[order] << slice_bits) | own[order]
     found, begin = np.unique(key, return_index=True)

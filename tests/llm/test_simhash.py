@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import xxhash
 
 from snapdemand.llm import simhash
@@ -97,6 +98,48 @@ def test_links_find_every_pair_within_reach_and_no_other(spark):
             assert (top(a) == top(b)) == (top2(a) == top2(b))
 
 
+def connected(nodes, edges):
+    """The smallest node that each node is connected to."""
+    root = {n: n for n in nodes}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    return {n: top(n) for n in nodes}
+
+
+def near(seed, n):
+    rng = random.Random(seed)
+    fps = {rng.getrandbits(64) for _ in range(n)}
+    return sorted(fps | {fp ^ sum(1 << b for b in rng.sample(range(64), k)) for fp in fps for k in range(1, 7)})
+
+
+def found_links(spark, fps, **options):
+    signed = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    return connected(fps, [(e.a % (1 << 64), e.b % (1 << 64)) for e in simhash.links(signed, **options).collect()])
+
+
+def true_links(fps, max_bits):
+    return connected(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= max_bits])
+
+
+def test_slices_cut_buckets_of_as_many_bits(spark):
+    fps = np.random.default_rng(4).integers(0, 1 << 63, 2000, np.uint64)
+    for bits in (6, 7):
+        for bucket in (0, 17):
+            need = simhash._bucket(fps, bits) ^ bucket
+            for slice_bits in (bits - 1, bits, bits + 1):
+                sizes = [len(v) for v, _ in simhash._groups(fps, need, slice_bits, 2, bits)]
+                assert len(sizes) == 1 << slice_bits and max(sizes) < 2 * sum(sizes) / len(sizes)
+    fps = near(5, 60)  # 64 buckets of 6 bits; ceil(log2(expected / wanted)) is 6 too
+    wanted = (len(fps) * 2081 >> 6) // 60
+    assert found_links(spark, fps, sorted_variants=wanted) == true_links(fps, 4)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     assert result(odd_docs) == brute(rows)[0]

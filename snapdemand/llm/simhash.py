@@ -153,11 +153,13 @@ def _collide(radius: int, max_bits: int, bits: int, sorted_variants: int):
         slice_bits = max(0, math.ceil(math.log2(max(1, expected / sorted_variants))))
         every = [np.zeros((0, 2), np.int32)]
         for variant, source in _groups(fps, need, slice_bits, radius, bits):
-            order = np.argsort(variant, kind="stable")
+            # an odd radius is rounded up, so the first of a group must be the nearest to the variant: all others reach it,
+            # unless none is nearer than the radius, and then pairs within max_bits share another variant
+            order = np.lexsort((np.bitwise_count(fps[source] ^ variant), variant)) if max_bits % 2 else np.argsort(variant, kind="stable")
             variant, source = variant[order], source[order]
             new = np.concatenate(([True], variant[1:] != variant[:-1]))
             again, head = np.flatnonzero(~new), np.flatnonzero(new)
-            # all that share a variant link to the first of them: such a group is within max_bits as a whole
+            # all that share a variant link to the first of them
             hub = source[head[np.searchsorted(head, again, side="right") - 1]]
             pairs = np.unique(np.stack([hub, source[again]], 1), axis=0)
             every.append(pairs[np.bitwise_count(fps[pairs[:, 0]] ^ fps[pairs[:, 1]]) <= max_bits])

@@ -140,6 +140,18 @@ def test_slices_cut_buckets_of_as_many_bits(spark):
     assert found_links(spark, fps, sorted_variants=wanted) == true_links(fps, 4)
 
 
+def test_odd_numbers_of_bits_equal_brute_force(spark):
+    # 0 and 7 are 3 bits apart; around each variant that they share, many others are 4 bits from one of the two
+    rng = random.Random(6)
+    fps = {0, 7}
+    for variant in range(1, 7):
+        places = range(3, 32) if variant.bit_count() == 1 else range(32, 64)
+        fps |= {variant ^ sum(1 << b for b in rng.sample(places, 2)) for _ in range(100)}
+    fps = sorted(fps | set(near(7, 12)))
+    for max_bits in (1, 3):
+        assert found_links(spark, fps, max_bits=max_bits, sorted_variants=500) == true_links(fps, max_bits)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     assert result(odd_docs) == brute(rows)[0]

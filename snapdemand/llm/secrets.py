@@ -29,9 +29,18 @@ HEX = re.compile("(?<![0-9a-f])[0-9a-f]{32,}")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]{1,20} )?PRIVATE KEY-----([A-Za-z0-9+/=\s]+)(?:-----END (?:[A-Z0-9]{1,20} )?PRIVATE KEY-----)?")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
-_HEX_ANY = re.compile("(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]{1,20} )?PRIVATE KEY-----\s*((?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n\s*+)*)([A-Za-z0-9+/=\s]+)"
+                  r"(?:-----END (?:[A-Z0-9]{1,20} )?PRIVATE KEY-----)?")
+_CIPHER = re.compile(r"^DEK-Info:\s*[A-Z0-9-]+,((?:[0-9A-Fa-f]{16}){1,2})\s*$", re.M)
+#: 16 characters of base64 and 24 of hex are 12 bytes, the least that is looked into
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile("[A-Za-z0-9+/_-]+={0,2}")
+_HEX_ANY = re.compile("(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}")
+#: line ends and tabs as JSON and shells write them
+_ESCAPED = re.compile(r"\\+[nrt]")
+#: encodings within encodings that are looked into
+DEPTH = 3
 
 
 def _unbase64(text: str) -> bytes | None:
@@ -124,20 +133,64 @@ def _signed_token(header: str, payload: str) -> str | None:
     return algorithm if isinstance(algorithm, str) and isinstance(values[1], dict) else None
 
 
-def _encoded(data: bytes | None) -> tuple[str, str] | None:
+def _encoded(data: bytes | None, depth: int) -> tuple[str, str] | None:
     """Kind and proof of what the bytes hold: a key, or printable text with a secret of its own."""
     if not data:
         return None
     key = _der_key(data) or _openssh_key(data)
     if key:
         return "key", key
-    if len(data) >= 12 and all(32 <= b < 127 or b in (9, 10, 13) for b in data):
-        plain = _plain(data.decode("ascii"))
-        if plain:
-            return "encoded", plain[0][0]
+    if depth and len(data) >= 12 and all(32 <= b < 127 or b in (9, 10, 13) for b in data):
+        text = data.decode("ascii")
+        inner = _plain(text) or scan(text, depth - 1)
+        if inner:
+            return "encoded", inner[0][0]
     return None
 
 
+def _tokens(text: str) -> Iterator[tuple[str, int, int, str]]:
+    at = 0
+    while m := _SIGNED.search(text, at):
+        proof = _signed_token(m[1], m[2])
+        if proof:
+            yield "token", m.start(), m.end(), proof
+        at = m.end() if proof else m.start(2)
+
+
+def _framed(text: str) -> Iterator[tuple[str, int, int, str]]:
+    """Keys in PEM frames. An encrypted body shows no fields: its cipher must be named and its length fit the cipher's blocks."""
+    for m in _PEM.finditer(text):
+        data, cipher = _unbase64(m[2]), _CIPHER.search(m[1])
+        proof = data and (_der_key(data) or _openssh_key(data))
+        if data and cipher and len(data) % (len(cipher[1]) // 2) == 0:
+            proof = proof or "encrypted"
+        if proof:
+            yield "key", m.start(), m.end(), proof
+
+
+def _wrapped(text: str, depth: int) -> Iterator[tuple[str, int, int, str]]:
+    """Base64 over several lines: all but the first and the last are of one length. What stands around it may look alike."""
+    for m in _WRAPPED.finditer(text):
+        lines, i = list(_LINE.finditer(text, m.start(), m.end())), 0
+        while i + 1 < len(lines):
+            j, length = i + 1, len(lines[i + 1][0])
+            while j < len(lines) and len(lines[j][0]) == length:
+                j += 1
+            for first, end in ((i, j + 1), (i, j), (i + 1, j + 1), (i + 1, j)):
+                some = lines[first:end]
+                if end > len(lines) or len(some) < 2 or len(some[0][0]) < 16:
+                    continue
+                joined = "".join(x[0] for x in some)
+                inner = _encoded(_unbase64(joined), depth)
+                if not inner and len(joined) % 2 == 0 and _HEX_ANY.fullmatch(joined):
+                    inner = _encoded(bytes.fromhex(joined), depth)
+                if inner:
+                    yield inner[0], some[0].start(), some[-1].end(), inner[1]
+                    j = end
+                    break
+            i = j
+
+
 def _plain(text: str) -> list[tuple[str, int, int, str]]:
     found = [("assign", m.start(), m.end(), "pattern") for m in ASSIGN.finditer(text)
              if m.end(1) - m.start(1) >= LEAST_VALUE]
@@ -146,30 +199,30 @@ def _plain(text: str) -> list[tuple[str, int, int, str]]:
     return found
 
 
-def scan(text: str | None) -> list[tuple[str, int, int, str]]:
+def scan(text: str | None, depth: int = DEPTH) -> list[tuple[str, int, int, str]]:
     """``(kind, start, end, proof)`` of every secret of a text, by start, then kind; code points, end exclusive.
 
     Kinds ``assign``, ``access`` and ``hex`` are plain patterns. Three kinds are candidates that had to be confirmed: a
-    ``token`` has a JSON header that names its algorithm, a ``key`` is base64 or hex (in a PEM frame or bare) whose nested
-    lengths and fields are those of a private key, ``encoded`` is base64 or hex of text that holds a plain secret.
-    Null and empty texts have none.
+    ``token`` has a JSON header that names its algorithm, a ``key`` is base64 or hex (in a PEM frame or bare, in one line or
+    several) whose nested lengths and fields are those of a private key, ``encoded`` is base64 or hex of text that holds a
+    secret of any kind, at most ``depth`` encodings deep. Line ends may be written as escapes. Null and empty texts have none.
     """
     if not text:
         return []
     found = _plain(text)
-    found += [("token", m.start(), m.end(), p) for m in _SIGNED.finditer(text) if (p := _signed_token(m[1], m[2]))]
-    framed = []
-    for m in _PEM.finditer(text):
-        data = _unbase64(m[1])
-        proof = data and (_der_key(data) or _openssh_key(data))
-        if proof:
-            framed.append(("key", m.start(), m.end(), proof))
+    # places stay as they are: an escape becomes as many characters of white space
+    views = {text: 0, _ESCAPED.sub(lambda m: "\x20" * (len(m[0]) - 1) + "\n", text): 0} if "\\" in text else {text: 0}
+    for view in views:
+        found += _tokens(view)
+    framed = [s for view in views for s in _framed(view)]
+    framed += [s for view in views for s in _wrapped(view, depth) if not any(a <= s[1] and s[2] <= b for _, a, b, _ in framed)]
     found += framed
-    for pattern, decode in ((_BASE64, _unbase64), (_HEX_ANY, lambda s: bytes.fromhex(s) if len(s) % 2 == 0 else None)):
-        for m in pattern.finditer(text):
-            inner = _encoded(decode(m[0]))
-            if inner and not any(a <= m.start() and m.end() <= b for _, a, b, _ in framed):
-                found.append((inner[0], m.start(), m.end(), inner[1]))
+    for view in views:
+        for pattern, decode in ((_BASE64, _unbase64), (_HEX_ANY, lambda s: bytes.fromhex(s) if len(s) % 2 == 0 else None)):
+            for m in pattern.finditer(view):
+                inner = _encoded(decode(m[0]), depth)
+                if inner and not any(a <= m.start() and m.end() <= b for _, a, b, _ in framed):
+                    found.append((inner[0], m.start(), m.end(), inner[1]))
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

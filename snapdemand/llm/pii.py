@@ -17,7 +17,7 @@ from .boosting import Trees, fit
 from .spans import cut_out
 from .tables import fresh, written
 
-#: share of selected candidates that must pass their check, at the threshold of their kind
+#: share of output that must be right, at the threshold of its kind
 PRECISION = 0.8
 #: characters before a candidate that are its context
 CONTEXT = 24
@@ -54,13 +54,17 @@ def _iban(value: Column) -> Column:
 
 @dataclass(frozen=True)
 class Kind:
-    """A generator: ``may`` is a cheap test that holds for every text with a match, ``check`` decides on a match."""
+    """A generator: ``may`` is a cheap test that holds for every text with a match, ``check`` decides on a match.
+
+    ``chance`` is the share of other matches that pass the check; 1 where it says little more than the pattern.
+    """
 
     name: str
     pattern: str
     may: Callable[[Column], Column]
     check: Callable[[Column], Column]
     base: bool = False
+    chance: float = 1.0
 
 
 def _numeric(text: Column) -> Column:
@@ -81,10 +85,10 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: t.rlike(r"\+[0-9]"),
          lambda v: F.length(_digits(v)).between(9, 15), True),
     # proposals of the method: they may overlap each other and those above
-    Kind("number", r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])", _numeric, _luhn),
+    Kind("number", r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])", _numeric, _luhn, chance=1 / 10),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _numeric,
          lambda v: ~v.rlike("^(?:000|666|9)") & ~v.rlike("-00-") & ~v.rlike("0000$")),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _numeric, _iban),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _numeric, _iban, chance=1 / 97),
     Kind("local", r"(?<![0-9+(.-])\(?[2-9][0-9]{2}\)?[\x20.-][2-9][0-9]{2}[\x20.-][0-9]{4}(?![0-9-])", _numeric,
          lambda v: F.length(_digits(v)) == 10),
 ]
@@ -169,9 +173,13 @@ def train(candidates: DataFrame, name: str, precision: float = PRECISION) -> Mod
     """Fitted on whether candidates pass their checks, which the features do not tell; counted over all documents.
 
     Feature vectors are counted in Spark, apart for two halves of the documents, told apart by a hash of document and
-    place. One half fits the trees, the other calibrates: a kind's threshold is the lowest at which, of all
-    candidates of either of its scores or more, the wanted share passes. Kinds without any candidate there take the lowest
-    threshold that holds over all kinds.
+    place. One half fits the trees, the other calibrates.
+
+    Only candidates that pass their check are output. Where one that is as likely right as wrong beforehand reaches the
+    wanted share by passing (check digits: 1 / (1 + chance)), the threshold is 0: look-alikes elsewhere that fail say
+    nothing against it. Where the check says little, look-alikes that fail tell what those that pass are: the threshold is
+    the lowest at which, of all candidates of that score or more, the wanted share passes. Such kinds without any
+    candidate there take the lowest threshold that holds over all of them.
     """
     each = candidates.select("doc_id", F.explode(name).alias("c"))
     half = F.pmod(F.xxhash64("doc_id", "c.start"), F.lit(2)).alias("half")
@@ -190,8 +198,11 @@ def train(candidates: DataFrame, name: str, precision: float = PRECISION) -> Mod
                 return float(t)
         return 2.0
 
-    general = lowest(~own) if (~own).any() else 0.5
-    return Model(trees, [lowest(mine) if (mine := ~own & (x[:, 0] == k)).any() else general for k in range(len(KINDS))])
+    exact = np.array([1 / (1 + k.chance) >= precision for k in KINDS])
+    weak = ~own & ~exact[x[:, 0].astype(int)]
+    general = lowest(weak) if weak.any() else 0.5
+    return Model(trees, [0.0 if exact[k] else lowest(mine) if (mine := weak & (x[:, 0] == k)).any() else general
+                         for k in range(len(KINDS))])
 
 
 def _score(trees: Trees, c: Column) -> Column:
@@ -210,7 +221,8 @@ def _score(trees: Trees, c: Column) -> Column:
 def selected(candidates: str | Column, model: Model) -> Column:
     """``array<struct<kind,start,end,score>>``: base candidates that pass, and others that pass and score enough.
 
-    Of added spans that overlap one another the best score stays, then the first; one that overlaps a base span goes.
+    Of added spans that overlap one another the one whose check is passed by chance least often stays, then the best score,
+    then the first; one that overlaps a base span goes.
     Sorted by kind, as listed, then start.
     """
     c = F.col(candidates) if isinstance(candidates, str) else candidates
@@ -226,9 +238,15 @@ def selected(candidates: str | Column, model: Model) -> Column:
         return (x["rank"] < len(BASE)) | (x["score"] >= wanted)
 
     good = F.filter(scored, enough)
-    # place by place, best first: base spans, then added ones by score
+    def chance(x: Column) -> Column:
+        value = F.lit(-1.0)
+        for k, kind in enumerate(KINDS):
+            value = value if kind.base else F.when(x["rank"] == k, F.lit(float(kind.chance))).otherwise(value)
+        return value
+
+    # place by place, best first: base spans, then added ones by check and score
     ranked = F.array_sort(F.transform(good, lambda x: F.struct(
-        F.when(x["rank"] < len(BASE), -1.0).otherwise(1 - x["score"]).alias("order"), x["start"].alias("start"), x["rank"].alias("rank"),
+        chance(x).alias("chance"), F.when(x["rank"] < len(BASE), -1.0).otherwise(1 - x["score"]).alias("order"), x["start"].alias("start"), x["rank"].alias("rank"),
         x["end"].alias("end"), x["kind"].alias("kind"), x["score"].alias("score"))))
     kept = F.aggregate(
         ranked, F.filter(ranked, lambda x: F.lit(False)),

@@ -72,6 +72,28 @@ def test_selected_proposals(spark):
     assert got[1000] == [("iban", 4, 31)] and got[1005] == [("ssn", 15, 26)]
 
 
+def test_failing_look_alikes_elsewhere_take_nothing_away(spark):
+    rng, rows = random.Random(3), []
+    for i in range(3000):
+        good = iban(rng)
+        rows.append((i, f"pay {good[:2]}{(int(good[2:4]) + 1) % 100:02d}{good[4:]} now"))
+        cards = []
+        while len(cards) < 2:
+            card = "".join(rng.choices("0123456789", k=16))
+            cards += [card] * (not luhn(card))
+        pair = " ".join(cards)
+        rows.append((10_000 + i, f"has {pair} now"))
+    rows += [(5000, "pay DE89 3704 0044 0532 0130 00 now"), (5001, "has 4111111111111111 5500005555555559 now")]
+    good = iban(rng)
+    while not luhn(good[5:24].replace(" ", "")):  # a number of its own inside
+        good = iban(rng)
+    rows.append((5002, f"pay {good} now"))
+    got = added(spark, rows)
+    assert got.pop(5002) == [("iban", 4, 31)]
+    assert got.pop(5000) == [("iban", 4, 31)] and got.pop(5001) == [("number", 4, 20), ("number", 21, 37)]
+    assert not any(kind == ("iban" if i < 5000 else "number") for i, spans in got.items() for kind, _, _ in spans)
+
+
 def test_redaction(spark):
     rows = [(1, "é😀 mail a@b.cd, or +49 151 12345678!", 3), (2, None, 4), (3, "clean", 5)]
     out = pii.redacted(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()

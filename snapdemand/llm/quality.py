@@ -105,11 +105,15 @@ def counted(docs: DataFrame) -> DataFrame:
 def train(counts: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Trees for ``labels(doc_id, quality)``, fitted on at most ``rows`` labelled documents, those of the smallest hash.
 
-    Null ids and labels, and labels of unknown documents, are passed over. Without labels of both kinds the score is constant.
+    Null ids and labels, and labels of unknown documents, are passed over. An id counts once, however often it is labelled and
+    documented: with the lower label and the least of its rows of counts. Without labels of both kinds the score is constant.
     """
-    known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    known = (labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     known = of_small_hash(known, "doc_id", rows)
-    sample = counts.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *COUNTS, "quality").limit(rows).collect()
+    once = counts.join(known, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct(*COUNTS, *MORE)).alias("counts"), F.min("quality").alias("quality"))
+    sample = once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("counts.*", "quality").collect()
     s = {n: np.array([r[n] for r in sample], np.int64) for n in COUNTS + MORE}
     return fit(features(s), np.array([r["quality"] for r in sample], float), MONOTONIC)
 

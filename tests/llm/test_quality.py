@@ -84,3 +84,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert quality.kept(odd_docs, labels).columns == odd_docs.columns
     assert quality.rated(no_docs, labels).count() == 0 == quality.kept(no_docs, labels).count()
     assert quality.rated(odd_docs, labels.limit(0)).count() == len(rows)
+
+
+def test_a_repeated_id_is_fitted_on_once(spark, monkeypatch):
+    docs, labels = sample(spark)
+    docs, labels = docs.where("doc_id < 60"), labels.where("doc_id < 60")
+    more = spark.range(8).crossJoin(labels).select("doc_id", "quality")
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, monotonic: taken.append((len(x), len(np.unique(x, axis=0)), y.sum())))
+    quality.train(quality.counted(docs.union(docs).union(docs)), more.union(labels), rows=40)
+    quality.train(quality.counted(docs), labels, rows=40)
+    assert taken[0] == taken[1] and taken[0][:2] == (40, 40)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, pii, quality, secrets, simhash, substring, toxicity, training_order
+from . import (
+    chat, decontaminate, lexical, minhash, packing, pii, prefix_trie, quality, secrets, simhash, substring, toxicity, training_order,
+)
 from .spans import listed
 from .tables import table
 
@@ -120,3 +122,89 @@ ORDER_KEY = 20_240_601
 @_query
 def op2_training_order(spark: SparkSession, folder: str) -> DataFrame:
     return training_order.digests(training_order.materialise(table(spark, folder, "documents"), ORDER_KEY))
+
+
+@_query
+def op11_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query
+def op12_ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(lexical.index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
+SQL["op12_ranked_lexical_search"] = r"""
+WITH said AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), lengths AS (SELECT doc_id, count(*) AS n FROM said GROUP BY doc_id
+), whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths
+), asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY item_id, term
+), found AS (
+    SELECT doc_id, term, count(*) AS tf FROM said WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM found GROUP BY term), whole
+), impacts AS (
+    SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)) AS impact
+    FROM found JOIN lengths USING (doc_id), whole
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(times * w * impact) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@_query
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+SQL["op13_conversation_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said, length(coalesce(text, '')) AS chars
+    FROM conversations WHERE conv_id IS NOT NULL
+), bits(c, v) AS (  -- CRC-32 by the table of single bytes
+    SELECT i, i FROM range(256) t(i)
+), shifted AS (
+    SELECT c, list_reduce(list_prepend(v::BIGINT, range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS v FROM bits
+), crc AS (SELECT list(v ORDER BY c) AS steps FROM shifted
+), convs AS (
+    SELECT conv_id, n, conv_id - conv_id % 100 AS base,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+            lambda x, d: xor(x // 256, steps[xor(x % 256, d) + 1])), 4294967295) % 6 AS h
+    FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id), crc
+), planned AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS p FROM convs c LEFT JOIN convs b ON c.base = b.conv_id
+), built AS (
+    SELECT c.conv_id, k AS d, said, chars FROM planned c JOIN turns t ON t.conv_id = c.base AND k <= p
+    UNION ALL SELECT c.conv_id, p + k - h, said, chars FROM planned c JOIN turns t ON t.conv_id = c.conv_id AND k > h
+), paths AS (
+    SELECT conv_id, d, chars, string_agg(said, '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM built
+    UNION ALL SELECT conv_id, 0, 0, '' FROM planned
+), lasts AS (SELECT conv_id, max(d) AS d FROM paths GROUP BY conv_id
+), ended AS (
+    SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM paths JOIN lasts USING (conv_id, d) GROUP BY path
+), nodes AS (
+    SELECT path, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+        left(path, length(path) - 64) AS above FROM paths GROUP BY path
+), kids AS (SELECT above AS path, count(*) AS k FROM nodes WHERE d > 0 GROUP BY above
+), whole AS (
+    SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids USING (path)
+), summed AS (  -- every node counts for all nodes on the way of its smallest member
+    SELECT p.path, sum((w.k = 0)::INTEGER) AS leaves, sum((w.n - 1) * w.chars) AS saved
+    FROM whole w JOIN paths p ON p.conv_id = w.conv_id AND p.d <= w.d GROUP BY p.path
+)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, CASE WHEN w.d > 0 THEN up.conv_id END AS parent_conv_id, w.n AS n_convs,
+    w.k AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM whole w JOIN summed USING (path) LEFT JOIN nodes up ON up.path = w.above LEFT JOIN ended USING (path)
+"""

@@ -7,7 +7,10 @@ import pytest
 import __spark_entry__ as entry
 from snapdemand.llm import queries
 
-from . import test_chat, test_decontaminate, test_packing, test_pii, test_quality, test_secrets, test_simhash, test_substring
+from . import (
+    test_chat, test_decontaminate, test_lexical, test_minhash, test_packing, test_pii, test_prefix_trie, test_quality, test_secrets,
+    test_simhash, test_substring,
+)
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -21,9 +24,9 @@ def run(spark, name):
     return queries.QUERIES[name](spark, FOLDER)
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
     assert set(queries.SQL) <= set(entry.oracle_sql())
 
 
@@ -90,3 +93,21 @@ def test_op10(spark, docs):
         want = test_pii.brute(text)
         assert got[i].base_sha256 == test_chat.digest(want)
         assert got[i].n_email + got[i].n_ip + got[i].n_card + got[i].n_phone == len([w for w in want.split(",") if w])
+
+
+def test_op11(spark, docs):
+    got = run(spark, "op11_minhash_near_dedup").select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted(test_minhash.brute(docs))
+
+
+def test_op12(spark, docs):
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    got = run(spark, "op12_ranked_lexical_search").select("item_id", "rank", "doc_id", "score").collect()
+    assert sorted(map(tuple, got), key=repr) == test_lexical.brute(docs, items)
+
+
+def test_op13(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = run(spark, "op13_conversation_prefix_trie").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == test_prefix_trie.brute(rows)

@@ -21,6 +21,7 @@ from snapdemand.plans.warehouse import posting_skills
 from snapdemand.catalog.views import PART_DICTIONARY
 from snapdemand.quality.checks import check_latest_has_rows
 from snapdemand.session import scratch_dir
+from snapdemand.sinks import write_table
 from snapdemand.sources.files import constants, read_dictionary
 
 
@@ -173,11 +174,18 @@ WHERE collected_date >= DATE '1995-03-01'""")
 def jn12(t):
     cleaned = stg(t)
     border = F.lit("1995-03-01").cast("date")
-    known = known_keys(cleaned.where(F.col("collected_date") < border), ["source_system", "posting_id"],
-                       "description_clean").withColumn("known", F.lit(True))
+    keys = ["source_system", "posting_id"]
+    described = described_index(t, cleaned)
+    known = known_keys(described.where(F.col("collected_date") < border), keys)
     later = cleaned.where(F.col("collected_date") >= border)
-    return later.join(known, ["source_system", "posting_id"], "left").select(
-        "source_system", "posting_id", "collected_date", F.coalesce("known", F.lit(False)).alias("known"))
+    return later.join(known, keys, "left").select(
+        *keys, "collected_date", F.coalesce("_known", F.lit(False)).alias("known"))
+
+
+def described_index(t, cleaned):
+    """The index of described keys by day, written once: what joins with it reads keys only."""
+    described = cleaned.where("description_clean is not null").select("source_system", "posting_id", "collected_date")
+    return write_table(described, scratch_dir(t.spark, "described"))
 
 
 @query("JN13_without_parent", """

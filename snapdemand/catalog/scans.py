@@ -12,10 +12,12 @@ from snapdemand.operators import rank
 from snapdemand.operators.snapshots import status
 from snapdemand.session import scratch_dir
 from snapdemand import model
+from snapdemand.sinks import read_described, write_days
 from snapdemand.sources.config import config_to_dimension
 from snapdemand.sources.files import (
     constants, earlier_days, load_entries, read_dictionary, read_glob, read_run_summaries, read_snapshots,
 )
+from snapdemand.store import Store
 
 RAW_E = OBS_E + """,
 raw_e AS (
@@ -70,12 +72,20 @@ def src3(t):
     return read_dictionary(t.spark, path)
 
 
+def published_days(t: Tables) -> Store:
+    """All snapshot days of ``raw_e``, published with their index of described keys."""
+    store = Store(t.spark, scratch_dir(t.spark, "days"))
+    write_days(store, raw_e(t))
+    return store
+
+
 @query("SRC4_earlier_days", f"""
 WITH {RAW_E} SELECT DISTINCT source_system, posting_id FROM raw_e
 WHERE description IS NOT NULL AND date < DATE '2024-01-15'""")
 def src4(t):
-    earlier = earlier_days(read_snapshots(t.spark, written_days(t)), F.lit("2024-01-15").cast("date"))
-    return earlier.where("description is not null").select("source_system", "posting_id").distinct()
+    """By the index beside each day: no text of an earlier day is read."""
+    earlier = earlier_days(read_described(published_days(t)), F.lit("2024-01-15").cast("date"))
+    return earlier.select("source_system", "posting_id").distinct()
 
 
 def event_summaries(t: Tables) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from snapdemand import model, sinks
 from snapdemand.catalog.base import Tables, query
+from snapdemand.catalog.joins import described_index
 from snapdemand.catalog.payloads import obj, payload, text
 from snapdemand.catalog.products import facts, weekly
-from snapdemand.catalog.scans import RAW_E, SUMMARIES, event_summaries, raw_e, written_days
+from snapdemand.catalog.scans import RAW_E, SUMMARIES, event_summaries, published_days, raw_e
 from snapdemand.catalog.views import (
     DIMENSION, FACTS, OBS_E, PART_DICTIONARY, RULES, STG, WEEKLY, dimension, obs_e, raw_l, stg,
 )
@@ -21,18 +22,18 @@ from snapdemand.plans.ingest import ingest_day
 from snapdemand.plans.report import report_document
 from snapdemand.plans.warehouse import build
 from snapdemand.session import scratch_dir
-from snapdemand.sources.files import read_run_summaries, read_snapshots
+from snapdemand.store import Store
 
 
 @query("SNK1_overwrite_day", f"""
 WITH {RAW_E} SELECT date, source_system, posting_id, url FROM raw_e
 WHERE date <> DATE '2024-01-10' AND (date <> DATE '2024-01-20' OR source_system = 'click')""")
 def snk1(t):
-    root = written_days(t)
+    store = published_days(t)
     rows = raw_e(t).drop("date")
-    sinks.write_day(rows.where("false"), root, "2024-01-10")
-    sinks.write_day(rows.where("collected_at = '2024-01-20' and source_system = 'click'"), root, "2024-01-20")
-    return read_snapshots(t.spark, root).select("date", "source_system", "posting_id", "url")
+    sinks.write_day(store, "2024-01-10", rows.where("false"))
+    sinks.write_day(store, "2024-01-20", rows.where("collected_at = '2024-01-20' and source_system = 'click'"))
+    return sinks.read_days(store).select("date", "source_system", "posting_id", "url")
 
 
 @query("SNK2_store_once", f"""
@@ -49,19 +50,22 @@ WHERE s.collected_date >= DATE '1995-02-01'""")
 def snk2(t):
     rows = stg(t).select("source_system", "posting_id", "collected_date", F.col("description_clean").alias("description"))
     border = F.lit("1995-02-01").cast("date")
-    today, earlier = rows.where(F.col("collected_date") >= border), rows.where(F.col("collected_date") < border)
-    return store_once(today, earlier, ["source_system", "posting_id"], "description",
+    described = described_index(t, stg(t)).where(F.col("collected_date") < border)
+    return store_once(rows.where(F.col("collected_date") >= border), described, ["source_system", "posting_id"], "description",
                       F.concat(F.lit("detail of "), "posting_id"))
 
 
 @query("SNK3_run_summary", f"""
 WITH {SUMMARIES} SELECT kind AS key, status, n AS rows FROM summaries WHERE day = (SELECT max(day) FROM summaries)""")
 def snk3(t):
-    root = scratch_dir(t.spark, "summary")
-    summaries = event_summaries(t)
-    latest = summaries.where(F.col("date") == summaries.agg(F.max("date")).scalar())
-    sinks.write_summary(latest, root, "latest")
-    return source_statuses(read_run_summaries(t.spark, root)).select("key", "status", "rows")
+    """A day is published with its summary, then again with a new one: both switch together."""
+    store = Store(t.spark, scratch_dir(t.spark, "summary"))
+    summaries, rows = event_summaries(t), raw_e(t)
+    day = rows.agg(F.max("collected_at")).first()[0]
+    today, latest = rows.where(F.col("collected_at") == day).drop("date"), summaries.where(F.col("date") == day)
+    sinks.write_day(store, day, today.where("false"), latest.withColumn("rows", F.lit(0).cast("bigint")))
+    sinks.write_day(store, day, today, latest)
+    return source_statuses(sinks.read_summaries(store)).select("key", "status", "rows")
 
 
 @query("SNK4_warehouse_tables", f"""
@@ -70,7 +74,7 @@ SELECT 'fct_postings' AS model, company_key AS key, count(*) AS n FROM facts GRO
 UNION ALL SELECT 'fct_posting_skills', skill, count(*) FROM bridge GROUP BY 2
 UNION ALL SELECT 'mart_skill_demand_weekly', role_scope, CAST(sum(open_postings) AS BIGINT) FROM weekly GROUP BY 2""")
 def snk4(t):
-    models = build(raw_l(t), PART_DICTIONARY, RULES, dimension(t), scratch_dir(t.spark, "warehouse"))
+    models = build(raw_l(t), PART_DICTIONARY, RULES, dimension(t), sinks.into(scratch_dir(t.spark, "warehouse")))
 
     def counts(df: DataFrame, name: str, key: str, n) -> DataFrame:
         return df.groupBy(F.col(key).alias("key")).agg(n.alias("n")).select(F.lit(name).alias("model"), "key", "n")
@@ -169,9 +173,9 @@ def landed_details(t: Tables) -> DataFrame:
     return views.unionByName(signups)
 
 
-def ingest_events(t: Tables) -> tuple[DataFrame, str]:
-    """Runs the ingest of ``DAY`` on top of earlier days; the summary and the snapshot folder."""
-    raw_root, summary_root = scratch_dir(t.spark, "raw"), scratch_dir(t.spark, "runs")
+def ingest_events(t: Tables) -> tuple[DataFrame, Store]:
+    """Runs the ingest of ``DAY`` on top of earlier days; the summary and the published days."""
+    store = Store(t.spark, scratch_dir(t.spark, "raw"))
     earlier = obs_e(t).where("role_family in ('click', 'view', 'signup')").select(
         F.create_map(*[F.lit(x) for p in SYSTEM.items() for x in p])[F.col("role_family")].alias("source_system"),
         F.col("role_family").alias("company_key"),
@@ -181,13 +185,11 @@ def ingest_events(t: Tables) -> tuple[DataFrame, str]:
         text("t").alias("title"), text("Giza").alias("location"), text("").alias("posted_raw"), text("u").alias("url"),
         F.when(F.col("value") > 60, "known").alias("description"), F.col("day").cast("string").alias("collected_at"),
         F.col("day").alias("date"))
-    earlier.write.partitionBy("date").parquet(raw_root)
+    sinks.write_days(store, earlier)
     companies = t.spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("company_key"), F.lit(i).alias("source_order")) for i, k in enumerate((*SYSTEM, "idle"))
     ])).alias("c")).select("c.*")
-    summary = ingest_day(landed(t), companies, read_snapshots(t.spark, raw_root), DAY, raw_root, summary_root,
-                         landed_details(t))
-    return summary, raw_root
+    return ingest_day(landed(t), companies, store, DAY, landed_details(t)), store
 
 
 INGESTED = OBS_E + """,
@@ -215,8 +217,8 @@ SELECT company_key, CASE company_key WHEN 'click' THEN 'b:' WHEN 'view' THEN 'w:
        || user_id AS posting_id, 'Giza ' || user_id AS title,
        description FROM day_rows""")
 def mod12(t):
-    _, root = ingest_events(t)
-    day = read_snapshots(t.spark, root).where(F.col("date") == F.lit(DAY).cast("date"))
+    _, store = ingest_events(t)
+    day = sinks.read_days(store).where(F.col("date") == F.lit(DAY).cast("date"))
     return day.select("company_key", "posting_id", "title", "description")
 
 

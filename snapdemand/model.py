@@ -14,6 +14,8 @@ POSTING_FIELDS = (
 POSTING_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in POSTING_FIELDS])
 SNAPSHOT_SCHEMA = T.StructType(POSTING_SCHEMA.fields + [T.StructField("date", T.DateType())])
 
+DESCRIBED_SCHEMA = "source_system string, posting_id string, date date"
+
 DICTIONARY_SCHEMA = "skill string, category string, pattern string"
 RULES_SCHEMA = "field string, priority int, pattern string, value string"
 DIMENSION_SCHEMA = "company_key string, name string, industry string, source_system string"

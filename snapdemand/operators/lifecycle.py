@@ -46,14 +46,15 @@ def entity_state(
     kept: Sequence[str] = (),
     tie: Sequence[str] = (),
     sets: dict[str, Column] | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Everything the models need to know of an entity, in one aggregation.
 
     ``attrs`` come from the latest row, ``earliest`` are minima over all rows, ``kept`` are latest non-null values,
     which may stem from another row than ``attrs``. ``sets`` are distinct values such as the weeks or days an entity
-    was seen on; use them only for values bounded by the calendar.
+    was seen on; use them only for values bounded by the calendar. ``rows`` names a column for the number of rows.
     """
-    sets = sets or {}
+    sets, counted = sets or {}, [] if rows is None else [F.count("*").alias(rows)]
     order = _order(day, tie)
     return (
         df.groupBy(*keys)
@@ -64,8 +65,9 @@ def entity_state(
             F.min(day).alias("first_seen"),
             F.max(day).alias("last_seen"),
             *[F.collect_set(c).alias(name) for name, c in sets.items()],
+            *counted,
         )
-        .select(*keys, "_row.*", *earliest, *kept, "first_seen", "last_seen", *sets)
+        .select(*keys, "_row.*", *earliest, *kept, "first_seen", "last_seen", *sets, *([rows] if rows else []))
     )
 
 

@@ -27,19 +27,21 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
-def known_keys(earlier: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Keys whose value was stored before; ``earlier`` must hold earlier days only."""
-    return earlier.where(F.col(value).isNotNull()).select(*keys).distinct()
+def known_keys(described: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of an index of described keys, each once, marked ``_known``; ``described`` must hold earlier days only."""
+    return described.select(*keys).distinct().withColumn("_known", F.lit(True))
 
 
 def store_once(
-    today: DataFrame, earlier: DataFrame, keys: Sequence[str], value: str, otherwise: Column | None = None
+    today: DataFrame, described: DataFrame, keys: Sequence[str], value: str, otherwise: Column | None = None
 ) -> DataFrame:
-    """Empties ``value`` where an earlier day has stored it; else keeps it, or takes ``otherwise`` when null."""
-    known = known_keys(earlier, keys, value).withColumn("_known", F.lit(True))
+    """Empties ``value`` where an earlier day has stored it; else keeps it, or takes ``otherwise`` when null.
+
+    ``described`` is the index of keys whose value earlier days hold, so the values themselves are not read.
+    """
     kept = F.col(value) if otherwise is None else F.coalesce(F.col(value), otherwise)
     return (
-        today.join(known, list(keys), "left")
+        today.join(known_keys(described, keys), list(keys), "left")
         .withColumn(value, F.when(F.col("_known").isNull(), kept))
         .select(*today.columns)
     )

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from snapdemand import model
 from snapdemand.operators.snapshots import dedupe_first, known_keys, status
 from snapdemand.session import scratch_dir
-from snapdemand.sinks import write_day, write_summary, write_table
-from snapdemand.sources.files import earlier_days
+from snapdemand.sinks import read_described, read_summaries, write_day, write_table
 from snapdemand.sources.payloads import (
     ORDER, SPECS, PayloadSpec, attach_details, description, listed_postings, parse_payloads, site_totals,
 )
+from snapdemand.store import Store
 
 KEYS = ("source_system", "posting_id")
 
@@ -37,20 +37,23 @@ def collect_postings(parsed: DataFrame, statuses: DataFrame) -> DataFrame:
 
 
 def with_descriptions(
-    today: DataFrame, earlier: DataFrame, details: DataFrame | None, specs: Mapping[str, PayloadSpec] = SPECS
+    today: DataFrame, described: DataFrame, details: DataFrame | None, specs: Mapping[str, PayloadSpec] = SPECS
 ) -> DataFrame:
     """Descriptions are stored on the first day they are known, and never again; missing ones come from details.
 
     The markup of a known posting is not even looked at. Adds ``describe_error``: the posting still wants a description
-    and its detail response was of no use. ``today`` is laid out by key already, so the join shuffles the known only.
+    and its detail response was of no use. ``described`` is the index of keys that earlier days describe; no text of
+    theirs is read. The condition on the system lets Spark thin the index by a Bloom filter of today's keys, once it
+    is large. ``today`` is laid out by key already, so the join shuffles the index only.
     """
-    known = known_keys(earlier, KEYS, "description").withColumn("_known", F.lit(True))
     unknown = F.col("_known").isNull()
-    described = today.join(known, list(KEYS), "left").withColumn("description", F.when(unknown, description(specs)))
+    listed = today.where(F.col("source_system").isin(*specs))
+    marked = listed.join(known_keys(described, KEYS), list(KEYS), "left").withColumn(
+        "description", F.when(unknown, description(specs)))
     if details is None:
-        filled = described.withColumn("detail_failed", F.lit(False))
+        filled = marked.withColumn("detail_failed", F.lit(False))
     else:
-        filled = attach_details(described, details, specs, unknown)
+        filled = attach_details(marked, details, specs, unknown)
     return filled.select(*model.POSTING_FIELDS, F.col("detail_failed").alias("describe_error"))
 
 
@@ -86,23 +89,21 @@ def summarise_run(
 
 
 def ingest_day(
-    payloads: DataFrame, companies: DataFrame, snapshots: DataFrame | None, day: str, raw_root: str,
-    summary_root: str, details: DataFrame | None = None, specs: Mapping[str, PayloadSpec] = SPECS,
+    payloads: DataFrame, companies: DataFrame, store: Store, day: str, details: DataFrame | None = None,
+    specs: Mapping[str, PayloadSpec] = SPECS,
 ) -> DataFrame:
-    """Writes the day's partition and summary and returns the summary.
+    """Publishes the day's postings and summary in one step and returns the summary.
 
-    ``snapshots`` are the days written so far; the day itself and later ones are not looked at, so a rerun gives the
-    same result. The day is staged in a written table once: partition and summary both read that.
+    Of the days published so far, only the index of described keys is read, and of it only earlier days, so a rerun gives
+    the same result. The day is staged in a written table once: postings and summary both read that.
     """
     spark = payloads.sparkSession
     started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
     parsed = write_table(parse_payloads(payloads, specs), scratch_dir(spark, "parsed"))
     statuses = write_table(company_status(parsed), scratch_dir(spark, "status"))
-    today = collect_postings(parsed, statuses)
-    earlier = spark.createDataFrame([], model.SNAPSHOT_SCHEMA) if snapshots is None else earlier_days(
-        snapshots, F.lit(day).cast("date"))
-    staged = write_table(with_descriptions(today, earlier, details, specs), scratch_dir(spark, "day"))
-    write_day(staged.drop("describe_error"), raw_root, day)
+    described = read_described(store).where(F.col("date") < F.lit(day).cast("date"))
+    filled = with_descriptions(collect_postings(parsed, statuses), described, details, specs)
+    staged = write_table(filled, scratch_dir(spark, "day"))
     summary = summarise_run(staged, statuses, companies, day, started, round(time.monotonic() - clock, 2))
-    path = write_summary(summary, summary_root, day)
-    return spark.read.schema(model.RUN_SUMMARY_SCHEMA).json(path)
+    write_day(store, day, staged.drop("describe_error"), summary)
+    return read_summaries(store).where(F.col("date") == day)

@@ -23,7 +23,10 @@ from snapdemand.operators.classify import classify
 from snapdemand.operators.demand import Scopes, daily_cells, scoped_demand
 from snapdemand.operators.lifecycle import entity_state, latest_day, latest_row, lifecycle, with_openness
 from snapdemand.operators.tagging import explode_tags, tag, with_tags
-from snapdemand.sinks import write_table
+from snapdemand.quality.audit import FAILURES, Audit, expectations
+from snapdemand.sinks import Writer
+from snapdemand.sources.files import load_entries, load_rules
+from snapdemand.store import WHOLE, Store
 
 KEY, DAY = "posting_key", "collected_date"
 ATTRS = ("company_key", "title", "city", "url")
@@ -93,7 +96,7 @@ def entities(
     """One row per entity with everything the facts and marts need, in one pass over the snapshots."""
     state = entity_state(
         stg, [KEY], DAY, ATTRS, earliest=["posted_date"], kept=["description_clean"], tie=["url"],
-        sets={"_weeks": week_start(F.col(DAY)), "_days": F.col(DAY)})
+        sets={"_weeks": week_start(F.col(DAY)), "_days": F.col(DAY)}, rows="_rows")
     text = searchable(F.col("title"), F.col("description_clean"))
     return with_tags(classify(state, "title", rules, defaults).withColumn("_text", text), "_text", dictionary).drop(
         "_text", "description_clean")
@@ -101,7 +104,7 @@ def entities(
 
 def facts_of(table: DataFrame) -> DataFrame:
     """The posting facts out of a written entity table; its own last day is the last day of the snapshots."""
-    return with_openness(table.drop("_weeks", "_days", "tags"), latest_day(table, "last_seen")).select(*FACT_COLUMNS)
+    return with_openness(table.drop("_weeks", "_days", "_rows", "tags"), latest_day(table, "last_seen")).select(*FACT_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -115,21 +118,46 @@ class Models:
 
 
 def build(
-    raw: DataFrame, dictionary: Sequence[Entry], rules: Sequence[Rule], dimension: DataFrame, root: str,
+    raw: DataFrame, dictionary: Sequence[Entry], rules: Sequence[Rule], dimension: DataFrame, write: Writer,
     scopes: Scopes = model.SCOPES, places: dict[str, str] = model.PLACES,
-    defaults: dict[str, str] = model.RULE_DEFAULTS,
+    defaults: dict[str, str] = model.RULE_DEFAULTS, watch: Writer = lambda df, name: df,
 ) -> Models:
-    """Rebuilds every model below ``root`` and returns them; staging stays a view."""
+    """Rebuilds every model with ``write(rows, name)`` and returns them; staging stays a view.
+
+    ``watch(staging, name)`` may add metrics to the one pass over the snapshots.
+    """
     stg = staging(raw, places)
-    table = write_table(entities(stg, dictionary, rules, defaults), f"{root}/entities")
+    table = write(entities(watch(stg, "stg_postings"), dictionary, rules, defaults), "entities")
     return Models(
         stg_postings=stg,
-        dim_company=write_table(
-            dimension.select("company_key", "name", "industry", "source_system"), f"{root}/dim_company"),
-        fct_postings=write_table(facts_of(table), f"{root}/fct_postings"),
-        fct_posting_skills=write_table(explode_tags(table, [KEY, "company_key"]), f"{root}/fct_posting_skills"),
-        mart_skill_demand_weekly=write_table(scoped_demand(table, scopes), f"{root}/mart_skill_demand_weekly"),
-        mart_role_demand_daily=write_table(
-            daily_cells(table.select("role_family", "first_seen", "_days"), "role_family"),
-            f"{root}/mart_role_demand_daily"),
+        dim_company=write(dimension.select("company_key", "name", "industry", "source_system"), "dim_company"),
+        fct_postings=write(facts_of(table), "fct_postings"),
+        fct_posting_skills=write(explode_tags(table, [KEY, "company_key"]), "fct_posting_skills"),
+        mart_skill_demand_weekly=write(scoped_demand(table, scopes), "mart_skill_demand_weekly"),
+        mart_role_demand_daily=write(
+            daily_cells(table.select("role_family", "first_seen", "_days"), "role_family"), "mart_role_demand_daily"),
     )
+
+
+def publish(
+    raw: DataFrame, skills: DataFrame, rules: DataFrame, dimension: DataFrame, out: Store,
+    tag_cases: DataFrame | None = None, label_cases: DataFrame | None = None, **options,
+) -> DataFrame:
+    """Builds a new version of the warehouse in ``out``, checks it, and publishes it unless a check of severity error fails.
+
+    Returns the failures, (check, severity, key, detail), which are a table of the version too. What was published before
+    stays readable until the moment the new version is, and after a failure.
+    """
+    entries, ordered = load_entries(skills), load_rules(rules)
+    version = out.stage()
+    audit = Audit(expectations(entries, ordered, tag_cases, label_cases))
+    write = audit.writer(version.write)
+    write(skills, "skills")
+    write(rules, "title_rules")
+    build(raw, entries, ordered, dimension, write, watch=audit.watched, **options)
+    none = out.spark.createDataFrame([], FAILURES)
+    found = audit.failures()
+    failures = version.write(none if found is None else found, "failures")
+    if failures.where("severity = 'error'").isEmpty():
+        out.publish(version, {WHOLE: [t for t in audit.tables if t != "stg_postings"] + ["failures"]})
+    return failures

@@ -17,6 +17,7 @@ from snapdemand.quality import checks as qa
 from snapdemand.sources import files
 from snapdemand.sources.config import config_problems, config_to_dimension, read_config, site_configs
 from snapdemand.sources.payloads import PAYLOAD_SCHEMA, SPECS, normalise, parse_payloads, site_totals
+from snapdemand.store import Store
 
 CONFIG = {"host": "h.example.com", "tenant": "ten", "site": "careers", "board": "brd", "account": "acc",
           "company": "Cmp", "job_url": "https://o.example.com/job/"}
@@ -121,11 +122,9 @@ def board(*jobs):
 
 
 def run(spark, folder, day, *responses, details=None, keys=("a", "b", "idle")):
-    raw = f"{folder}/raw"
-    earlier = files.read_snapshots(spark, raw) if glob.glob(f"{raw}/date=*") else None
-    summary = ingest_day(landed(spark, *responses, day=day), companies(spark, *keys), earlier, day, raw,
-                         f"{folder}/runs", details).first()
-    written = {r.posting_id: r.description for r in files.read_snapshots(spark, raw).where(
+    store = Store(spark, f"{folder}/raw")
+    summary = ingest_day(landed(spark, *responses, day=day), companies(spark, *keys), store, day, details).first()
+    written = {r.posting_id: r.description for r in sinks.read_days(store).where(
         F.col("date") == F.lit(day).cast("date")).collect()}
     return summary, written
 
@@ -150,7 +149,8 @@ def test_description_is_stored_once(spark, tmp_path):
 
 def test_rerun_replaces_its_day_only_and_ignores_it(spark, tmp_path):
     run(spark, tmp_path, "2026-10-07", ("greenhouse", "a", 0, board((1, "old"))))
-    before = {f: open(f, "rb").read() for f in glob.glob(f"{tmp_path}/raw/date=2026-10-07/*.parquet")}
+    before = {f: open(f, "rb").read() for f in glob.glob(f"{tmp_path}/raw/postings/*/date=2026-10-07/*.parquet")}
+    assert before
     run(spark, tmp_path, "2026-10-08", ("greenhouse", "a", 0, board((2, "x"), (3, "y"))))
     _, again = run(spark, tmp_path, "2026-10-08", ("greenhouse", "a", 0, board((3, "y"))))
     assert again == {"brd:3": "y"}
@@ -174,14 +174,15 @@ def test_details_fill_missing_descriptions(spark, tmp_path):
 def test_an_empty_day_keeps_the_schema(spark, tmp_path):
     summary, written = run(spark, tmp_path, "2026-10-08", ("greenhouse", "a", 0, {"jobs": []}))
     assert written == {} and summary.rows == 0
-    stored = glob.glob(f"{tmp_path}/raw/date=2026-10-08/*.parquet")
+    stored = glob.glob(f"{tmp_path}/raw/postings/*/date=2026-10-08/*.parquet")
     assert pq.read_schema(stored[0]).names == list(model.POSTING_FIELDS)
-    assert qa.check_any_rows(files.read_run_summaries(spark, f"{tmp_path}/runs")).count() == 1
+    assert qa.check_any_rows(sinks.read_summaries(Store(spark, f"{tmp_path}/raw"))).count() == 1
 
 
 def test_day_files_are_zstd(spark, tmp_path):
-    sinks.write_day(spark.createDataFrame([("x",)], "a string").coalesce(1), str(tmp_path), "2026-10-08")
-    stored = glob.glob(f"{tmp_path}/date=2026-10-08/*.parquet")[0]
+    row = spark.createDataFrame([tuple("x" for _ in model.POSTING_FIELDS)], model.POSTING_SCHEMA)
+    sinks.write_day(Store(spark, str(tmp_path)), "2026-10-08", row.coalesce(1))
+    stored = glob.glob(f"{tmp_path}/postings/*/date=2026-10-08/*.parquet")[0]
     assert pq.ParquetFile(stored).metadata.row_group(0).column(0).compression == "ZSTD"
 
 
@@ -208,8 +209,8 @@ def test_dedupe_and_store_once(spark, rows):
     today = spark.createDataFrame([("s", "1", "b", 2), ("s", "1", "a", 1), ("t", "1", "c", 1), ("s", "2", None, 1)],
                                   "s string, id string, text string, n int")
     first = dedupe_first(today, ["s", "id"], ["n"])
-    earlier = spark.createDataFrame([("s", "1", None), ("t", "1", "known"), ("t", "1", "twice")], "s string, id string, text string")
-    assert rows(store_once(first, earlier, ["s", "id"], "text", F.lit("detail")), "s", "id", "text") == [
+    described = spark.createDataFrame([("t", "1", 1), ("t", "1", 2)], "s string, id string, day int")
+    assert rows(store_once(first, described, ["s", "id"], "text", F.lit("detail")), "s", "id", "text") == [
         ("s", "1", "a"), ("s", "2", "detail"), ("t", "1", None)]
 
 
@@ -236,7 +237,7 @@ def test_report_document(spark, tmp_path):
     from snapdemand.functions.regex import Entry, Rule
     dimension = spark.createDataFrame([("c", "Co", "x", "s"), ("d", "De", "x", "s")], model.DIMENSION_SCHEMA)
     models = build(raw, [Entry("Kafka", "data", r"\bkafka\b")], [Rule("role_family", 1, "data", "data_engineering")],
-                   dimension, str(tmp_path / "w"))
+                   dimension, sinks.into(str(tmp_path / "w")))
     summaries = spark.createDataFrame([
         ("2026-10-07", "t0", 1.0, 5, []),
         ("2026-10-08", "t1", 1.0, 1, [("c", "ok", 1, None, 0, False, None), ("d", "error", 0, "x", 0, False, None)])],

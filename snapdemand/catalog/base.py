@@ -16,6 +16,11 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
+    @property
+    def tasks(self) -> int:
+        """The session's number of shuffle partitions."""
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 

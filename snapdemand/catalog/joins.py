@@ -9,7 +9,7 @@ from snapdemand.catalog.base import query
 from snapdemand.catalog.products import facts
 from snapdemand.catalog.views import (
     BRIDGE_TAIL, DIMENSION, DOC_DICTIONARY, FACTS, LATEST, OBS_E, RULES, RULES_SQL, SCOPES_SQL, SKILLS, STG,
-    dictionary_sql, dimension, obs_e, stg,
+    benchmark_words, dictionary_sql, dimension, obs_e, stg,
 )
 from snapdemand.operators.classify import first_rule, matching_rules
 from snapdemand.operators.demand import dense_grid, expand_scopes
@@ -29,7 +29,8 @@ from snapdemand.sources.files import constants, read_dictionary
 WITH {dictionary_sql(DOC_DICTIONARY)}
 SELECT DISTINCT doc_id, skill, category FROM documents JOIN dictionary ON regexp_matches(text, pattern, 'i')""")
 def jn1(t):
-    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY)
+    """The given table is one row group or two, so its texts are dealt out before they are tested."""
+    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY, t.tasks)
 
 
 def dictionary_table(t):
@@ -55,9 +56,9 @@ said AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[0-9a-z
 SELECT skill, left(skill, 1) AS category, count(*) AS docs FROM said JOIN asked USING (skill) GROUP BY skill""")
 def jn1_large(t):
     """All words of the benchmark as a dictionary: thousands of entries."""
-    words = t.benchmark.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("skill"))
+    words = benchmark_words(t).withColumnRenamed("word", "skill")
     boundary = F.lit("\\b")
-    entries = words.distinct().select("skill", F.left("skill", F.lit(1)).alias("category"),
+    entries = words.select("skill", F.left("skill", F.lit(1)).alias("category"),
                                       F.concat(boundary, "skill", boundary).alias("pattern"))
     return tag_by_table(t.documents, ["doc_id"], "text", entries).groupBy("skill", "category").agg(F.count("*").alias("docs"))
 

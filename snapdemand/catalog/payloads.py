@@ -69,14 +69,14 @@ def brand() -> Column:
     return F.replace("p_brand", F.lit("#"), F.lit(""))
 
 
-def workday_payloads(t: Tables) -> DataFrame:
+def workday_payloads(t: Tables, total: Column | None = None) -> DataFrame:
     first = obj(title=F.col("p_name"), externalPath=F.concat(F.lit("/job/a_b/"), "p_type", F.lit("_R"), part_id()),
                 locationsText=place(), postedOn=F.concat(F.lit("Posted "), F.col("p_size").cast("string"), F.lit(" Days Ago")))
     second = obj(title=F.concat(F.lit("Alexandria "), "p_name"), externalPath=F.concat(F.lit("/job/S"), part_id()),
                  locationsText=text(), postedOn=text())
     return payload(t.part, "workday", F.col("p_brand"),
                    {"host": F.concat(brand(), F.lit(".example.com")), "tenant": brand(), "site": F.lit("Careers")},
-                   obj(total=F.col("p_size").cast("bigint"), jobPostings=F.array(first, second)))
+                   obj(total=(F.col("p_size") if total is None else total).cast("bigint"), jobPostings=F.array(first, second)))
 
 
 @query("NRM1_workday", final_sql("workday", f"""

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapdemand import model
 from snapdemand.catalog.base import Tables, query
 from snapdemand.catalog.views import (
-    BRIDGE, DAILY, DIMENSION, EVENT_SCOPES, EVENT_SCOPES_SQL, FACTS, LIFE, OBS_E, PART_DICTIONARY, ROLES, RULES, SKILLS,
-    STG, WEEKLY, dimension, last_day_l, obs_e, raw_l, stg,
+    BRIDGE, DAILY, DIMENSION, EVENT_SCOPES, EVENT_SCOPES_SQL, FACTS, LIFE, OBS_E, PART_DICTIONARY, ROLES, RULES, RULES_SQL,
+    SKILLS, STG, WEEKLY, benchmark_words, dimension, last_day_l, obs_e, raw_l, stg,
 )
 from snapdemand.operators import rank
 from snapdemand.operators.demand import daily_cells, daily_demand, scoped_demand, weekly_demand
+from snapdemand.operators.dictionary import classify_by_table
 from snapdemand.operators.lifecycle import lifecycle
 from snapdemand.operators.tagging import explode_tags
 from snapdemand.plans import warehouse as w
 from snapdemand.plans.skill_demand import skill_demand_weekly
 from snapdemand.session import scratch_dir
 from snapdemand.sinks import write_table
+from snapdemand.sources.files import constants
 
 
 def facts(t: Tables, cleaned: DataFrame | None = None) -> DataFrame:
@@ -67,6 +70,38 @@ def mod3(t):
     return w.posting_roles(stg(t), RULES)
 
 
+@query("MOD3_large_rules", """
+WITH rules AS (
+  SELECT word, CASE WHEN length(word) % 2 = 0 THEN 'role_family' ELSE 'seniority' END AS field, 20 - length(word) AS priority,
+         CASE WHEN length(word) > 6 THEN 'x-' || word ELSE word END AS value
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS word FROM benchmark)),
+said AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[0-9a-z_]+')) AS word FROM documents),
+won AS (SELECT doc_id, field, arg_min(value, (priority, value)) AS value FROM said JOIN rules USING (word) GROUP BY ALL)
+SELECT d.doc_id, coalesce(f.value, 'other') AS role_family, coalesce(s.value, 'mid') AS seniority FROM documents AS d
+LEFT JOIN won AS f ON f.doc_id = d.doc_id AND f.field = 'role_family' LEFT JOIN won AS s ON s.doc_id = d.doc_id AND s.field = 'seniority'""")
+def mod3_large(t):
+    """A rule for each word of the benchmark, thousands: the longest word wins, ties by value."""
+    word, size = F.col("word"), F.length("word")
+    rules = benchmark_words(t).select(
+        F.when(size % 2 == 0, "role_family").otherwise("seniority").alias("field"), (20 - size).alias("priority"),
+        F.concat(F.lit("\\b"), word, F.lit("\\b")).alias("pattern"),
+        F.when(size > 6, F.concat(F.lit("x-"), word)).otherwise(word).alias("value"))
+    return classify_by_table(t.documents, ["doc_id"], "text", rules)
+
+
+@query("MOD3_rules_table", f"""
+WITH {RULES_SQL},
+hits AS (SELECT p_partkey, field, arg_min(value, (priority, value)) AS value FROM part, rules
+         WHERE regexp_matches(p_name, pattern, 'i') GROUP BY ALL)
+SELECT p_partkey, coalesce(any_value(value) FILTER (field = 'role_family'), 'other') AS role_family,
+       coalesce(any_value(value) FILTER (field = 'seniority'), 'mid') AS seniority
+FROM part LEFT JOIN hits USING (p_partkey) GROUP BY p_partkey""")
+def mod3_table(t):
+    """The example rules as a table: patterns of every kind."""
+    rules = constants(t.spark, [(r.field, r.priority, r.pattern, r.value) for r in RULES], model.RULES_SCHEMA)
+    return classify_by_table(t.part, ["p_partkey"], "p_name", rules)
+
+
 @query("MOD4_skills", f"WITH {SKILLS} SELECT * FROM skills")
 def mod4(t):
     return w.posting_skills(stg(t), PART_DICTIONARY)

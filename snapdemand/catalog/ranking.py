@@ -13,6 +13,9 @@ from snapdemand.operators import rank
 from snapdemand.operators.classify import matching_rules
 from snapdemand.operators.demand import daily_demand
 from snapdemand.operators.lifecycle import latest_row, latest_value
+from snapdemand.session import scratch_dir
+from snapdemand.sinks import write_ordered
+from snapdemand.sources.files import with_position
 
 
 @query("WIN1_latest_row", f"WITH {LATEST} SELECT * FROM latest")
@@ -68,10 +71,14 @@ def top4(t):
 
 
 @query("TOP5_total_order", f"""
-WITH {WEEKLY} SELECT week_start, skill, open_postings FROM weekly WHERE role_scope = 'all' ORDER BY week_start, skill""")
+WITH {WEEKLY} SELECT week_start, skill, open_postings, row_number() OVER (ORDER BY open_postings DESC, week_start, skill) AS position
+FROM weekly WHERE role_scope = 'all'""")
 def top5(t):
-    return weekly(t).where("role_scope = 'all'").select("week_start", "skill", "open_postings").orderBy(
-        "week_start", "skill")
+    """The order is a column: each row's place in the files it was written to."""
+    path = scratch_dir(t.spark, "order")
+    rows = weekly(t).where("role_scope = 'all'").select("week_start", "skill", "open_postings")
+    write_ordered(rows, path, [F.desc("open_postings"), "week_start", "skill"])
+    return with_position(t.spark, path)
 
 
 @query("RSH1_aligned_series", f"""

@@ -153,7 +153,7 @@ def scl10(t):
 WITH {dictionary_sql(DOC_DICTIONARY)}
 SELECT skill, count(*) AS docs FROM documents JOIN dictionary ON regexp_matches(text, pattern, 'i') GROUP BY skill""")
 def scl11(t):
-    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY).groupBy("skill").agg(F.count("*").alias("docs"))
+    return tag(t.documents, ["doc_id"], "text", DOC_DICTIONARY, t.tasks).groupBy("skill").agg(F.count("*").alias("docs"))
 
 
 @query("SCL12_searchable", f"""

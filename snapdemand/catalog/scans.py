@@ -9,6 +9,7 @@ from snapdemand.catalog.base import Tables, query
 from snapdemand.catalog.payloads import supplier_config
 from snapdemand.catalog.views import OBS_E, SCOPES_SQL, obs_e, values
 from snapdemand.operators import rank
+from snapdemand.operators.demand import dense_grid
 from snapdemand.operators.snapshots import status
 from snapdemand.session import scratch_dir
 from snapdemand import model
@@ -89,10 +90,10 @@ def src4(t):
 
 
 def event_summaries(t: Tables) -> DataFrame:
-    """One run summary per day: five sources with rows, one without, one that failed. Small: days x sources."""
-    kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view", "import", "broken")])
+    """One run summary per day: the table's sources, one without rows, one that failed. Small: days x sources."""
     seen = obs_e(t)
-    grid = seen.select("day").distinct().withColumn("key", F.explode(kinds))
+    kinds = t.events.select(F.col("event_type").alias("key")).union(constants(t.spark, [("import",), ("broken",)], "key string"))
+    grid = dense_grid(seen.select("day").distinct(), kinds, "key")
     counts = seen.groupBy("day", F.col("role_family").alias("key")).agg(F.count("*").alias("n"))
     rows = F.coalesce("n", F.lit(0).cast("bigint"))
     broken = F.col("key") == "broken"
@@ -111,7 +112,7 @@ summaries AS (
   SELECT day, kind, CASE WHEN kind = 'broken' THEN 'error' WHEN coalesce(n, 0) > 0 THEN 'ok' ELSE 'empty' END AS status,
          coalesce(n, 0) AS n
   FROM (SELECT DISTINCT day FROM obs_e)
-  CROSS JOIN (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('import'), ('broken')) AS k(kind)
+  CROSS JOIN (SELECT DISTINCT event_type AS kind FROM events UNION ALL VALUES ('import'), ('broken')) AS k
   LEFT JOIN (SELECT day, role_family AS kind, count(*) AS n FROM obs_e GROUP BY ALL) USING (day, kind))"""
 
 

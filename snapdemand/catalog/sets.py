@@ -22,15 +22,14 @@ def set1(t):
                         check_unique(t.orders, ["o_custkey"], "customer"))
 
 
-SOURCES = ("click", "view", "purchase", "error", "signup", "refund")
-
-
 @query("SET2_union_sources", """
 SELECT event_type AS source, CAST(event_id AS VARCHAR) AS id, CAST(value AS VARCHAR) AS value FROM events""")
 def set2(t):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("source", "id", "value")])
+    # one part per source that the table names, and one that has no row
+    sources = [r[0] for r in t.events.select("event_type").distinct().collect()] + ["refund"]
     parts = [t.events.where(F.col("event_type") == s).select(
-        F.col("event_type").alias("source"), F.col("event_id").alias("id"), "value") for s in SOURCES]
+        F.col("event_type").alias("source"), F.col("event_id").alias("id"), "value") for s in sources]
     return union_sources(t.spark, parts, schema)
 
 

@@ -14,7 +14,7 @@ from snapdemand.catalog.payloads import obj, payload, text
 from snapdemand.catalog.products import facts, weekly
 from snapdemand.catalog.scans import RAW_E, SUMMARIES, event_summaries, published_days, raw_e
 from snapdemand.catalog.views import (
-    DIMENSION, FACTS, OBS_E, PART_DICTIONARY, RULES, STG, WEEKLY, dimension, obs_e, raw_l, stg,
+    DAILY_TAIL, DIMENSION, OBS_E, PART_DICTIONARY, RULES, STG, WEEKLY, dimension, obs_e, raw_l, stg,
 )
 from snapdemand.operators.rank import health, source_statuses
 from snapdemand.operators.snapshots import store_once
@@ -22,6 +22,7 @@ from snapdemand.plans.ingest import ingest_day
 from snapdemand.plans.report import report_document
 from snapdemand.plans.warehouse import build
 from snapdemand.session import scratch_dir
+from snapdemand.sources.files import with_position
 from snapdemand.store import Store
 
 
@@ -69,10 +70,12 @@ def snk3(t):
 
 
 @query("SNK4_warehouse_tables", f"""
-WITH {WEEKLY}
+WITH {WEEKLY}{DAILY_TAIL}, {DIMENSION}
 SELECT 'fct_postings' AS model, company_key AS key, count(*) AS n FROM facts GROUP BY 2
 UNION ALL SELECT 'fct_posting_skills', skill, count(*) FROM bridge GROUP BY 2
-UNION ALL SELECT 'mart_skill_demand_weekly', role_scope, CAST(sum(open_postings) AS BIGINT) FROM weekly GROUP BY 2""")
+UNION ALL SELECT 'mart_skill_demand_weekly', role_scope, CAST(sum(open_postings) AS BIGINT) FROM weekly GROUP BY 2
+UNION ALL SELECT 'mart_role_demand_daily', role_family, CAST(sum(open_postings + 1000 * new_postings) AS BIGINT) FROM daily GROUP BY 2
+UNION ALL SELECT 'dim_company', name || '/' || industry, count(*) FROM dimension GROUP BY 2""")
 def snk4(t):
     models = build(raw_l(t), PART_DICTIONARY, RULES, dimension(t), sinks.into(scratch_dir(t.spark, "warehouse")))
 
@@ -83,31 +86,85 @@ def snk4(t):
         counts(models.fct_postings, "fct_postings", "company_key", F.count("*"))
         .unionByName(counts(models.fct_posting_skills, "fct_posting_skills", "skill", F.count("*")))
         .unionByName(counts(models.mart_skill_demand_weekly, "mart_skill_demand_weekly", "role_scope",
-                            F.sum("open_postings"))))
+                            F.sum("open_postings")))
+        .unionByName(counts(models.mart_role_demand_daily, "mart_role_demand_daily", "role_family",
+                            F.sum(F.col("open_postings") + 1000 * F.col("new_postings"))))
+        .unionByName(counts(models.dim_company.withColumn("who", F.concat_ws("/", "name", "industry")), "dim_company", "who", F.count("*"))))
 
 
 @query("SNK5_report_document", f"""
-WITH {FACTS}, {DIMENSION}
-SELECT name, count(*) AS open_postings FROM facts JOIN dimension USING (company_key) WHERE is_open
-GROUP BY name ORDER BY 2 DESC, 1 LIMIT 10""")
+WITH {WEEKLY}, {DIMENSION}, {SUMMARIES},
+newest AS (SELECT max(week_start) AS w FROM weekly), axis AS (SELECT DISTINCT week_start FROM weekly),
+named AS (SELECT skill FROM weekly, newest WHERE week_start = w AND role_scope = 'tech' ORDER BY open_postings DESC, skill LIMIT 10),
+series AS (SELECT n.skill, a.week_start, coalesce(open_postings, 0) AS n FROM named AS n CROSS JOIN axis AS a
+  LEFT JOIN weekly AS w ON w.skill = n.skill AND w.week_start = a.week_start AND role_scope = 'tech'),
+last_run AS (SELECT * FROM summaries WHERE day = (SELECT max(day) FROM summaries)), opened AS (SELECT * FROM facts WHERE is_open)
+SELECT 'generated_at' AS section, '' AS key, '2024-02-01T00:00:00+00:00' AS value
+UNION ALL SELECT 'coverage', 'companies', CAST(count(DISTINCT company_key) AS VARCHAR) FROM opened
+UNION ALL SELECT 'coverage', 'companies_tracked', CAST(count(*) AS VARCHAR) FROM dimension
+UNION ALL SELECT 'coverage', 'postings_open', CAST(count(*) AS VARCHAR) FROM opened
+UNION ALL SELECT 'skills_week_start', '', CAST(w AS VARCHAR) FROM newest
+UNION ALL (SELECT 'skills_this_week', role_scope || ':' || skill || '/' || category, CAST(open_postings AS VARCHAR) FROM weekly, newest
+  WHERE week_start = w QUALIFY row_number() OVER (PARTITION BY role_scope ORDER BY open_postings DESC, skill) <= 15)
+UNION ALL SELECT 'skill_trend', '', string_agg(week_start, ',' ORDER BY week_start) FROM axis
+UNION ALL SELECT 'skill_trend', skill, string_agg(n, ',' ORDER BY week_start) FROM series GROUP BY skill
+UNION ALL SELECT 'roles', role_family, CAST(count(*) AS VARCHAR) FROM opened GROUP BY role_family
+UNION ALL SELECT 'seniority', seniority, CAST(count(*) AS VARCHAR) FROM opened GROUP BY seniority
+UNION ALL (SELECT 'top_companies', name, CAST(count(*) AS VARCHAR) FROM opened JOIN dimension USING (company_key)
+  GROUP BY name ORDER BY count(*) DESC, name LIMIT 10)
+UNION ALL SELECT 'health', 'last_run', any_value(CAST(day AS VARCHAR)) || 'T06:00:00' FROM last_run
+UNION ALL SELECT 'health', 'rows', CAST(CAST(sum(n) AS BIGINT) AS VARCHAR) FROM last_run
+UNION ALL SELECT 'health', 'ok', CAST(count(*) FILTER (status = 'ok') AS VARCHAR) FROM last_run
+UNION ALL SELECT 'health', 'empty', coalesce(string_agg(kind, ',' ORDER BY kind) FILTER (status = 'empty'), '') FROM last_run
+UNION ALL SELECT 'health', 'failed', coalesce(string_agg(kind, ',' ORDER BY kind) FILTER (status = 'error'), '') FROM last_run""")
 def snk5(t):
+    """All nine sections of the document as read back from the file, a row for each figure."""
     # every dataset of the document is small; the marts behind them are written once and read by each
     folder = scratch_dir(t.spark, "report")
     document = report_document(
         sinks.write_table(weekly(t), f"{folder}/weekly"), sinks.write_table(facts(t), f"{folder}/facts"), dimension(t),
         event_summaries(t), "2024-02-01T00:00:00+00:00")
     sinks.write_document(document, f"{folder}/document")
-    schema = "top_companies array<struct<name string, open_postings bigint>>"
-    return t.spark.read.text(f"{folder}/document").select(
-        F.inline(F.from_json("value", schema)["top_companies"]))
+    counts = "array<struct<{} string, open_postings bigint>>".format
+    schema = (
+        "generated_at string, coverage map<string, bigint>, skills_week_start string, skills_this_week map<string, "
+        "array<struct<skill string, category string, open_postings bigint>>>, skill_trend struct<weeks array<string>, "
+        f"series map<string, array<bigint>>>, roles {counts('role_family')}, seniority {counts('seniority')}, "
+        f"top_companies {counts('name')}, health struct<last_run string, rows bigint, sources_ok int, "
+        "sources_empty array<string>, sources_failed array<string>>")
+    read = t.spark.read.text(f"{folder}/document").select(F.from_json("value", schema).alias("d")).select("d.*")
+
+    def entry(section: str, key, value):
+        key = F.lit(key) if isinstance(key, str) else key
+        return F.struct(F.lit(section).alias("section"), key.alias("key"), value.cast("string").alias("value"))
+
+    def joined(values):
+        return F.array_join(values.cast("array<string>"), ",")
+
+    def counted(section: str, name: str):
+        return F.transform(section, lambda r: entry(section, r[name], r["open_postings"]))
+
+    week = F.flatten(F.transform(F.map_entries("skills_this_week"), lambda s: F.transform(s["value"], lambda r: entry(
+        "skills_this_week", F.concat(s["key"], F.lit(":"), r["skill"], F.lit("/"), r["category"]), r["open_postings"]))))
+    run = F.col("health")
+    rows = F.concat(
+        F.array(entry("generated_at", "", F.col("generated_at")), entry("skills_week_start", "", F.col("skills_week_start")),
+                entry("skill_trend", "", joined(F.col("skill_trend.weeks"))), entry("health", "last_run", run["last_run"]),
+                entry("health", "rows", run["rows"]), entry("health", "ok", run["sources_ok"]),
+                entry("health", "empty", joined(run["sources_empty"])), entry("health", "failed", joined(run["sources_failed"]))),
+        F.transform(F.map_entries("coverage"), lambda e: entry("coverage", e["key"], e["value"])), week,
+        F.transform(F.map_entries("skill_trend.series"), lambda e: entry("skill_trend", e["key"], joined(e["value"]))),
+        counted("roles", "role_family"), counted("seniority", "seniority"), counted("top_companies", "name"))
+    return read.select(F.inline(rows))
 
 
 @query("SNK6_ordered_file", f"""
-WITH {WEEKLY} SELECT week_start, skill, role_scope, open_postings, share FROM weekly""")
+WITH {WEEKLY} SELECT week_start, skill, role_scope, open_postings, share,
+       row_number() OVER (ORDER BY week_start, skill, role_scope) AS position FROM weekly""")
 def snk6(t):
     path = scratch_dir(t.spark, "ordered")
-    sinks.write_ordered(weekly(t).drop("category"), path, ["week_start", "skill"])
-    return t.spark.read.parquet(path)
+    sinks.write_ordered(weekly(t).drop("category"), path, ["week_start", "skill", "role_scope"])
+    return with_position(t.spark, path)
 
 
 @query("MOD11_health", f"""

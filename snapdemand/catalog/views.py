@@ -97,6 +97,12 @@ EVENT_SCOPES_SQL = ("scopes AS (SELECT * FROM " + values([(s, f) for s, fs in EV
                     + " AS v(role_scope, role_family))")
 
 
+def benchmark_words(t: Tables) -> DataFrame:
+    """The benchmark's words of three letters and more, each once: thousands."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))
+    return t.benchmark.select(F.explode(found).alias("word")).distinct()
+
+
 # --- obs_e ------------------------------------------------------------------------------------------------------
 
 OBS_E = """
@@ -283,7 +289,7 @@ weekly AS (
   SELECT week_start, skill, category, role_scope, count(*) AS open_postings, count(*) / CAST(max(size) AS DOUBLE) AS share
   FROM members JOIN skills USING (posting_key) GROUP BY week_start, skill, category, role_scope)"""
 
-DAILY = FACTS + """,
+DAILY_TAIL = """,
 by_day AS (
   SELECT day, role_family, count(*) AS n, count(*) FILTER (day = first_seen) AS fresh
   FROM (SELECT posting_key, days[1] AS first_seen, unnest(days) AS day FROM grouped) JOIN roles USING (posting_key) GROUP BY ALL),
@@ -291,6 +297,7 @@ daily AS (
   SELECT day, role_family, CAST(coalesce(sum(n), 0) AS BIGINT) AS open_postings, CAST(coalesce(sum(fresh), 0) AS BIGINT) AS new_postings
   FROM (FROM by_day UNION ALL SELECT a.day, b.role_family, 0, 0 FROM by_day AS a, (SELECT DISTINCT role_family FROM facts) AS b)
   GROUP BY ALL)"""
+DAILY = FACTS + DAILY_TAIL
 
 DIMENSION = """
 dimension AS (

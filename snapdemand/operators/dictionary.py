@@ -1,4 +1,4 @@
-"""Tags by a dictionary that is a table of any size: an equality join on words or character triples, then the pattern.
+"""Tags and labels by patterns that are a table of any size: an equality join on words or character triples, then the pattern.
 
 Use it for dictionaries that grow; ``operators.tagging`` turns a handful of entries into expressions instead.
 """
@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapdemand import model
 from snapdemand.functions.regex import FOLDING_CHARS, plain_words, required_literals, rx
 
 _GRAM = 3
@@ -52,34 +53,54 @@ def _folded(text: Column) -> Column:
     return F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
 
 
-def tag_by_table(df: DataFrame, keys: Sequence[str], text: str, dictionary: DataFrame) -> DataFrame:
-    """Distinct (keys, skill, category) of every entry of ``dictionary(skill, category, pattern)`` that a text matches.
+def matched(df: DataFrame, keys: Sequence[str], text: str, table: DataFrame, pattern: str = "pattern") -> DataFrame:
+    """(keys, the other columns of ``table``) of every row of ``table`` whose ``pattern`` a text matches; maybe more than once.
 
-    A text's different words meet the entries that are plain words; its different triples meet the entries of which every
-    match holds such a triple, and the pattern decides. Words and triples that no entry asks for find no partner.
-    ``keys`` must be unique in ``df``. Texts with characters that fold onto ASCII letters always take the second way. Only entries without any triple are
-    compared with all texts, one expression each. Null texts and patterns match nothing.
+    A text's different words meet the rows that are plain words; its different triples meet the rows of which every match
+    holds such a triple, and the pattern decides. Words and triples that no row asks for find no partner.
+    ``keys`` must be unique in ``df``. Texts with characters that fold onto ASCII letters always take the second way. Only rows
+    without any triple are tested with all texts, in one pass. Null texts and patterns match nothing.
     """
-    entries = compiled(dictionary.select("skill", "category", "pattern"))
+    columns = [c for c in table.columns if c != pattern]
+    entries = compiled(table.select(*columns, pattern), pattern)
     texts = df.select(*keys, F.col(text).alias("_text"), F.col(text).rlike(FOLDING_CHARS).alias("_odd")).where("_text is not null")
     words = texts.where("not _odd").select(
         *keys, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit("[0-9a-z_]+"), F.lit(0)))).alias("_word"))
-    by_word = entries.where("_words is not null").select("skill", "category", F.explode("_words").alias("_word"))
-    found = words.join(by_word, "_word").select(*keys, "skill", "category")
+    by_word = entries.where("_words is not null").select(*columns, F.explode("_words").alias("_word"))
+    found = words.join(by_word, "_word").select(*keys, *columns)
 
     folded = F.when(F.col("_odd"), _folded(F.col("_text"))).otherwise(F.lower("_text"))
     triples = F.array_distinct(F.regexp_extract_all("_folded", F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1)))
     by_gram = entries.where("_grams is not null").select(
-        "skill", "category", "_java", F.col("_words").isNotNull().alias("_plain"), F.explode("_grams").alias("_gram"))
+        *columns, "_java", F.col("_words").isNotNull().alias("_plain"), F.explode("_grams").alias("_gram"))
     # plain words need this way for odd texts only; texts stay out of the join until candidates are known
     held = texts.withColumn("_folded", folded).select(*keys, "_odd", F.explode(triples).alias("_gram"))
-    pairs = held.join(by_gram, "_gram").where("_odd or not _plain").select(*keys, "skill", "category", "_java").distinct()
+    pairs = held.join(by_gram, "_gram").where("_odd or not _plain").select(*keys, *columns, "_java").distinct()
     found = found.union(
         texts.select(*keys, "_text").join(pairs, list(keys)).where(matches_column(F.col("_text"), F.col("_java")))
-        .select(*keys, "skill", "category"))
+        .select(*keys, *columns))
+
+    # patterns that name no triple, such as short words: a join on the pattern itself
+    others = entries.where("_grams is null and _java is not null").select(*columns, "_java", F.col("_words").isNotNull().alias("_plain"))
+    tested = texts.join(others, (F.col("_odd") | ~F.col("_plain")) & matches_column(F.col("_text"), F.col("_java")))
+    return found.union(tested.select(*keys, *columns))
+
+
+def tag_by_table(df: DataFrame, keys: Sequence[str], text: str, dictionary: DataFrame) -> DataFrame:
+    """Distinct (keys, skill, category) of every entry of ``dictionary(skill, category, pattern)`` that a text matches; see ``matched``."""
+    return matched(df, keys, text, dictionary.select("skill", "category", "pattern")).distinct()
+
 
-    for entry in entries.where("_grams is null and _java is not null").select("skill", "category", "_java", "_words").collect():
-        some = texts if entry["_words"] is None else texts.where("_odd")
-        found = found.union(some.where(F.col("_text").rlike(entry["_java"])).select(
-            *keys, F.lit(entry["skill"]).alias("skill"), F.lit(entry["category"]).alias("category")))
-    return found.distinct()
+def classify_by_table(df: DataFrame, keys: Sequence[str], text: str, rules: DataFrame,
+                      defaults: dict[str, str] = model.RULE_DEFAULTS) -> DataFrame:
+    """(keys, one column per field in ``defaults``): the value of the matching rule of lowest priority, by value among equals.
+
+    ``rules`` is (field, priority, pattern, value) and may be of any size: none of it becomes part of the plan. A text no
+    rule of a field matches gets the field's default. The least (priority, value) of each field is combined inside
+    every task before the shuffle, so a text that thousands of rules match is one row per task.
+    """
+    hits = matched(df, keys, text, rules.select("field", "priority", "value", "pattern"))
+    first = hits.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("field") == f, F.struct("priority", "value"))).alias(f"_{f}") for f in defaults])
+    return df.select(*keys).join(first, list(keys), "left").select(
+        *keys, *[F.coalesce(F.col(f"_{f}.value"), F.lit(d)).alias(f) for f, d in defaults.items()])

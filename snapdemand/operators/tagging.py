@@ -60,9 +60,14 @@ def with_tags(df: DataFrame, text: str, dictionary: Sequence[Entry], into: str =
     return prepared.withColumn(into, F.array_distinct(tags)).drop("_lower")
 
 
-def tag(df: DataFrame, keys: Sequence[str], text: str, dictionary: Sequence[Entry]) -> DataFrame:
-    """One row per key and tag. ``keys`` must be unique in ``df``, as they are in entity tables."""
-    tagged = with_tags(df.select(*keys, text), text, dictionary)
+def tag(df: DataFrame, keys: Sequence[str], text: str, dictionary: Sequence[Entry], partitions: int | None = None) -> DataFrame:
+    """One row per key and tag. ``keys`` must be unique in ``df``, as they are in entity tables.
+
+    A Parquet row group is one task, however many patterns its texts are tested with. For tables of few, large row groups
+    give ``partitions``: texts are dealt round-robin to so many tasks first, which costs one exchange of them.
+    """
+    texts = df.select(*keys, text)
+    tagged = with_tags(texts if partitions is None else texts.repartition(partitions), text, dictionary)
     return explode_tags(tagged, keys)
 
 

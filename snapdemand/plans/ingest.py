@@ -22,11 +22,11 @@ KEYS = ("source_system", "posting_id")
 
 
 def company_status(parsed: DataFrame) -> DataFrame:
-    """Per company: did any response fail, and did any site report more rows than were read."""
-    failed = parsed.groupBy("company_key").agg(F.max("failed").alias("failed"), F.lit(False).alias("truncated"))
-    cut = site_totals(parsed).select("company_key", F.lit(False).alias("failed"), "truncated")
+    """Per company: did any response fail, why (the first reason by name), and did any site report more rows than were read."""
+    failed = parsed.groupBy("company_key").agg(F.min("error").alias("error"), F.lit(False).alias("truncated"))
+    cut = site_totals(parsed).select("company_key", F.lit(None).cast("string").alias("error"), "truncated")
     return failed.unionByName(cut).groupBy("company_key").agg(
-        F.max("failed").alias("failed"), F.max("truncated").alias("truncated"))
+        F.min("error").alias("error"), F.max("truncated").alias("truncated")).withColumn("failed", F.col("error").isNotNull())
 
 
 def collect_postings(parsed: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def summarise_run(
             F.col("company_key").alias("key"),
             status(F.coalesce("rows", zero), F.coalesce("failed", no)).alias("status"),
             F.coalesce("rows", zero).alias("rows"),
-            F.when(F.coalesce("failed", no), "response does not parse, or a posting lacks its id or title").alias("error"),
+            "error",
             F.coalesce("describe_errors", zero).alias("describe_errors"),
             F.coalesce("truncated", no).alias("truncated"),
             F.lit(None).cast("double").alias("duration_s"))

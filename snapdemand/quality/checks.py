@@ -65,7 +65,7 @@ def check_no_future(facts: DataFrame, bound: str, key: str = "posting_key", seve
 
 def check_share(weekly: DataFrame, check: str = "share_range") -> DataFrame:
     return check_rows(weekly, (F.col("share") < 0) | (F.col("share") > 1),
-                      ["week_start", "skill", "role_scope"], F.col("share"), check)
+                      ["week_start", "skill", "role_scope"], F.col("share").cast("decimal(18,9)"), check)
 
 
 def check_latest_has_rows(expected: DataFrame, df: DataFrame, day: str, check: str = "latest_has_rows") -> DataFrame:
@@ -101,23 +101,22 @@ def check_golden_labels(cases: DataFrame, rules: Sequence[Rule], text: str = "ti
 
 
 def check_freshness(df: DataFrame, loaded_at: str, now: Column, warn_days: int = model.WARN_AFTER_DAYS,
-                    error_days: int = model.ERROR_AFTER_DAYS, check: str = "freshness") -> DataFrame:
-    """One row when the newest load is older than the limits. ``now`` is a parameter, so runs can be repeated."""
-    age = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("_at")).withColumn(
-        "_s", F.timestamp_diff("SECOND", F.col("_at"), now))
+                    error_days: int = model.ERROR_AFTER_DAYS, check: str = "freshness", by: str | None = None) -> DataFrame:
+    """One row when the newest load is older than the limits, or with ``by`` one for each of its values whose newest is.
+
+    ``now`` is a parameter, so runs can be repeated.
+    """
+    newest = df.groupBy(*([by] if by else [])).agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("_at"))
+    age = newest.withColumn("_s", F.timestamp_diff("SECOND", F.col("_at"), now))
     late = age.where(F.col("_s") > warn_days * 86_400)
-    return _failures(late, check, F.col("_at"), F.floor(F.col("_s") / 3600),
+    return _failures(late, check, F.col(by or "_at"), F.floor(F.col("_s") / 3600),
                      F.when(F.col("_s") > error_days * 86_400, "error").otherwise("warn"))
 
 
-def check_truncation(reported: DataFrame, read: DataFrame, keys: Sequence[str], total: str,
-                     check: str = "truncation") -> DataFrame:
-    """Sources that reported more rows than were read."""
-    counts = read.groupBy(*keys).agg(F.count("*").alias("_read"))
-    compared = reported.join(counts, list(keys), "left").withColumn("_read", F.coalesce("_read", F.lit(0)))
-    cut = compared.where(F.col(total) > F.col("_read"))
-    return _failures(cut, check, _joined(keys), F.concat_ws(" of ", F.col("_read").cast("string"),
-                                                           F.col(total).cast("string")), "warn")
+def check_truncation(totals: DataFrame, keys: Sequence[str], check: str = "truncation") -> DataFrame:
+    """Sites of ``totals`` (``sources.payloads.site_totals``) that reported more rows than were read."""
+    cut = totals.where("truncated")
+    return _failures(cut, check, _joined(keys), F.concat_ws(" of ", F.col("read").cast("string"), F.col("reported").cast("string")), "warn")
 
 
 def check_any_rows(summaries: DataFrame, check: str = "run_gate") -> DataFrame:

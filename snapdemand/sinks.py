@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdemand import model
@@ -70,7 +70,7 @@ def into(root: str) -> Writer:
     return lambda df, name: write_table(df, f"{root}/{name}")
 
 
-def write_ordered(df: DataFrame, path: str, order: list[str]) -> None:
+def write_ordered(df: DataFrame, path: str, order: Sequence[str | Column]) -> None:
     """Files in total order: a range per file, so a small mart is one file and a large one is sorted by all cores."""
     df.orderBy(*order).write.mode("overwrite").option("compression", "zstd").parquet(path)
 

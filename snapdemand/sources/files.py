@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from snapdemand import model
 from snapdemand.functions.regex import Entry, Rule
@@ -28,6 +29,18 @@ def read_glob(spark: SparkSession, glob: str, schema: T.StructType = model.POSTI
     return spark.read.schema(schema).parquet(glob)
 
 
+def with_position(spark: SparkSession, path: str, into: str = "position") -> DataFrame:
+    """Ordered files as written by ``sinks.write_ordered``, with each row's place in them, from 1.
+
+    Files are ranges of the order, by name; a row's place in its file is known to the reader. Only rows per file are
+    added up, so no task sees all rows.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = counts.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    return rows.join(before, "_file").withColumn(into, F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
+
+
 def earlier_days(snapshots: DataFrame, day: Column, date: str = "date") -> DataFrame:
     """Days before ``day``; with ``date`` the partition column the others are never listed or read."""
     return snapshots.where(F.col(date) < day)
@@ -42,10 +55,6 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return read_dictionary(spark, path, model.RULES_SCHEMA)
 
 
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    return read_dictionary(spark, path, model.DIMENSION_SCHEMA)
-
-
 def load_entries(dictionary: DataFrame) -> list[Entry]:
     """The dictionary as expressions of a plan; for one that grows, see ``operators.dictionary``."""
     return [Entry(r.skill, r.category, r.pattern) for r in dictionary.collect()]

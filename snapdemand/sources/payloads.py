@@ -1,8 +1,10 @@
 """Canonical postings out of landed vendor payloads.
 
 Input: one row per landed response, ``PAYLOAD_SCHEMA``. Each system is a ``PayloadSpec``: the JSON fields that are read,
-where its rows are, and one expression per canonical field. Parsing is ``from_json`` with an explicit schema, so only
-the named fields are built; a response that does not parse is reported, it does not stop the job.
+where its rows are, and one expression per canonical field. Parsing is one ``from_json`` with an explicit schema, so only
+the named fields are built. Texts are parsed as VARIANT, which keeps what they are in JSON: an object, a list or a number
+where a text belongs is an error and not its own notation. A response that does not parse is reported with the reason,
+it does not stop the job.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapdemand import model
 from snapdemand.functions.dates import epoch_text
@@ -45,6 +48,8 @@ class PayloadSpec:
     detail: Callable[[Column, Column], Column] | None = None
     detail_schema: str = ""
     detail_html: Callable[[Column], Column] | None = None
+    #: fields that name a posting: a number will do, it is only ever printed
+    ids: frozenset[str] = frozenset({"id", "Id", "slug", "jobId", "id_icims", "shortcode"})
 
 
 # Fixed values, here and in SPECS: the systems' field names, hosts and URL forms.
@@ -155,10 +160,8 @@ def _greenhouse(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
 
 
 def _lever(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
-    sections = F.transform(
-        F.coalesce(j["lists"], F.array().cast("array<struct<text:string,content:string>>")),
-        lambda s: F.concat(F.lit("<div>"), or_empty(s["text"]), F.lit("</div><ul>"), or_empty(s["content"]),
-                           F.lit("</ul>")))
+    lists = F.coalesce(j["lists"], F.array().cast("array<struct<text:string,content:string>>"))
+    parts = F.flatten(F.transform(lists, lambda s: F.array(s["text"], s["content"])))
     places = F.concat(F.array(j["categories"]["location"]),
                       F.coalesce(j["categories"]["allLocations"], F.array().cast("array<string>")))
     return {
@@ -167,7 +170,8 @@ def _lever(j: Column, site: Callable[[str], Column]) -> dict[str, Column]:
         "location": join_distinct(stripped_places(places)),
         "posted_raw": epoch_text(j["createdAt"], "ms"),
         "url": j["hostedUrl"],
-        "html": F.concat(or_empty(j["description"]), sections_text(sections, ""), or_empty(j["additional"])),
+        # any tag keeps the texts of two parts apart
+        "html": F.array_join(F.concat(F.array(j["description"]), parts, F.array(j["additional"])), "<br>"),
     }
 
 
@@ -277,11 +281,55 @@ _SHORT = ("posting_id", "title", "location", "posted_raw", "url")
 _TEXTS = ("html", "plain")
 
 
+def _type(spec: PayloadSpec) -> T.DataType:
+    return T.DataType.fromDDL(spec.schema)
+
+
+def _open(kind: T.DataType) -> T.DataType:
+    """The same type with VARIANT for every text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _open(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_open(kind.elementType))
+    return T.VariantType() if isinstance(kind, T.StringType) else kind
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """The value with texts for VARIANTs."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_typed(value[f.name], f.dataType).alias(f.name) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    return F.variant_get(value, "$", "string") if isinstance(kind, T.StringType) else value
+
+
+def _wrong(value: Column, kind: T.DataType, ids: frozenset[str], path: str = "") -> Column:
+    """Says of the first text that is none what it is instead; null if all are texts or null."""
+    none = F.lit(None).cast("string")
+    if isinstance(kind, T.StructType):
+        return F.coalesce(none, *[_wrong(value[f.name], f.dataType, ids, f"{path}.{f.name}") for f in kind])
+    if isinstance(kind, T.ArrayType):
+        reasons = F.transform(value, lambda x: _wrong(x, kind.elementType, ids, path))
+        return F.get(F.array_compact(reasons), F.lit(0))
+    if not isinstance(kind, T.StringType):
+        return none
+    found = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    fine = ["STRING", "VOID", *(["BIGINT"] if path.rpartition(".")[2] in ids else [])]
+    return F.when(~found.isin(*fine), F.concat(F.lit(f"{path.lstrip('.')} holds "), F.lower(found)))
+
+
 def document(spec: PayloadSpec, json: Column) -> Column:
-    """The parsed response."""
-    if spec.schema.startswith("array"):
-        return F.from_json(json, spec.schema)
-    return F.from_json(json, f"{spec.schema}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    """The response, parsed once, with VARIANT for texts; see ``kept_postings`` and ``wrong_type``."""
+    kind = _open(_type(spec))
+    if isinstance(kind, T.ArrayType):
+        return F.from_json(json, kind)
+    return F.from_json(json, T.StructType([*kind.fields, T.StructField(_CORRUPT, T.StringType())]),
+                       {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def wrong_type(spec: PayloadSpec, doc: Column) -> Column:
+    """Why a parsed response is of no use: the first field that holds something else than a text; null if there is none."""
+    return _wrong(doc, _type(spec), spec.ids)
 
 
 def is_broken(spec: PayloadSpec, doc: Column) -> Column:
@@ -308,13 +356,17 @@ def kept_postings(spec: PayloadSpec, doc: Column, config: Column) -> Column:
         posting = F.struct(position.alias("position"), *[fields[n].alias(n) for n in _SHORT], *texts)
         return F.when(spec.keep(fields["location"], fields["title"]), posting)
 
-    return F.array_compact(F.transform(spec.rows(doc), canonical))
+    return F.array_compact(F.transform(spec.rows(_typed(doc, _type(spec))), canonical))
 
 
 def listed_postings(responses: DataFrame, postings: str = "postings") -> DataFrame:
-    """One row per posting of responses that carry their array of postings; texts still as markup."""
+    """One row per posting of responses that carry their array of postings; texts still as markup.
+
+    ``inline`` would make the optimiser test the array beforehand, and so parse the response twice.
+    """
     return responses.select(
-        "source_system", "company_key", "collected_at", "source_order", "page", F.inline(postings))
+        "source_system", "company_key", "collected_at", "source_order", "page", F.inline_outer(postings)
+    ).where("position IS NOT NULL")
 
 
 def description(specs: Mapping[str, PayloadSpec]) -> Column:
@@ -329,20 +381,26 @@ def description(specs: Mapping[str, PayloadSpec]) -> Column:
     return F.when(blank_stays | (text != ""), text).otherwise(other)
 
 
+def has_text(spec: PayloadSpec) -> bool:
+    """Whether responses of the system carry descriptions themselves."""
+    return bool({*_TEXTS} & {*spec.posting(F.lit(None), lambda name: F.lit(None))})
+
+
 def normalise(payloads: DataFrame, spec: PayloadSpec) -> DataFrame:
     """Canonical postings, with the columns of ``ORDER``, of one system's responses that parse."""
     doc = F.col("_doc")
     parsed = payloads.where(F.col("source_system") == spec.system).withColumn("_doc", document(spec, F.col("json")))
-    listed = listed_postings(parsed.where(~is_broken(spec, doc)).withColumn(
-        "postings", kept_postings(spec, doc, F.col("config"))))
-    return listed.withColumn("description", description({spec.system: spec})).select(*model.POSTING_FIELDS, *ORDER)
+    fine = ~is_broken(spec, doc) & wrong_type(spec, doc).isNull()
+    listed = listed_postings(parsed.withColumn("postings", F.when(fine, kept_postings(spec, doc, F.col("config")))))
+    text = description({spec.system: spec}) if has_text(spec) else F.lit(None).cast("string")
+    return listed.withColumn("description", text).select(*model.POSTING_FIELDS, *ORDER)
 
 
 def parse_payloads(payloads: DataFrame, specs: Mapping[str, PayloadSpec]) -> DataFrame:
-    """All systems in one pass: per response ``failed``, ``reported``, ``read`` and its kept ``postings``.
+    """All systems in one pass: per response ``failed``, ``error`` (why), ``reported``, ``read`` and its kept ``postings``.
 
     A response is parsed by the schema of its own system only; one of an unknown system counts as failed, and so does one
-    with a kept posting that has no id or no title.
+    with something else where a text belongs, or with a kept posting that has no id or no title.
     """
     def own(spec: PayloadSpec, value: Column) -> Column:
         return F.when(F.col("source_system") == spec.system, value)
@@ -352,17 +410,21 @@ def parse_payloads(payloads: DataFrame, specs: Mapping[str, PayloadSpec]) -> Dat
 
     every = list(specs.values())
     parsed = payloads.withColumns({f"_doc_{s.system}": own(s, document(s, F.col("json"))) for s in every})
-    failed = F.coalesce(*[own(s, is_broken(s, doc(s))) for s in every], F.lit(True))
-    found = parsed.withColumn("failed", failed).select(
-        "source_system", "company_key", "source_order", "page", "config", "collected_at", "failed",
+    known = F.coalesce(F.col("source_system").isin(*specs), F.lit(False))
+    broken = F.coalesce(*[own(s, is_broken(s, doc(s))) for s in every], F.lit(False))
+    reason = (F.when(~known, "the system is unknown").when(broken, "the response does not parse, or lacks its list")
+              .otherwise(F.coalesce(*[own(s, wrong_type(s, doc(s))) for s in every])))
+    found = parsed.withColumn("error", reason).select(
+        "source_system", "company_key", "source_order", "page", "config", "collected_at", "error",
         F.coalesce(*[own(s, rows_reported(s, doc(s))) for s in every]).alias("reported"),
         F.coalesce(*[own(s, rows_read(s, doc(s))) for s in every]).alias("read"),
-        F.when(~F.col("failed"), F.coalesce(
+        F.when(F.col("error").isNull(), F.coalesce(
             *[own(s, kept_postings(s, doc(s), F.col("config"))) for s in every])).alias("postings"))
     # a posting without its id or title would be told from others by nothing: its response is of no use
     lacking = F.exists("postings", lambda p: p["posting_id"].isNull() | p["title"].isNull())
-    failed = F.col("failed") | F.coalesce(lacking, F.lit(False))
-    return found.withColumn("failed", failed).withColumn("postings", F.when(~F.col("failed"), F.col("postings")))
+    found = found.withColumn("error", F.coalesce("error", F.when(lacking, "a posting lacks its id or title")))
+    failed = F.col("error").isNotNull()
+    return found.withColumn("failed", failed).withColumn("postings", F.when(~failed, F.col("postings")))
 
 
 def site_totals(parsed: DataFrame) -> DataFrame:

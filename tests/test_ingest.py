@@ -285,3 +285,35 @@ def test_a_posting_without_id_or_title_fails_its_response(spark):
     parsed = parse_payloads(spark.createDataFrame(rows, PAYLOAD_SCHEMA), SPECS).select("company_key", "failed", "postings").collect()
     assert {r.company_key: r.failed for r in parsed} == want
     assert all((r.postings is None) == r.failed for r in parsed)
+
+
+@pytest.mark.parametrize("system, old, new, reason", [
+    ("greenhouse", '"title": " T "', '"title": {"x": 1}', "jobs.title holds object"),
+    ("lever", '"text": "T "', '"text": 5', "text holds bigint"),
+    ("workday", '"locationsText": "Paris"', '"locationsText": ["Paris"]', "jobPostings.locationsText holds array"),
+    ("ashby", '"location": "HQ"', '"location": true', "jobs.location holds boolean"),
+    ("smartrecruiters", '"id": "1"', '"id": {"n": 1}', "content.id holds object"),
+])
+def test_something_else_where_a_text_belongs_fails_its_company_with_the_reason(spark, tmp_path, system, old, new, reason):
+    text = json.dumps(RESPONSES[system])
+    assert old in text
+    summary, written = run(spark, tmp_path, "2026-10-08", (system, "a", 0, text.replace(old, new)), ("greenhouse", "b", 1, board((1, "x"))))
+    assert [(c.key, c.status, c.error) for c in summary.companies] == [("a", "error", reason), ("b", "ok", None), ("idle", "empty", None)]
+    assert written == {"brd:1": "x"}
+    assert normalise(landed(spark, (system, "a", 0, text.replace(old, new))), SPECS[system]).count() == 0
+
+
+def test_reasons_of_failed_responses(spark):
+    got = {r.company_key: r.error for r in parse_payloads(landed(
+        spark, ("fax", "f", 0, {}), ("jibe", "j", 0, "{"), ("phenom", "p", 0, {}), ("greenhouse", "g", 0, {"jobs": [{"id": 1}]}),
+        ("greenhouse", "n", 0, board((1, None)))), SPECS).collect()}
+    assert got == {"f": "the system is unknown", "j": "the response does not parse, or lacks its list",
+                   "p": "the response does not parse, or lacks its list", "g": None, "n": None}
+
+
+@pytest.mark.parametrize("system", ["greenhouse", "workday", "lever"])
+def test_a_response_is_parsed_once_and_markup_is_read_only_where_there_is_some(spark, tmp_path, system):
+    landed(spark, (system, "a", 0, RESPONSES[system])).write.parquet(str(tmp_path / "landed"))
+    rows = normalise(spark.read.schema(PAYLOAD_SCHEMA).parquet(str(tmp_path / "landed")), SPECS[system])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("JsonToStructs") == 1

@@ -18,6 +18,8 @@ from .tokens import VOCABULARY, with_end
 CAPACITY = 2048
 #: pieces that one task packs at once
 PART_PIECES = 1 << 17
+#: rounds of exchange; as each is a whole result, an end here loses no piece
+ROUNDS = 1000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 PLACED = f"{PIECES}, part long, bin long, offset long, filled long, open boolean"
 
@@ -137,14 +139,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     Pieces are dealt to parts by hash, and each part is packed best fit, longest first. A part whose number of bins equals
     its lower bound is certified. Parts with a gap then give away the pieces of all bins that are not full, certified
     ones their emptiest bin; these are dealt anew into as few parts as hold them and packed again. That ends when the
-    total equals the bound of all lengths together, when one part holds all that is open, or when a round saves nothing.
+    total equals the bound of all lengths together, when one part holds all that is open, or when a round saves nothing,
+    which then does not count.
     Full pieces are bins of their own. Offsets have no gap. Empty in, empty out.
     """
     pieces = written(pieces, "pieces")
     n = pieces.count()
     least = _bound_of(pieces, capacity)
-    todo, done, closed, before = pieces, [], 0, None
-    for turn in range(32):
+    todo, rounds, closed, best, fewest = pieces, [], 0, 0, None
+    for turn in range(ROUNDS):
         parts = max(1, math.ceil(n / part_pieces))
         dealt = todo.withColumn("part", F.pmod(F.xxhash64("row", "piece", F.lit(turn)), F.lit(parts)))
         placed = written(dealt.groupBy("part").applyInPandas(_pack(capacity), PLACED), "packed")
@@ -152,18 +155,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
             F.count_distinct(F.when(~F.col("open"), F.struct("part", "bin"))).alias("kept"),
             F.count_distinct(F.when(F.col("open"), F.struct("part", "bin"))).alias("open"),
             F.count(F.when(F.col("open"), 1)).alias("n")).first()
+        rounds.append(placed)
         total = closed + sums["kept"] + sums["open"]
-        last = parts == 1 or total <= least or not sums["n"] or before is not None and total >= before
-        done.append((turn, placed if last else placed.where(~F.col("open"))))
-        if last:
+        if fewest is not None and total >= fewest:
             break
-        closed, before, n = closed + sums["kept"], total, sums["n"]
+        best, fewest = turn, total
+        if parts == 1 or total <= least or not sums["n"]:
+            break
+        closed, n = closed + sums["kept"], sums["n"]
         todo = placed.where("open").drop("part", "bin", "offset", "filled", "open")
+    # every round, with what was closed before it, holds all pieces: the one of fewest sequences is the result
     out = None
-    for turn, placed in done:
-        named = placed.select(
+    for turn, placed in enumerate(rounds[:best + 1]):
+        named = (placed if turn == best else placed.where(~F.col("open"))).select(
             "doc_id", "piece", "start", "length", "ids_crc32", "row",
-            (F.lit(turn).cast("long") * F.lit(1 << 56) + F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"),
+            (F.lit(turn).cast("long") * F.lit(1 << 53) + F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"),
             "offset")
         out = named if out is None else out.union(named)
     return out

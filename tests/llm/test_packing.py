@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from snapdemand.llm import packing, tokens
@@ -109,3 +110,46 @@ def test_odd_rows(spark, odd_docs, no_docs):
     check_pieces(rows, docs, 2048)
     check_places(rows, 2048)
     assert packing.packed(no_docs).count() == 0
+
+
+def given_pieces(spark, seed, n=1500):
+    rng = random.Random(seed)
+    rows = [(i, 0, 0, rng.randint(26, 50), 0, i) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, row long"), rows
+
+
+def packed_rounds(spark, monkeypatch, seed, **options):
+    """Result of a packing, and the number of sequences after each of its rounds."""
+    pieces, rows = given_pieces(spark, seed)
+    seen, write = [], packing.written
+
+    def spy(df, name, *rest):
+        out = write(df, name, *rest)
+        if name == "packed":
+            seen.append(out)
+        return out
+
+    monkeypatch.setattr(packing, "written", spy)
+    got = packing.pack(pieces, capacity=100, **options).collect()
+    monkeypatch.setattr(packing, "written", write)
+    totals, closed = [], 0
+    for placed in seen:
+        bins = {(r.part, r.bin): r.open for r in placed.select("part", "bin", "open").collect()}
+        totals.append(closed + len(bins))
+        closed += sum(not o for o in bins.values())
+    assert sorted((r.row, r.length) for r in got) == sorted((r[5], r[3]) for r in rows)
+    check_places(got, 100)
+    return len({r.sequence_id for r in got}), totals
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 1000])
+def test_an_end_of_the_rounds_loses_no_piece(spark, monkeypatch, rounds):
+    monkeypatch.setattr(packing, "ROUNDS", rounds)
+    n, totals = packed_rounds(spark, monkeypatch, 5, part_pieces=40)
+    assert len(totals) <= rounds and n == min(totals)
+
+
+def test_the_round_of_fewest_sequences_counts(spark, monkeypatch):
+    every = [packed_rounds(spark, monkeypatch, seed, part_pieces=100) for seed in range(5)]
+    assert all(n == min(totals) for n, totals in every)
+    assert any(totals[-1] > min(totals) for _, totals in every)

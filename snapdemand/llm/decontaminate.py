@@ -41,88 +41,93 @@ def _grams(values: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarr
     return starts, hashes, np.concatenate(([0], np.cumsum(np.maximum(np.diff(first) - length + 1, 0))))
 
 
+@dataclass
+class Windows:
+    """The different windows of one length: their sorted hashes, where their words stand in the block's text, and their items.
+
+    Window i is ``text[start[i]:end[i]]`` and occurs in the items ``items[first[i]:first[i + 1]]``, each named once.
+    """
+
+    length: int
+    hashes: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    items: np.ndarray
+
+    def found(self, words: W.Words, values: np.ndarray, starts: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``starts`` where a document has a window, word for word, and the windows' numbers."""
+        if not len(starts) or not len(self.hashes):
+            return starts[:0], starts[:0]
+        own = W.span_hashes(values, starts, starts + self.length)
+        at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+        same = np.flatnonzero(self.hashes[at] == own)
+        starts, at = starts[same], at[same]
+        equal = [words.text[a:b] == text[c:d] for a, b, c, d in zip(
+            words.start[starts].tolist(), words.end[starts + self.length - 1].tolist(), self.start[at].tolist(), self.end[at].tolist())]
+        equal = np.array(equal, bool)
+        return starts[equal], at[equal]
+
+
 @dataclass
 class Block:
-    """Items of a benchmark: their words, and their fingerprints sorted by hash. Short items are looked up whole."""
+    """Items of a benchmark: their text, the sorted fingerprints of their windows, and the windows by length."""
 
     ids: list[str]
-    words: list[list[bytes]]
+    text: bytes
     hashes: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-    short: dict[int, tuple[np.ndarray, np.ndarray]]
+    windows: list[Windows]
+
+
+def _windows(words: W.Words, values: np.ndarray, starts: np.ndarray, length: int) -> Windows:
+    item = np.searchsorted(words.first, starts, side="right") - 1
+    hashes = W.span_hashes(values, starts, starts + length)
+    order = np.lexsort((item, hashes))
+    hashes, item, starts = hashes[order], item[order], starts[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    once = new.copy()
+    once[1:] |= item[1:] != item[:-1]
+    of = (np.cumsum(new) - 1)[once]
+    return Windows(length, hashes[new], words.start[starts[new]], words.end[starts[new] + length - 1],
+                   np.searchsorted(of, np.arange(new.sum() + 1)), item[once])
 
 
 def _block(rows: list, window: int, gram: int) -> Block:
     words = W.split(pa.array([r["text"] for r in rows], pa.string()), W.ALPHANUMERIC, lower=True)
     values, counts = W.word_hashes(words), words.counts
-    listed = [[words.text[s:e] for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist())]
-              for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
-    starts, hashes, first = _grams(values, words.first, gram)
-    picked = winnow(hashes, first, window - gram + 1)
-    at = starts[picked]
-    item = np.searchsorted(words.first, at, side="right") - 1
-    order = np.argsort(hashes[picked], kind="stable")
-    short = {}
+    _, hashes, first = _grams(values, words.first, gram)
+    picked = np.unique(hashes[winnow(hashes, first, window - gram + 1)])
+    every = [_windows(words, values, W.window_starts(words.first, window), window)]
     for length in sorted(set(counts[(counts > 0) & (counts < window)].tolist())):
-        own = np.flatnonzero(counts == length)
-        whole = W.span_hashes(values, words.first[own], words.first[own] + length)
-        by = np.argsort(whole, kind="stable")
-        short[length] = (whole[by], own[by])
-    return Block([str(r["item_id"]) for r in rows], listed, hashes[picked][order], item[order],
-                 (at - words.first[item])[order], short)
-
-
-def _matches(own: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of equal values; ``theirs`` is sorted."""
-    low, high = np.searchsorted(theirs, own, "left"), np.searchsorted(theirs, own, "right")
-    found = np.flatnonzero(high > low)
-    n = (high - low)[found]
-    return np.repeat(found, n), np.repeat(low[found] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        every.append(_windows(words, values, words.first[:-1][counts == length], length))
+    return Block([str(r["item_id"]) for r in rows], words.text, picked, every)
 
 
 def _hits(part: pa.Array, block: Block, window: int, gram: int):
-    """Per document of a column: number of words, hit word positions and numbers of the items found."""
+    """Words of a column, which of them are hit, and pairs of document and window found, each pair once.
+
+    A window that a document shares with an item has its smallest gram on both sides. So around each shared fingerprint
+    the windows that hold it are looked up; where they follow each other, the hit extends. Each position costs the
+    same, however often the document or the benchmark repeats its words.
+    """
     words = W.split(part, W.ALPHANUMERIC, lower=True)
     values, size = W.word_hashes(words), len(words.start)
-    where: list[int] = []
-    lengths: list[int] = []
-    found: list[tuple[int, int]] = []
-
-    def word(i: int) -> bytes:
-        return words.text[words.start[i]:words.end[i]]
-
     starts, hashes, first = _grams(values, words.first, gram)
     picked = winnow(hashes, first, window - gram + 1)
-    mine, theirs = _matches(hashes[picked], block.hashes)
-    at = starts[picked][mine]
-    doc_of = np.searchsorted(words.first, at, side="right") - 1
-    done: dict[tuple[int, int, int], int] = {}
-    for p, d, k in zip(at.tolist(), doc_of.tolist(), theirs.tolist()):
-        item, q = int(block.item[k]), int(block.place[k])
-        theirs_words, low, high = block.words[item], int(words.first[d]), int(words.first[d + 1])
-        if done.get((d, item, p - q), -1) >= p:  # on a stretch that is extended already
-            continue
-        a, b = p, p
-        while b < high and b - p + q < len(theirs_words) and word(b) == theirs_words[b - p + q]:
-            b += 1
-        while a > low and a - p + q > 0 and word(a - 1) == theirs_words[a - 1 - p + q]:
-            a -= 1
-        if b > p:
-            done[(d, item, p - q)] = b - 1
-        if b - a >= window:
-            where.append(a)
-            lengths.append(b - a)
-            found.append((d, item))
-    for length, (hashes, items) in block.short.items():
-        starts, own, _ = _grams(values, words.first, length)
-        mine, theirs = _matches(own, hashes)
-        for p, item in zip(starts[mine].tolist(), items[theirs].tolist()):
-            if all(word(p + i) == w for i, w in enumerate(block.words[item])):
-                where.append(p)
-                lengths.append(length)
-                found.append((int(np.searchsorted(words.first, p, side="right")) - 1, item))
-    hit = W.covered(np.array(where, np.int64), np.array(lengths, np.int64), size)
+    at = starts[picked][np.isin(hashes[picked], block.hashes)]
+    doc = np.searchsorted(words.first, at, side="right") - 1
+    around = at[:, None] - np.arange(window - gram + 1)[None, :]
+    inside = (around >= words.first[doc][:, None]) & (around + window <= words.first[doc + 1][:, None])
+    where, lengths, found = [], [], []
+    for table in block.windows:
+        some = np.unique(around[inside]) if table.length == window else W.window_starts(words.first, table.length)
+        hit, number = table.found(words, values, some, block.text)
+        where.append(hit)
+        lengths.append(np.full(len(hit), table.length))
+        pairs = np.unique(np.stack([np.searchsorted(words.first, hit, side="right") - 1, number], 1), axis=0)
+        found += [(d, table, n) for d, n in pairs.tolist()]
+    hit = W.covered(np.concatenate(where), np.concatenate(lengths), size)
     return words, hit, found
 
 
@@ -144,8 +149,9 @@ def _marker(sent, window: int, gram: int):
                 words, hit, found = _hits(part, sent.value, window, gram)
                 counts.append(words.counts)
                 by_doc: dict[int, set[str]] = {}
-                for d, item in found:
-                    by_doc.setdefault(d, set()).add(sent.value.ids[item])
+                for d, table, n in found:
+                    ids = sent.value.ids
+                    by_doc.setdefault(d, set()).update(ids[i] for i in table.items[table.first[n]:table.first[n + 1]].tolist())
                 items += [by_doc.get(d, ()) for d in range(len(part))]
                 hits += [np.flatnonzero(hit[words.first[d]:words.first[d + 1]]).tolist() if d in by_doc else ()
                          for d in range(len(part))]
@@ -164,7 +170,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: in
 
     Every 10 consecutive words of an item are a window, and a shorter item as a whole. A gram of 5 words hashes to one
     value, and of 6 consecutive ones the smallest is kept on both sides, so any shared 10 words share a fingerprint.
-    Equal fingerprints are extended word by word in both directions; stretches of a window's length or more count.
+    Around equal fingerprints every window is compared word by word; windows that follow each other extend the hit.
     ``hits`` are the positions of hit words, ``items`` the item_ids found as sorted strings. Texts without words, and
     null texts, have none; null items have no words. Repeated rows are judged each.
 

@@ -79,3 +79,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.count() == len(docs) - 2
     assert result(no_docs, items) == []
     assert decontaminate.contamination(odd_docs, items.limit(0)).where("contaminated").count() == 0
+
+
+def test_repeated_words_cost_no_more_than_others(spark):
+    import time
+
+    import pyarrow as pa
+    block = decontaminate._block([{"item_id": 1, "text": "ka " * 2000}, {"item_id": 2, "text": "lo mi " * 1000}], 10, 5)
+    began = time.monotonic()
+    words, hit, found = decontaminate._hits(pa.array(["ka " * 200_000, "mi lo " * 100_000]), block, 10, 5)
+    assert time.monotonic() - began < 5
+    assert hit.all() and len(hit) == 400_000 and len(found) == 3

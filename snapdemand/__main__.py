@@ -58,9 +58,8 @@ def _build(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def _weekly(spark: SparkSession, a: argparse.Namespace) -> int:
-    entries = files.load_entries(files.read_dictionary(spark, a.skills))
-    sinks.write_ordered(skill_demand.skill_demand_weekly(sinks.read_days(Store(spark, a.raw)), entries), a.out,
-                        ["week_start", "skill"])
+    weekly = skill_demand.skill_demand_weekly(sinks.read_days(Store(spark, a.raw)), files.read_dictionary(spark, a.skills))
+    sinks.write_ordered(weekly, a.out, ["week_start", "skill"])
     return 0
 
 

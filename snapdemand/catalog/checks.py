@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapdemand import model
 from snapdemand.catalog.base import query
 from snapdemand.catalog.payloads import supplier_config, workday_payloads
 from snapdemand.catalog.products import bridge, facts, weekly
-from snapdemand.catalog.scans import RAW_E, SUMMARIES, event_summaries, raw_e
+from snapdemand.catalog.scans import SUMMARIES, event_summaries
 from snapdemand.catalog.views import (
-    BRIDGE, DOC_DICTIONARY, FACTS, LATEST, OBS_E, RAW_L, RULES, RULES_SQL, SKILLS, STG, WEEKLY, dictionary_sql, obs_e,
-    raw_l, stg,
+    BRIDGE, DOC_DICTIONARY, FACTS, OBS_E, RULES, RULES_SQL, STG, WEEKLY, dictionary_sql,
+    obs_e, raw_l, stg,
 )
-from snapdemand.operators.demand import weekly_demand_unscoped
 from snapdemand.plans.skill_demand import skill_demand_weekly
 from snapdemand.catalog.views import PART_DICTIONARY
 from snapdemand.quality import checks as qa

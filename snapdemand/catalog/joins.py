@@ -8,7 +8,7 @@ from snapdemand import model
 from snapdemand.catalog.base import query
 from snapdemand.catalog.products import facts
 from snapdemand.catalog.views import (
-    BRIDGE_TAIL, DIMENSION, DOC_DICTIONARY, FACTS, LATEST, OBS_E, RULES, RULES_SQL, SCOPES_SQL, SKILLS, STG,
+    BRIDGE_TAIL, DIMENSION, DOC_DICTIONARY, FACTS, OBS_E, RULES, RULES_SQL, SCOPES_SQL, SKILLS, STG,
     benchmark_words, dictionary_sql, dimension, obs_e, stg,
 )
 from snapdemand.operators.classify import first_rule, matching_rules

@@ -16,7 +16,7 @@ from snapdemand import model
 from snapdemand.sinks import read_described, write_days
 from snapdemand.sources.config import config_to_dimension
 from snapdemand.sources.files import (
-    constants, earlier_days, load_entries, read_dictionary, read_glob, read_run_summaries, read_snapshots,
+    constants, earlier_days, read_dictionary, read_glob, read_run_summaries, read_snapshots,
 )
 from snapdemand.store import Store
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from itertools import combinations
 
@@ -21,9 +22,16 @@ from .tables import fresh, text_key, written
 SHINGLE = 4
 MAX_BITS = 4
 #: fingerprints that one bucket holds in memory, and variants that it sorts at once
-BUCKET_FINGERPRINTS = 1 << 22
+BUCKET_FINGERPRINTS = 1 << 20
 SORTED_VARIANTS = 1 << 21
-MIN_BUCKETS = 64
+#: bit positions that make a bucket: at least, and at most (with all but two, a bucket holds 8,324 fingerprints at most)
+MIN_DEPTH = 6
+DEEPEST = 62
+#: positions by which a bucket that is too full is split at once
+SPLIT = 3
+#: a fingerprint of more than this share of the rows is joined in so many parts
+FREQUENT = 1024
+PARTS = 64
 
 
 def _fingerprint(column: pa.Array, shingle: int) -> np.ndarray:
@@ -68,62 +76,120 @@ def _ball(radius: int) -> np.ndarray:
     return np.array([sum(1 << i for i in c) for r in range(radius + 1) for c in combinations(range(64), r)], np.uint64)
 
 
-@lru_cache(maxsize=8)
-def _columns(bits: int, within: int | None = None) -> np.ndarray:
-    """Bucket bits that each of the 64 bit positions flips; slices ``within`` buckets of so many bits have their own."""
-    seed = bits if within is None else [within, bits]
-    return np.random.default_rng(seed).integers(1, 1 << bits, 64, dtype=np.int64)
+def _bucket(values: np.ndarray, positions: Sequence[int]) -> np.ndarray:
+    """The bits at ``positions``, the first of them highest. It is linear: bucket(x ^ mask) = bucket(x) ^ bucket(mask)."""
+    out = np.zeros(len(values), np.int64)
+    for i in positions:
+        out = (out << 1) | ((values >> np.uint64(i)) & np.uint64(1)).astype(np.int64)
+    return out
 
 
-def _bucket(values: np.ndarray, bits: int, within: int | None = None) -> np.ndarray:
-    """The bucket of a 64-bit value. It is linear: bucket(x ^ mask) = bucket(x) ^ bucket(mask)."""
+def _slice(values: np.ndarray, bits: int) -> np.ndarray:
+    """One of ``1 << bits`` slices of a bucket: sums of columns drawn for all 64 positions, so linear too."""
     out = np.zeros(len(values), np.int64)
-    for i, flips in enumerate(_columns(bits, within).tolist()):
+    for i, flips in enumerate(np.random.default_rng(bits).integers(1, 1 << bits, 64).tolist() if bits else ()):
         out ^= np.where((values >> np.uint64(i)) & np.uint64(1) > 0, flips, 0)
     return out
 
 
-def _slice(values: np.ndarray, slice_bits: int, bits: int) -> np.ndarray:
-    """The slice of a value in its bucket, which the bucket says nothing about."""
-    return _bucket(values, slice_bits, bits) if slice_bits else np.zeros(len(values), np.int64)
+def _reached(depth: int, radius: int) -> int:
+    """How many buckets of ``depth`` positions the variants of one fingerprint fall into."""
+    return sum(math.comb(depth, r) for r in range(min(depth, radius) + 1))
 
 
-def _send(radius: int, bits: int):
-    """Emits every variant of every fingerprint to the variant's bucket.
-
-    Variants of one fingerprint that share a bucket travel as the fingerprint alone: as buckets are linear, the bucket
-    knows which masks lead to it. Fingerprints for one bucket travel as one binary value per batch.
+@dataclass
+class Buckets:
+    """Buckets are leaves of a binary tree over bit positions, numbered 1, then 2n and 2n + 1 below n: all nodes of less
+    than ``depth`` positions are inner ones, and those in ``inner``.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        offsets = np.unique(_bucket(_ball(radius), bits))
-        step = max(1, (1 << 21) // len(offsets))
+
+    positions: list[int]
+    depth: int
+    radius: int
+    inner: np.ndarray
+
+    def of(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``values`` and the buckets that variants of the value there fall into, each bucket once."""
+        source, node = np.arange(len(values)), np.ones(len(values), np.int64)
+        left = np.full(len(values), self.radius, np.int8)
+        found = [(source[:0], node[:0])]
+        for depth in range(DEEPEST + 1):
+            if depth >= self.depth:
+                further = np.isin(node, self.inner)
+                found.append((source[~further], node[~further]))
+                source, node, left = source[further], node[further], left[further]
+                if not len(source):
+                    break
+            own = _bucket(values[source], self.positions[depth:depth + 1])
+            may = left > 0
+            node = np.concatenate([2 * node + own, (2 * node + 1 - own)[may]])
+            source, left = np.concatenate([source, source[may]]), np.concatenate([left, left[may] - 1])
+        return np.concatenate([s for s, _ in found]), np.concatenate([n for _, n in found])
+
+    def steps(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Slices of a column of fingerprints, with what ``of`` says of each."""
+        values = column.to_numpy(zero_copy_only=False).view(np.uint64)
+        step = max(1, (1 << 20) // _reached(self.depth, self.radius))
+        for low in range(0, len(values), step):
+            yield (values[low:low + step], *self.of(values[low:low + step]))
+
+    def send(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Fingerprints for one bucket travel as one binary value per slice."""
         for batch in batches:
-            values = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for low in range(0, len(values), step):
-                part = values[low:low + step]
-                to = (_bucket(part, bits)[:, None] ^ offsets[None, :]).ravel()
-                order = np.argsort(to, kind="stable")
-                found, begin = np.unique(to[order], return_index=True)
-                sent = np.split(part[order // len(offsets)], begin[1:])
+            for values, source, node in self.steps(batch.column("fp")):
+                order = np.argsort(node, kind="stable")
+                found, begin = np.unique(node[order], return_index=True)
+                sent = np.split(values[source[order]], begin[1:])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found), pa.array([x.tobytes() for x in sent], pa.binary())], ["bucket", "fps"])
-    return run
+
+    def count(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, node in self.steps(batch.column("fp")):
+                found, n = np.unique(node, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["bucket", "n"])
 
 
-def _groups(fps: np.ndarray, need: np.ndarray, slice_bits: int, radius: int, bits: int):
-    """Variants of ``fps`` in one bucket, and the positions of their sources, slice by slice.
+def buckets(distinct: DataFrame, radius: int, most: int = BUCKET_FINGERPRINTS) -> Buckets:
+    """Buckets that hold ``most`` fingerprints of ``distinct(fp)`` at most.
 
-    The bucket is cut into slices by more bits of the same linear kind, drawn apart; equal variants share a slice.
+    Bit positions are taken in the order of their balance over all fingerprints. As many make buckets as even ones would
+    need; then buckets are counted, and those that hold more are split by the next ``SPLIT`` positions until none does. The driver
+    gets 65 counts, and the numbers of buckets that are too full: one for ``most`` fingerprints sent, at most.
     """
-    masks = _ball(radius)
-    finer = (_bucket(masks, bits) << slice_bits) | _slice(masks, slice_bits, bits)
+    ones = [F.sum(F.getbit("fp", F.lit(i)).cast("long")) for i in range(64)]
+    n, *ones = distinct.agg(F.count("*"), *ones).first()
+    positions = sorted(range(64), key=lambda i: (abs(2 * (ones[i] or 0) - n), i))
+    depth = MIN_DEPTH
+    while depth < DEEPEST and n * _reached(depth, radius) >> depth > most:
+        depth += 1
+    out = Buckets(positions, depth, radius, np.zeros(0, np.int64))
+    while True:
+        counted = distinct.select("fp").mapInArrow(out.count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+        full = [r.bucket for r in counted.where(F.col("n") > most).select("bucket").collect() if r.bucket < 1 << DEEPEST]
+        if not full:
+            return out
+        below = np.array(full, np.int64)
+        for _ in range(SPLIT):
+            out = replace(out, inner=np.union1d(out.inner, below))
+            below = np.concatenate([2 * below, 2 * below + 1])
+            below = below[below < 1 << DEEPEST]
+
+
+def _groups(fps: np.ndarray, node: int, positions: list[int], radius: int, sorted_variants: int):
+    """Variants of ``fps`` in one bucket, and the positions of their sources, slice by slice; equal variants share a slice."""
+    masks, used = _ball(radius), positions[:node.bit_length() - 1]
+    kinds, of_mask, sizes = np.unique(_bucket(masks, used), return_inverse=True, return_counts=True)
+    # masks of one kind lead from a fingerprint to this bucket
+    need = np.searchsorted(kinds, _bucket(fps, used) ^ (node - (1 << len(used))))
+    bits = max(0, math.ceil(math.log2(max(1, sizes[need].sum() / sorted_variants))))
+    finer = (of_mask << bits) | _slice(masks, bits)
     by_slice = np.argsort(finer, kind="stable")
-    ranges = np.searchsorted(finer[by_slice], np.arange((1 << (bits + slice_bits)) + 1))
-    own = _slice(fps, slice_bits, bits)
-    order = np.lexsort((own, need))
-    key = (need[order] << slice_bits) | own[order]
-    found, begin = np.unique(key, return_index=True)
-    for number in range(1 << slice_bits):
+    ranges = np.searchsorted(finer[by_slice], np.arange((len(kinds) << bits) + 1))
+    key = (need << bits) | _slice(fps, bits)
+    order = np.argsort(key, kind="stable")
+    found, begin = np.unique(key[order], return_index=True)
+    for number in range(1 << bits):
         variants, sources = [], []
         for k, low, high in zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(fps)]):
             k ^= number
@@ -145,14 +211,11 @@ def _forest(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
     return label
 
 
-def _collide(radius: int, max_bits: int, bits: int, sorted_variants: int):
+def _collide(positions: list[int], radius: int, max_bits: int, sorted_variants: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         fps = np.unique(np.frombuffer(b"".join(rows["fps"]), np.uint64))
-        need = _bucket(fps, bits) ^ int(key[0])
-        expected = len(fps) * len(_ball(radius)) >> bits
-        slice_bits = max(0, math.ceil(math.log2(max(1, expected / sorted_variants))))
         every = [np.zeros((0, 2), np.int32)]
-        for variant, source in _groups(fps, need, slice_bits, radius, bits):
+        for variant, source in _groups(fps, int(key[0]), positions, radius, sorted_variants):
             # an odd radius is rounded up, so the first of a group must be the nearest to the variant: all others reach it,
             # unless none is nearer than the radius, and then pairs within max_bits share another variant
             order = np.lexsort((np.bitwise_count(fps[source] ^ variant), variant)) if max_bits % 2 else np.argsort(variant, kind="stable")
@@ -176,17 +239,15 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_fingerprints: in
 
     Every fingerprint stands in for all its variants within half the radius; two fingerprints within the radius share
     one. Each bucket sorts its variants, verifies the pairs that collide and returns a spanning tree of them, so
-    a group of n near copies gives n - 1 edges per bucket at most. A fingerprint travels once for each bucket that its
-    variants reach, so there are as few buckets as hold their fingerprints in memory; within a bucket, variants are
+    a group of n near copies gives n - 1 edges per bucket at most. Variants that share a bucket travel as their fingerprint:
+    the bucket knows which masks lead to it. A bucket is some bit positions, so a fingerprint goes to few of them (to 22
+    of 64, 92 of 8,192), and a bucket that is too full is split by more positions; within a bucket, variants are
     made and sorted in slices.
     """
     radius = (max_bits + 1) // 2
-    n, variants, buckets = distinct.count(), len(_ball(radius)), MIN_BUCKETS
-    while n * min(1.0, variants / buckets) > bucket_fingerprints:
-        buckets *= 2
-    bits = buckets.bit_length() - 1
-    sent = distinct.select("fp").mapInArrow(_send(radius, bits), "bucket long, fps binary")
-    return sent.groupBy("bucket").applyInPandas(_collide(radius, max_bits, bits, sorted_variants), "a long, b long")
+    dealt = buckets(distinct, radius, bucket_fingerprints)
+    sent = distinct.select("fp").mapInArrow(dealt.send, "bucket long, fps binary")
+    return sent.groupBy("bucket").applyInPandas(_collide(dealt.positions, radius, max_bits, sorted_variants), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -199,7 +260,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """
     rows = written(fingerprints(docs, shingle), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead")),
+        F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("lead")),
         "distinct")
     roots = components(links(distinct, max_bits))
     linked = written(distinct.join(roots, F.col("fp") == F.col("node")).drop("node"), "linked")
@@ -209,7 +270,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     named = distinct.join(known, "fp", "left").select(
         "fp", F.when(F.col("first").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("first", "lead").alias("first"))
-    return rows.join(named, "fp").select(
+    # less than FREQUENT rows, whatever the table
+    frequent = F.broadcast(distinct.where(F.col("copies") * FREQUENT > rows.count()).select("fp", F.lit(PARTS).alias("parts")))
+    dealt = rows.select("*", F.monotonically_increasing_id().alias("nth")).join(frequent, "fp", "left").select(
+        "doc_id", "key", "fp", F.coalesce(F.col("nth") % F.col("parts"), F.lit(0)).alias("part"))
+    named = named.join(frequent, "fp", "left").select(
+        "fp", "component_id", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)).alias("part"))
+    return dealt.join(named, ["fp", "part"]).select(
         "doc_id", "key", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("key").eqNullSafe(F.col("first.key")))
         .alias("representative"))

@@ -127,17 +127,71 @@ def true_links(fps, max_bits):
     return connected(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= max_bits])
 
 
-def test_slices_cut_buckets_of_as_many_bits(spark):
-    fps = np.random.default_rng(4).integers(0, 1 << 63, 2000, np.uint64)
-    for bits in (6, 7):
-        for bucket in (0, 17):
-            need = simhash._bucket(fps, bits) ^ bucket
-            for slice_bits in (bits - 1, bits, bits + 1):
-                sizes = [len(v) for v, _ in simhash._groups(fps, need, slice_bits, 2, bits)]
-                assert len(sizes) == 1 << slice_bits and max(sizes) < 2 * sum(sizes) / len(sizes)
-    fps = near(5, 60)  # 64 buckets of 6 bits; ceil(log2(expected / wanted)) is 6 too
-    wanted = (len(fps) * 2081 >> 6) // 60
-    assert found_links(spark, fps, sorted_variants=wanted) == true_links(fps, 4)
+def reached(buckets, fp):
+    """Leaves of the tree that a variant of one fingerprint falls into, from its definition."""
+    found = set()
+    for mask in simhash._ball(buckets.radius).tolist():
+        node, depth = 1, 0
+        while depth < buckets.depth or node in buckets.inner:
+            node, depth = 2 * node + ((fp ^ mask) >> buckets.positions[depth] & 1), depth + 1
+        found.add(node)
+    return found
+
+
+def test_buckets_are_the_leaves_that_variants_fall_into(spark):
+    fps = np.array(near(4, 40), np.uint64)
+    for depth, inner in ((6, []), (6, [70, 140, 281, 77]), (9, [600])):
+        buckets = simhash.Buckets([i * 7 % 64 for i in range(64)], depth, 2, np.array(inner, np.int64))
+        source, node = buckets.of(fps)
+        for i, fp in enumerate(fps.tolist()):
+            assert sorted(node[source == i].tolist()) == sorted(reached(buckets, fp))
+        if not inner:
+            assert len(source) == len(fps) * simhash._reached(depth, 2)
+    assert simhash._reached(6, 2) == 22 and simhash._reached(13, 2) == 92
+
+
+def test_a_bucket_hands_out_every_variant_once(spark):
+    every, positions = np.array(near(5, 20), np.uint64), [i * 5 % 64 for i in range(64)]
+    near_one = (1 << 13) + int(simhash._bucket(every[:1], positions[:13])[0])
+    for node in (64 + 17, near_one, 1):
+        used = positions[:node.bit_length() - 1]
+        fps = every[np.bitwise_count(simhash._bucket(every, used) ^ (node - (1 << len(used)))) <= 2]
+        want = sorted(
+            (v, i) for i, fp in enumerate(fps.tolist()) for v in (fp ^ m for m in simhash._ball(2).tolist())
+            if sum((v >> p & 1) << k for k, p in enumerate(reversed(used))) == node - (1 << len(used)))
+        for most in (1 << 21, max(1, len(want) // 40)):
+            parts = list(simhash._groups(fps, node, positions, 2, most))
+            assert sorted((int(v), int(i)) for vs, s in parts for v, i in zip(vs, s)) == want
+            if len(want) > 1000:
+                assert max(len(v) for v, _ in parts) < 2 * len(want) / len(parts) + 100
+
+
+def test_links_are_the_same_over_any_number_of_buckets(spark, monkeypatch):
+    fps = near(8, 40)
+    for depth in (6, 10, 13):
+        monkeypatch.setattr(simhash, "MIN_DEPTH", depth)
+        assert found_links(spark, fps, sorted_variants=2000) == true_links(fps, 4)
+
+
+def test_buckets_that_are_too_full_are_split(spark):
+    # twelve bits are the best balanced of all, yet they tell only two halves apart
+    rng = random.Random(9)
+    same = sum(1 << b for b in range(3, 63, 5))
+    fps = sorted({rng.getrandbits(64) & ~same | rng.choice((0, same)) for _ in range(300)} | set(near(10, 5)))
+    signed = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    dealt = simhash.buckets(signed, 2, 60)
+    assert len(dealt.inner)
+    _, node = dealt.of(np.array(fps, np.uint64))
+    assert max(np.unique(node, return_counts=True)[1]) <= 60
+    assert found_links(spark, fps, bucket_fingerprints=60) == true_links(fps, 4)
+
+
+def test_one_fingerprint_of_many_rows_is_joined_in_parts(spark):
+    rows = [(i, "the same few words in each") for i in range(3000)] + [(5000 + i, prose(random.Random(i), 30)) for i in range(20)]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "parts" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.doc_id for r in found.collect()) == sorted(i for i, _ in rows)
+    assert found.where("doc_id < 3000 and component_id = 0").count() == 3000 and found.where("representative").count() == 21
 
 
 def test_odd_numbers_of_bits_equal_brute_force(spark):

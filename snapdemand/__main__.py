@@ -49,7 +49,8 @@ def _build(spark: SparkSession, a: argparse.Namespace) -> int:
         days, files.read_dictionary(spark, a.skills), files.read_rules(spark, a.rules),
         config.config_to_dimension(config.read_config(spark, a.companies)), Store(spark, a.out),
         _csv(spark, a.tag_cases, "text string, skill string, should_match boolean"),
-        _csv(spark, a.label_cases, "title string, role_family string, seniority string"))
+        _csv(spark, a.label_cases, "title string, role_family string, seniority string"),
+        buckets=int(a.buckets) if a.buckets else None)
     failures.groupBy("check", "severity").agg(F.count("*").alias("rows"), F.min("key").alias("first")).show(100, truncate=False)
     if a.now:
         late = checks.check_freshness(days, "date", F.lit(a.now).cast("timestamp_ntz"))
@@ -78,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     for run, needed, optional in (
         (_adopt, ("folder", "raw"), ()),
         (_ingest, ("date", "companies", "payloads", "raw"), ("details",)),
-        (_build, ("raw", "skills", "rules", "companies", "out"), ("tag-cases", "label-cases", "now")),
+        (_build, ("raw", "skills", "rules", "companies", "out"), ("tag-cases", "label-cases", "now", "buckets")),
         (_weekly, ("raw", "skills", "out"), ()),
         (_report, ("models", "raw", "out"), ()),
     ):

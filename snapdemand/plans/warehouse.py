@@ -32,6 +32,8 @@ KEY, DAY = "posting_key", "collected_date"
 ATTRS = ("company_key", "title", "city", "url")
 FACT_COLUMNS = (KEY, *ATTRS, "posted_date", "first_seen", "last_seen", "is_open", "days_open", "role_family",
                 "seniority")
+#: of one row, or one per dictionary entry, for each key
+BUCKETED = ("entities", "fct_postings", "fct_posting_skills")
 
 
 def staging(raw: DataFrame, places: dict[str, str] = model.PLACES) -> DataFrame:
@@ -141,17 +143,23 @@ def build(
 
 def publish(
     raw: DataFrame, skills: DataFrame, rules: DataFrame, dimension: DataFrame, out: Store,
-    tag_cases: DataFrame | None = None, label_cases: DataFrame | None = None, **options,
+    tag_cases: DataFrame | None = None, label_cases: DataFrame | None = None, buckets: int | None = None, **options,
 ) -> DataFrame:
     """Builds a new version of the warehouse in ``out``, checks it, and publishes it unless a check of severity error fails.
 
     Returns the failures, (check, severity, key, detail), which are a table of the version too. What was published before
-    stays readable until the moment the new version is, and after a failure.
+    stays readable until the moment the new version is, and after a failure. With ``buckets``, entities, facts and bridge
+    are written in so many buckets of their key, and join on it without an exchange; choose as many as keep a bucket of
+    the entities at some hundred MB.
     """
     entries, ordered = load_entries(skills), load_rules(rules)
     version = out.stage()
     audit = Audit(expectations(entries, ordered, tag_cases, label_cases))
-    write = audit.writer(version.write)
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return version.write_buckets(df, name, KEY, buckets) if buckets and name in BUCKETED else version.write(df, name)
+
+    write = audit.writer(store)
     write(skills, "skills")
     write(rules, "title_rules")
     build(raw, entries, ordered, dimension, write, watch=audit.watched, **options)

@@ -147,6 +147,37 @@ def test_a_failing_check_leaves_the_old_version_published(spark, tmp_path, broke
     assert store.current() == before and store.read("fct_postings").count() == 2
 
 
+def test_facts_and_bridge_in_buckets_join_without_an_exchange(spark, tmp_path):
+    plain, store = Store(spark, str(tmp_path / "plain")), Store(spark, str(tmp_path / "it's in buckets"))
+    postings = [*GOOD, *[(str(i), "Kafka and Go data", "", "2026-10-02") for i in range(10, 60)]]
+    tables = ("fct_postings", "fct_posting_skills", "mart_skill_demand_weekly", "mart_role_demand_daily")
+    assert warehouse_of(spark, plain, postings) == warehouse_of(spark, store, postings, buckets=4) == []
+    for t in tables:
+        assert sorted(map(repr, store.read(t).collect())) == sorted(map(repr, plain.read(t).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = [warehouse.fct_posting_skills(s.read("fct_posting_skills").drop("company_key"), s.read("fct_postings")) for s in (store, plain)]
+        plans = [j._jdf.queryExecution().executedPlan().toString() for j in joined]
+        assert "Exchange" not in plans[0] and plans[0].count("Bucketed: true") == 2 and "Exchange" in plans[1]
+        assert joined[0].count() == joined[1].count() == store.read("fct_posting_skills").count() == 101
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    version = store.current()[WHOLE][0]
+    for t in warehouse.BUCKETED:  # another session without this catalogue
+        spark.sql(f"DROP TABLE `{t}_{version.replace('-', '_')}`")
+    for t in tables:
+        assert sorted(map(repr, store.read(t).collect())) == sorted(map(repr, plain.read(t).collect()))
+
+
+def test_a_later_version_in_buckets_replaces_the_one_before(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "w"))
+    warehouse_of(spark, store, GOOD, buckets=2)
+    refused = warehouse_of(spark, store, [*GOOD, ("2", "Clerk", "", "2026-10-02")], buckets=2)
+    assert "staging_unique_per_day" in [name for name, _, _ in refused] and store.read("fct_postings").count() == 2
+    warehouse_of(spark, store, [*GOOD, ("3", "Clerk", "", "2026-10-02")], buckets=3)
+    assert store.read("fct_postings").count() == 3
+
+
 def test_a_warning_does_not_stop_a_build(spark, tmp_path):
     store = Store(spark, str(tmp_path / "w"))
     late = [("1", "Data", "2026-10-02", "2026-10-01"), ("1", "Data", "2026-10-02", "2026-10-03")]

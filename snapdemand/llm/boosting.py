@@ -35,23 +35,25 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotonic: dict[int, int] | None = None, trees: int = 60, depth: int = 3,
-        rate: float = 0.2, bins: int = 64, ridge: float = 2.0, least: float = 5.0, weights: np.ndarray | None = None) -> Trees:
+        rate: float = 0.2, bins: int = 64, ridge: float = 2.0, least: float = 5.0, weights: np.ndarray | None = None,
+        offset: np.ndarray | None = None) -> Trees:
     """Logistic loss, second order, thresholds at quantiles. ``monotonic[f]`` is 1 or -1 if the score may only rise or fall
     with feature f: a split in the wrong order is not taken, and both sides stay on their side of the split's middle in
     all later splits. A row of weight n counts as n rows. Without rows of both classes the trees are empty and the
-    score is constant.
+    score is constant. With an ``offset``, log odds known of each row, trees add to that, and one class will do.
     """
     monotonic = monotonic or {}
     times = np.ones(len(y)) if weights is None else weights
     share = ((times * y).sum() + 0.5) / (times.sum() + 1.0)
-    base = float(np.log(share / (1 - share)))
+    base = float(np.log(share / (1 - share))) if offset is None else 0.0
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) if len(x) else np.zeros(0)
             for f in range(x.shape[1])]
     coded = [np.searchsorted(c, x[:, f], side="left") for f, c in enumerate(cuts)]
     size = 2 ** (depth + 1) - 1
     parts: list[tuple] = []
-    margin = np.full(len(y), base)
-    for _ in range(trees if 0 < y.sum() < len(y) else 0):
+    margin = np.full(len(y), base) if offset is None else offset.astype(float)
+    able = 0 < y.sum() < len(y) if offset is None else len(y) > 0
+    for _ in range(trees if able else 0):
         p = 1 / (1 + np.exp(-margin))
         gradient, weight = times * (y - p), np.maximum(times * p * (1 - p), 1e-9)
         feature, threshold = np.zeros(size, np.int64), np.full(size, np.inf)
@@ -89,7 +91,7 @@ def fit(x: np.ndarray, y: np.ndarray, monotonic: dict[int, int] | None = None, t
             middle, way = (wl + wr) / 2, monotonic.get(f, 0)
             bounds[2 * node + 1] = (low, min(high, middle)) if way > 0 else (max(low, middle), high) if way < 0 else (low, high)
             bounds[2 * node + 2] = (max(low, middle), high) if way > 0 else (low, min(high, middle)) if way < 0 else (low, high)
-        margin += value[node_of]
+        margin = margin + value[node_of]
         parts.append((feature, threshold, left, right, value))
     if not parts:
         parts = [(np.zeros(size, np.int64), np.full(size, np.inf), np.arange(size), np.arange(size), np.zeros(size))]

@@ -1,7 +1,9 @@
-"""Spans of texts as columns: writing them out, and cutting them out of their text."""
+"""Spans of texts as columns: writing them out, and cutting them out of their text; arrays gone through in order."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +35,33 @@ def cut_out(rows: DataFrame, spans: str, mark: str) -> DataFrame:
         kind = rows.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(some, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out
+
+
+#: elements that are gone through before what they gave is put away: appending to an array copies it
+_BLOCK = 128
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scanned(items: Column, state: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """``array<kind>``: for each of ``items`` in order ``emit(state, item)``, after which ``step(state, item)`` is the state.
+
+    Goes through blocks, so that time grows with the number of items and hardly with its square.
+    """
+    def block(done: Column, part: Column) -> Column:
+        inner = F.aggregate(
+            part, F.struct(done["state"].alias("state"), F.array().cast(f"array<{kind}>").alias("out")),
+            lambda a, x: F.struct(step(a["state"], x).alias("state"), F.concat(a["out"], F.array(emit(a["state"], x))).alias("out")))
+        return let(inner, lambda i: F.struct(i["state"].alias("state"), F.concat(done["out"], F.array(i["out"])).alias("out")))
+
+    def blocks(all_: Column) -> Column:
+        last = F.floor((F.size(all_) - 1) / F.lit(_BLOCK)).cast("int")
+        return F.when(F.size(all_) > 0, F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(all_, b * _BLOCK + 1, F.lit(_BLOCK))))
+
+    start = F.struct(state.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    gone = F.aggregate(let(items, blocks), start, block, lambda done: F.flatten(done["out"]))
+    return F.coalesce(gone, F.array().cast(f"array<{kind}>"))

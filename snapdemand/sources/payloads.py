@@ -469,17 +469,15 @@ def attach_details(postings: DataFrame, details: DataFrame, specs: Mapping[str,
                    wanted: Column | None = None) -> DataFrame:
     """Fills missing descriptions, where ``wanted``, from detail responses (source_system, url, json).
 
-    Adds ``detail_failed``: a description was wanted and its response is missing or does not parse. Details are unique
-    by URL, and so are the postings after ``dedupe_first``: no key of this join is hot.
+    Adds ``detail_failed``: a description was wanted and its response is missing or does not parse. Only postings that
+    want one meet the details; all others stay where they lie. Details are unique by URL, and so are the postings
+    after ``dedupe_first``: no key of this join is hot.
     """
-    wants = F.col("description").isNull() & (F.lit(True) if wanted is None else wanted)
-    url = F.when(wants, detail_url(specs))
-    # most postings want nothing: a key of their own, which no URL equals, spreads them where null would gather them
-    own = F.concat_ws(":", F.lit("-"), "source_system", "posting_id")
-    joined = postings.withColumns({"_asked": url.isNotNull(), "_detail_url": F.coalesce(url, own)}).join(
-        detail_texts(details, specs), "_detail_url", "left")
+    url = detail_url(specs)
+    # the URL first: it is null for systems without details, whose markup is then not turned to text for this test
+    wants = url.isNotNull() & (F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))) & F.col("description").isNull()
+    own = [c for c in postings.columns if c != "description"]
     good = F.coalesce("_good", F.lit(False))
-    return joined.select(
-        *[c for c in postings.columns if c != "description"],
-        F.coalesce("description", F.when(good, F.col("_text"))).alias("description"),
-        (F.col("_asked") & ~good).alias("detail_failed"))
+    filled = postings.where(wants).withColumn("_detail_url", url).join(detail_texts(details, specs), "_detail_url", "left").select(
+        *own, F.when(good, F.col("_text")).alias("description"), (~good).alias("detail_failed"))
+    return postings.where(~wants).select(*own, "description", F.lit(False).alias("detail_failed")).unionByName(filled)

@@ -16,7 +16,7 @@ from snapdemand.plans.warehouse import build
 from snapdemand.quality import checks as qa
 from snapdemand.sources import files
 from snapdemand.sources.config import config_problems, config_to_dimension, read_config, site_configs
-from snapdemand.sources.payloads import PAYLOAD_SCHEMA, SPECS, normalise, parse_payloads, site_totals
+from snapdemand.sources.payloads import PAYLOAD_SCHEMA, SPECS, attach_details, normalise, parse_payloads, site_totals
 from snapdemand.store import Store
 
 CONFIG = {"host": "h.example.com", "tenant": "ten", "site": "careers", "board": "brd", "account": "acc",
@@ -171,6 +171,29 @@ def test_details_fill_missing_descriptions(spark, tmp_path):
     assert written == {"ten:R1": None, "ten:R2": None, "ten:R3": None} and later.companies[0].describe_errors == 2
 
 
+def test_only_postings_that_want_a_detail_meet_the_details(spark):
+    base = "https://h.example.com/wday/cxs/ten/careers/job/x_"
+    body = json.dumps({"jobPostingInfo": {"jobDescription": "<p>one</p>"}})
+    details = spark.createDataFrame([("workday", base + "R1", body), ("workday", base + "R3", "{"), ("workday", base + "R5", body)],
+                                    "source_system string, url string, json string")
+    given = [  # what it holds, whether it wants more, what it holds then, whether that failed
+        ("workday", "R1", None, True, "one", False), ("workday", "R2", None, True, None, True), ("workday", "R3", None, True, None, True),
+        ("workday", "R4", "own", True, "own", False), ("workday", "R5", None, False, None, False), ("workday", "R1", None, None, None, False),
+        ("greenhouse", "R1", None, True, None, False)]
+    postings = spark.createDataFrame(
+        [(s, f"ten:{i}", f"https://h.example.com/site/careers/job/x_{i}", d, w, n) for n, (s, i, d, w, *_) in enumerate(given)],
+        "source_system string, posting_id string, url string, description string, wanted boolean, n int")
+    filled = attach_details(postings, details, SPECS, F.col("wanted"))
+    assert filled.columns == ["source_system", "posting_id", "url", "wanted", "n", "description", "detail_failed"]
+    got = {r.n: (r.description, r.detail_failed) for r in filled.collect()}
+    assert got == {n: (d, f) for n, (*_, d, f) in enumerate(given)}
+    outer = filled._jdf.queryExecution().optimizedPlan()
+    while outer.children().size() < 2:
+        outer = outer.children().head()
+    branches = [outer.children().apply(i).toString() for i in range(2)]
+    assert outer.nodeName() == "Union" and ["Join" in b for b in branches] == [False, True]
+
+
 def test_an_empty_day_keeps_the_schema(spark, tmp_path):
     summary, written = run(spark, tmp_path, "2026-10-08", ("greenhouse", "a", 0, {"jobs": []}))
     assert written == {} and summary.rows == 0

@@ -24,12 +24,14 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 @_query
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near copies per document. Null and empty texts have fingerprint zero and are linked like any other."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
 @_query
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Hit words and found items per document. A null text has no words, a null item no window."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -38,6 +40,7 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @_query
 def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets per document. Null and empty texts have none; every repeated row has its own."""
     rows, spans = secrets.found(table(spark, folder, "documents").select("doc_id", "text"))
 
     def n(kind: str):
@@ -50,17 +53,20 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per piece of a document. Null and empty texts are one id 0; every repeated row is packed."""
     return packing.packed(table(spark, folder, "documents")).drop("row")
 
 
 @_query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict per document. Null and empty texts have no words and fail."""
     verdicts = quality.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return verdicts.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
 @_query
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words kept and removed per document. Null and empty texts have none; a repeated row repeats its windows."""
     return substring.without_repeats(table(spark, folder, "documents")).drop("kept")
 
 
@@ -70,6 +76,7 @@ MARKED_TEXT = r"\### Assistant: </turn> ok"
 
 @_query
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns read back from formatted examples, per conversation. Null texts and roles are empty, a null turn comes first."""
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     marked = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -100,6 +107,7 @@ FROM summed GROUP BY conv_id
 
 @_query
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data per document. Null and empty texts have none; every repeated row has its own."""
     rows = pii.found(table(spark, folder, "documents"))
 
     def n(kind: str):
@@ -111,6 +119,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score per document. Null and empty texts are scored too; every repeated row is."""
     docs = table(spark, folder, "documents")
     return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
@@ -121,16 +130,19 @@ ORDER_KEY = 20_240_601
 
 @_query
 def op2_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per sequence in its global slot. Null and empty texts are one id 0."""
     return training_order.digests(training_order.materialise(table(spark, folder, "documents"), ORDER_KEY))
 
 
 @_query
 def op11_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near copies per document. Null and empty texts have no shingles and are linked with nothing."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
 @_query
 def op12_ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten best documents per item. Null and empty texts hold no term; items without a term find nothing."""
     return lexical.search(lexical.index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
 
 
@@ -166,6 +178,7 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 
 @_query
 def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per distinct prefix. Null roles and texts are empty, a null turn comes first, rows without conv_id are in none."""
     return prefix_trie.trie(table(spark, folder, "conversations"))
 
 

@@ -29,10 +29,12 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _OPTIONAL = ("?", "*", "{")
+#: letters beyond ASCII onto which nothing folds that ``lower`` does not make the same letter
+_FOLD_ALONE = "\u00e0\u00e1\u00e2\u00e3\u00e4\u00e6\u00e7\u00e8\u00e9\u00ea\u00eb\u00ec\u00ed\u00ee\u00ef\u00f1\u00f2\u00f3\u00f4\u00f5\u00f6\u00f8\u00f9\u00fa\u00fb\u00fc"
 
 
 def _is_word(token: str) -> bool:
-    return len(token) == 1 and token.isascii() and (token.isalnum() or token == "_")
+    return token in (r"\d", r"\w") or len(token) == 1 and token.isascii() and (token.isalnum() or token == "_")
 
 
 def _closing(tokens: list[str], start: int) -> int:
@@ -64,13 +66,18 @@ def _branches(tokens: list[str], start: int, end: int) -> list[tuple[int, int]]:
     return out + [(left, end)]
 
 
+def _repeats(tokens: list[str], i: int) -> bool:
+    """Is ``tokens[i:]`` a repeat by numbers, of which the lower is above zero?"""
+    return tokens[i] == "{" and i + 1 < len(tokens) and tokens[i + 1] in "123456789"
+
+
 def _starts_with_word(tokens: list[str], i: int, end: int) -> bool:
     """Does every match of ``tokens[i:end]`` begin with an ASCII word character?"""
     if i >= end:
         return False
     group = tokens[i] in ("(", "(?:")
     stop = _closing(tokens, i) if group else i
-    if stop + 1 < len(tokens) and tokens[stop + 1] in _OPTIONAL:
+    if stop + 1 < len(tokens) and tokens[stop + 1] in _OPTIONAL and not _repeats(tokens, stop + 1):
         return False
     if group:
         return all(_starts_with_word(tokens, a, b) for a, b in _branches(tokens, i + 1, stop))
@@ -153,7 +160,8 @@ def _literals(tokens: list[str], start: int, end: int) -> tuple[str, ...]:
             stop = _closing(tokens, i) if grouped else i
             repeat = tokens[stop + 1] if stop + 1 < right and tokens[stop + 1] in ("+", *_OPTIONAL) else ""
             escaped = len(token) == 2 and token[0] == "\\" and not token[1].isalnum()
-            literal = token.isascii() and (escaped or len(token) == 1 and token not in ".^$|)[(")
+            literal = escaped and token.isascii() or len(token) == 1 and (
+                token not in ".^$|)[(" if token.isascii() else token.lower() in _FOLD_ALONE)
             if literal and repeat not in _OPTIONAL:
                 run += token[-1].lower()
             if repeat or not literal:
@@ -174,7 +182,7 @@ def _literals(tokens: list[str], start: int, end: int) -> tuple[str, ...]:
 
 
 def required_literals(pattern: str) -> tuple[str, ...]:
-    """Lower-case ASCII texts of which every match holds at least one; empty when none can be named."""
+    """Lower-case texts of which every match holds at least one; empty when none can be named."""
     tokens = _TOKEN.findall(pattern)
     return _literals(tokens, 0, len(tokens))
 

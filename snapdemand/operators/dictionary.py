@@ -5,40 +5,77 @@ Use it for dictionaries that grow; ``operators.tagging`` turns a handful of entr
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdemand import model
-from snapdemand.functions.regex import FOLDING_CHARS, plain_words, required_literals, rx
+from snapdemand.functions.regex import plain_words, required_literals, rx, rx_lower
 
 _GRAM = 3
+_FOLDING = "\u0130\u0131\u017f\u212a"
+_COMPILED = ("_java", "_java_lower", "_literals")
 
 
-def _grams(texts: Sequence[str]) -> list[str] | None:
+_WORD = re.compile("[0-9a-z_]+")
+#: texts of which Python holds the words or triples at a time
+_ROWS = 256
+
+
+def _triples(text: str) -> np.ndarray:
+    """The different character triples of a text, each as one number: a character takes 21 bits."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    return np.unique(codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]) if len(codes) >= _GRAM else codes[:0]
+
+
+def _words(text: str) -> list[str]:
+    return list(set(_WORD.findall(text)))
+
+
+def _grams(texts: Sequence[str]) -> list[int] | None:
     """One character triple of each text; None if a text is shorter, or there is none."""
-    return list(dict.fromkeys(t[:_GRAM] for t in texts)) if texts and min(map(len, texts)) >= _GRAM else None
+    return list(dict.fromkeys(int(_triples(t[:_GRAM])[0]) for t in texts)) if texts and min(map(len, texts)) >= _GRAM else None
+
+
+def _exploded(df: DataFrame, text: str, parts: Callable[[str], Sequence], into: str, kind: str) -> DataFrame:
+    """``df`` with the parts of ``text`` in its place, one a row. Lists leave Python by a few hundred texts."""
+    held, kinds = [c for c in df.columns if c != text], {"string": pa.string(), "bigint": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for few in (batch.slice(i, _ROWS) for i in range(0, batch.num_rows, _ROWS)):
+                lists = [parts(t) for t in few.column(few.schema.get_field_index(text)).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*[few.column(few.schema.get_field_index(c)) for c in held], pa.array(lists, pa.list_(kinds[kind]))], [*held, into])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text)
+    return df.mapInArrow(run, f"{fields}, `{into}` array<{kind}>").withColumn(into, F.explode(into))
 
 
 def compiled(dictionary: DataFrame, pattern: str = "pattern") -> DataFrame:
-    """Adds to each row its Java pattern, the words it consists of, and triples of which every match holds one.
+    """Adds to each row its Java patterns, the words it consists of, and literals and triples of which every match holds one.
 
-    ``_words`` is null unless the pattern is plain words; ``_grams`` is null where no triple can be named. Rows of the
-    dictionary pass through Python once; texts never do.
+    ``_java`` is for any text, ``_java_lower`` for lower-cased texts without ``FOLDING_CHARS``. ``_words`` is null unless the
+    pattern is plain words; ``_literals`` and ``_grams`` are null where none can be named.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             patterns = batch.column(batch.schema.get_field_index(pattern)).to_pylist()
             words = [None if p is None else plain_words(p) for p in patterns]
-            grams = [None if p is None else _grams(w or required_literals(p)) for p, w in zip(patterns, words)]
+            literals = [None if p is None else w or required_literals(p) or None for p, w in zip(patterns, words)]
+            grams = [None if found is None else _grams(found) for found in literals]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([p and rx(p) for p in patterns], pa.string()),
-                 pa.array(words, pa.list_(pa.string())), pa.array(grams, pa.list_(pa.string()))],
-                [*batch.schema.names, "_java", "_words", "_grams"])
+                [*batch.columns, *[pa.array([p and java(p) for p in patterns], pa.string()) for java in (rx, rx_lower)],
+                 *[pa.array(lists, pa.list_(pa.string())) for lists in (words, literals)],
+                 pa.array(grams, pa.list_(pa.int64()))],
+                [*batch.schema.names, "_java", "_java_lower", "_words", "_literals", "_grams"])
 
-    added = "_java string, _words array<string>, _grams array<string>"
+    added = "_java string, _java_lower string, _words array<string>, _literals array<string>, _grams array<bigint>"
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dictionary.schema)
     return dictionary.mapInArrow(run, f"{kinds}, {added}")
 
@@ -48,9 +85,21 @@ def matches_column(text: Column, java: Column) -> Column:
     return F.rlike(text, java)
 
 
+def _hit(lowered: Column) -> Column:
+    """``matches_column`` at less cost: only odd texts need the exact pattern, and no pattern runs where its literals are missing."""
+    held = F.col("_literals").isNull() | F.exists("_literals", lambda literal: F.contains(lowered, literal))
+    return F.when(F.col("_odd"), matches_column(F.col("_text"), F.col("_java"))).otherwise(
+        held & matches_column(lowered, F.col("_java_lower")))
+
+
+def _is_odd(text: Column) -> Column:
+    """Does ``text`` hold a character of ``FOLDING_CHARS``? Plain substring tests cost less than the pattern."""
+    return reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in _FOLDING])
+
+
 def _folded(text: Column) -> Column:
     """Lower case, with the four characters that fold onto ASCII letters as those letters."""
-    return F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
+    return F.lower(F.translate(text, _FOLDING, "iisk"))
 
 
 def matched(df: DataFrame, keys: Sequence[str], text: str, table: DataFrame, pattern: str = "pattern") -> DataFrame:
@@ -63,26 +112,24 @@ def matched(df: DataFrame, keys: Sequence[str], text: str, table: DataFrame, pat
     """
     columns = [c for c in table.columns if c != pattern]
     entries = compiled(table.select(*columns, pattern), pattern)
-    texts = df.select(*keys, F.col(text).alias("_text"), F.col(text).rlike(FOLDING_CHARS).alias("_odd")).where("_text is not null")
-    words = texts.where("not _odd").select(
-        *keys, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit("[0-9a-z_]+"), F.lit(0)))).alias("_word"))
+    texts = df.select(*keys, F.col(text).alias("_text"), _is_odd(F.col(text)).alias("_odd")).where("_text is not null")
+    lower = texts.where("not _odd").select(*keys, F.lower("_text").alias("_text"))
+    words = _exploded(lower, "_text", _words, "_word", "string")
     by_word = entries.where("_words is not null").select(*columns, F.explode("_words").alias("_word"))
     found = words.join(by_word, "_word").select(*keys, *columns)
 
     folded = F.when(F.col("_odd"), _folded(F.col("_text"))).otherwise(F.lower("_text"))
-    triples = F.array_distinct(F.regexp_extract_all("_folded", F.lit(f"(?s)(?=(.{{{_GRAM}}}))"), F.lit(1)))
     by_gram = entries.where("_grams is not null").select(
-        *columns, "_java", F.col("_words").isNotNull().alias("_plain"), F.explode("_grams").alias("_gram"))
+        *columns, *_COMPILED, F.col("_words").isNotNull().alias("_plain"), F.explode("_grams").alias("_gram"))
     # plain words need this way for odd texts only; texts stay out of the join until candidates are known
-    held = texts.withColumn("_folded", folded).select(*keys, "_odd", F.explode(triples).alias("_gram"))
-    pairs = held.join(by_gram, "_gram").where("_odd or not _plain").select(*keys, *columns, "_java").distinct()
-    found = found.union(
-        texts.select(*keys, "_text").join(pairs, list(keys)).where(matches_column(F.col("_text"), F.col("_java")))
-        .select(*keys, *columns))
+    held = _exploded(texts.withColumn("_text", folded), "_text", _triples, "_gram", "bigint")
+    pairs = held.join(by_gram, "_gram").where("_odd or not _plain").select(*keys, *columns, *_COMPILED).distinct()
+    found = found.union(texts.join(pairs, list(keys)).where(_hit(F.lower("_text"))).select(*keys, *columns))
 
     # patterns that name no triple, such as short words: a join on the pattern itself
-    others = entries.where("_grams is null and _java is not null").select(*columns, "_java", F.col("_words").isNotNull().alias("_plain"))
-    tested = texts.join(others, (F.col("_odd") | ~F.col("_plain")) & matches_column(F.col("_text"), F.col("_java")))
+    others = entries.where("_grams is null and _java is not null").select(*columns, *_COMPILED, F.col("_words").isNotNull().alias("_plain"))
+    lowered = texts.withColumn("_lower", F.lower("_text"))
+    tested = lowered.join(others, (F.col("_odd") | ~F.col("_plain")) & _hit(F.col("_lower")))
     return found.union(tested.select(*keys, *columns))
 
 

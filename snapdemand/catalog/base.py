@@ -10,6 +10,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+#: rows of one task that sorts them: some hundred MB, however large a table is
+ROWS = 500_000
+
+
 class Tables:
     """The Parquet tables of one folder as attributes."""
 
@@ -21,6 +25,13 @@ class Tables:
         """The session's number of shuffle partitions."""
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def tasks_for(self, df: DataFrame) -> int:
+        """The number of shuffle partitions, or as many as hold ``ROWS`` rows of a given table each, if that is more.
+
+        Files know their numbers of rows, so no column is read to count them.
+        """
+        return max(self.tasks, -(-df.count() // ROWS))
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 

@@ -154,14 +154,18 @@ raw_l AS (
 
 
 def raw_l(t: Tables) -> DataFrame:
+    """Rows are dealt out by their keys before each step that sorts them, to more tasks the more of them there are."""
+    tasks = t.tasks_for(t.lineitem)
     lines = t.lineitem.select(
         "l_partkey", F.col("l_shipdate").cast("date").alias("day"), "l_orderkey", "l_linenumber", "l_suppkey",
         "l_quantity", "l_returnflag")
-    kept = dedupe_first(lines, ["l_partkey", "day"], ["l_orderkey", "l_linenumber", "l_suppkey"])
-    first = lines.groupBy("l_partkey").agg(F.min("day").alias("_first"))
+    kept = dedupe_first(lines.repartition(tasks, "l_partkey", "day"), ["l_partkey", "day"],
+                        ["l_orderkey", "l_linenumber", "l_suppkey"])
+    # both sides of the join below are dealt out alike, else Spark takes the number of the one that is not
+    first = lines.groupBy("l_partkey").agg(F.min("day").alias("_first")).repartition(tasks, "l_partkey")
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_brand", "p_size")
     # both sides grow with the data, so neither is to be broadcast
-    rows = kept.join(part.join(first, "l_partkey").hint("merge"), "l_partkey")
+    rows = kept.repartition(tasks, "l_partkey").join(part.join(first, "l_partkey").hint("merge"), "l_partkey")
 
     nbsp, day = F.lit(chr(160)), F.col("day")
     level = F.when(F.col("l_returnflag") == "A", "Senior ").when(F.col("l_returnflag") == "R", "Junior ").otherwise("")
